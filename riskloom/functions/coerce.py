@@ -19,17 +19,34 @@ REAL_TEXT = (
 )
 
 
+# Fixed value: the largest bigint, which stands for any whole number beyond it.
+LARGEST = 2**63 - 1
+
+
+def _saturated(number: Column) -> Column:
+    """bigint limit on the side of a double that is too large for bigint; null for NaN."""
+    sign = F.when(number > 0, 1).when(number < 0, -1)
+    return F.when(~F.isnan(number), sign * F.lit(LARGEST))
+
+
 def whole_from_text(text: Column) -> Column:
     """bigint of a text such as ``"015"`` or ``" +5 "``; null for anything else."""
-    digits = F.regexp_replace(F.trim(text), "_", "")
-    return F.when(text.rlike(WHOLE_TEXT), digits.try_cast("bigint"))
+    plain = F.replace(text, F.lit("_"), F.lit(""))
+    unusual = F.coalesce(plain.try_cast("bigint"), _saturated(plain.try_cast("double")))
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(WHOLE_TEXT), unusual))
 
 
 def real_from_text(text: Column) -> Column:
-    """double of a numeric text; null for anything else (``1d`` and hex forms included)."""
-    plain = F.lower(F.regexp_replace(F.trim(text), "_", ""))
-    number = F.when(plain.rlike("nan"), F.lit(float("nan"))).otherwise(plain.try_cast("double"))
-    return F.when(text.rlike(REAL_TEXT), number)
+    """double of a numeric text; null for anything else.
+
+    Texts with letters or underscores are checked first, as a cast alone would also take forms
+    like ``1d``.
+    """
+    plain = F.replace(F.lower(F.trim(text)), F.lit("_"), F.lit(""))
+    spelled = F.when(plain.contains("nan"), F.lit(float("nan"))).otherwise(plain.try_cast("double"))
+    return F.when(~text.rlike("[A-Za-z_]"), text.try_cast("double")).when(
+        text.rlike(REAL_TEXT), spelled
+    )
 
 
 def days_past_due_text(text: Column) -> Column:
@@ -37,19 +54,22 @@ def days_past_due_text(text: Column) -> Column:
     return F.coalesce(whole_from_text(text), F.lit(0).cast("bigint"))
 
 
-def _kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
+def _text(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "string")
 
 
 def days_past_due(value: Column) -> Column:
     """Days past due from a VARIANT: text as above, numbers cut toward zero, true is 1."""
-    text = F.try_variant_get(value, "$", "string")
-    return F.coalesce(
-        F.when(_kind(value) == "STRING", whole_from_text(text)).otherwise(
-            F.try_variant_get(value, "$", "bigint")
-        ),
-        F.lit(0).cast("bigint"),
+    number = F.coalesce(
+        F.try_variant_get(value, "$", "bigint"),
+        _saturated(F.try_variant_get(value, "$", "double")),
     )
+    whole = F.when(_is_text(value), whole_from_text(_text(value))).otherwise(number)
+    return F.coalesce(whole, F.lit(0).cast("bigint"))
 
 
 def amount(value: Column) -> Column:
@@ -58,12 +78,9 @@ def amount(value: Column) -> Column:
     An explicit JSON null, an object, an array or a non-numeric text is unusable; the caller
     quarantines the document that holds it.
     """
-    kind = _kind(value)
-    text = F.try_variant_get(value, "$", "string")
     return (
-        F.when(kind.isNull(), F.lit(0.0))
-        .when(kind == "STRING", real_from_text(text))
-        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean").cast("double"))
+        F.when(value.isNull(), F.lit(0.0))
+        .when(_is_text(value), real_from_text(_text(value)))
         .otherwise(F.try_variant_get(value, "$", "double"))
     )
 

@@ -2,6 +2,11 @@
 
 Every aggregate has a partial form, so an applicant holding a large share of the rows is reduced
 before the shuffle; the distinct trade count is first spread on (applicant, trade reference).
+
+Header values (score, bureau, bank, account) repeat on every row of a flat table. Aggregating those
+strings along with the numbers makes Spark sort the rows instead of hashing them. Where the headers
+exist as their own, much smaller table, pass them as ``headers``: the items are then hashed, and
+the headers join the finished rows.
 """
 
 from __future__ import annotations
@@ -10,9 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import coerce, rules
-from riskloom.operators.flatten import POSITION
+from riskloom.operators.flatten import POSITION, flatten_trades, flatten_transactions
 from riskloom.schemas import KEY
 
+BUREAU_HEADERS = ["score_v3", "bureau"]
+BANKING_HEADERS = ["bank_name", "acct_num"]
+
 
 def first_known(value: Column, order: list[str]) -> Column:
     """Aggregate: first non-null ``value`` in the given order; without an order, any such value."""
@@ -22,20 +30,34 @@ def first_known(value: Column, order: list[str]) -> Column:
     return F.min_by(value, F.when(value.isNotNull(), position))
 
 
+def document_headers(parsed: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per applicant: the first known header values over its documents, by file name."""
+    found = [first_known(F.col(c), ["stem"]).alias(c) for c in columns]
+    return parsed.groupBy(KEY).agg(*found)
+
+
+def _units(value: Column, money_scale: int) -> Column:
+    return F.floor(value * float(10**money_scale) + F.lit(0.5))
+
+
 def money_sum(value: Column, money_scale: int | None) -> Column:
-    """Aggregate: sum that is 0.0 over nothing. With ``money_scale`` decimals the sum is exact and
-    does not depend on row order; without, it is a plain double sum."""
-    if money_scale is not None:
-        value = value.cast(f"decimal(28,{money_scale})")
-    return F.coalesce(F.sum(value).cast("double"), F.lit(0.0))
+    """Aggregate: sum that is 0.0 over nothing.
+
+    A plain double sum by default. For amounts of at most ``money_scale`` decimals the sum of whole
+    minor units is exact whatever the row order (an overflow of bigint is an error).
+    """
+    if money_scale is None:
+        return F.coalesce(F.sum(value), F.lit(0.0))
+    total = F.sum(_units(value, money_scale)) / F.lit(float(10**money_scale))
+    return F.coalesce(total, F.lit(0.0))
 
 
 def money_avg(value: Column, money_scale: int | None) -> Column:
     """Aggregate: mean, exact in its sum when ``money_scale`` is given."""
     if money_scale is None:
         return F.avg(value)
-    total = F.sum(value.cast(f"decimal(28,{money_scale})")).cast("double")
-    return F.when(F.count(value) > 0, total / F.count(value))
+    total = F.sum(_units(value, money_scale)) / F.lit(float(10**money_scale))
+    return total / F.when(F.count(value) > 0, F.count(value))
 
 
 def _order(df: DataFrame, order: list[str] | None) -> list[str]:
@@ -44,30 +66,40 @@ def _order(df: DataFrame, order: list[str] | None) -> list[str]:
     return POSITION if set(POSITION) <= set(df.columns) else []
 
 
+def _with_headers(features: DataFrame, headers: DataFrame | None, columns: list[str]) -> DataFrame:
+    """Header columns put right after the key, joined from ``headers`` unless already there."""
+    features = features.where(F.col(KEY).isNotNull())
+    if headers is None:
+        return features
+    joined = features.join(headers.select(KEY, *columns), KEY, "inner")
+    return joined.select(KEY, *columns, *[c for c in features.columns if c != KEY])
+
+
 def bureau_features(
     trades: DataFrame,
     order: list[str] | None = None,
     money_scale: int | None = None,
+    headers: DataFrame | None = None,
     approximate_trade_count: bool = False,
 ) -> DataFrame:
-    """Score, bureau, trade count, delinquency and balance features per applicant."""
+    """Score, bureau, trade count, delinquency and balance features per applicant.
+
+    ``headers`` (one row per applicant) replaces the header columns of ``trades``.
+    """
     order = _order(trades, order)
     count = F.approx_count_distinct if approximate_trade_count else F.count_distinct
+    own = [] if headers is not None else BUREAU_HEADERS
+    balance, sanctioned = F.col("current_balance"), F.col("sanctioned_amount")
     features = trades.groupBy(KEY).agg(
-        first_known(F.col("score_v3"), order).alias("score_v3"),
-        first_known(F.col("bureau"), order).alias("bureau"),
+        *[first_known(F.col(c), order).alias(c) for c in own],
         count(F.col("trade_ref_num")).alias("num_trades"),
         F.max("dpd").alias("max_dpd"),
         F.avg("dpd").alias("avg_dpd"),
-        money_sum(coerce.known(F.col("current_balance")), money_scale).alias("total_current_balance"),
-        money_sum(coerce.known(F.col("sanctioned_amount")), money_scale).alias(
-            "total_sanctioned_amount"
-        ),
+        money_sum(coerce.known(balance), money_scale).alias("total_current_balance"),
+        money_sum(coerce.known(sanctioned), money_scale).alias("total_sanctioned_amount"),
     )
-    return features.select(
-        "*",
-        *[rules.at_least(F.col("max_dpd"), n).alias(f"dpd_{n}_plus") for n in rules.DPD_LEVELS],
-    ).where(F.col(KEY).isNotNull())
+    flags = [rules.at_least(F.col("max_dpd"), n).alias(f"dpd_{n}_plus") for n in rules.DPD_LEVELS]
+    return _with_headers(features.select("*", *flags), headers, BUREAU_HEADERS)
 
 
 def flag_transactions(transactions: DataFrame, whole_words: bool = False) -> DataFrame:
@@ -89,17 +121,21 @@ def banking_features(
     transactions: DataFrame,
     order: list[str] | None = None,
     money_scale: int | None = None,
+    headers: DataFrame | None = None,
     whole_words: bool = False,
 ) -> DataFrame:
-    """Cash-flow and balance features per applicant. Wording counts ignore the direction."""
+    """Cash-flow and balance features per applicant. Wording counts ignore the direction.
+
+    ``headers`` (one row per applicant) replaces the header columns of ``transactions``.
+    """
     order = _order(transactions, order)
+    own = [] if headers is not None else BANKING_HEADERS
     balance = coerce.known(F.col("bal_after"))
     features = (
         flag_transactions(transactions, whole_words)
         .groupBy(KEY)
         .agg(
-            first_known(F.col("bank_name"), order).alias("bank_name"),
-            first_known(F.col("acct_num"), order).alias("acct_num"),
+            *[first_known(F.col(c), order).alias(c) for c in own],
             F.count(coerce.known(F.col("txn_amount"))).alias("txn_count"),
             money_sum(F.col("credit_amt"), money_scale).alias("total_credits"),
             money_sum(F.col("debit_amt"), money_scale).alias("total_debits"),
@@ -111,7 +147,7 @@ def banking_features(
             F.max(balance).alias("max_balance"),
         )
     )
-    return features.where(F.col(KEY).isNotNull())
+    return _with_headers(features, headers, BANKING_HEADERS)
 
 
 def join_features(bureau: DataFrame, banking: DataFrame) -> DataFrame:
@@ -128,8 +164,26 @@ def build_features(
     trade_order: list[str] | None = None,
     transaction_order: list[str] | None = None,
 ) -> DataFrame:
-    """The applicant feature table: one row per applicant, 23 columns."""
+    """The applicant feature table of two flat tables: one row per applicant, 23 columns."""
     return join_features(
         bureau_features(trades, trade_order, money_scale),
         banking_features(transactions, transaction_order, money_scale),
     )
+
+
+def features_of_documents(
+    bureau: DataFrame, banking: DataFrame, money_scale: int | None = None
+) -> DataFrame:
+    """The same table from parsed, accepted documents."""
+    return join_features(
+        bureau_features(
+            flatten_trades(bureau),
+            money_scale=money_scale,
+            headers=document_headers(bureau, BUREAU_HEADERS),
+        ),
+        banking_features(
+            flatten_transactions(banking),
+            money_scale=money_scale,
+            headers=document_headers(banking, BANKING_HEADERS),
+        ),
+    )

@@ -1,7 +1,8 @@
 """Raw documents -> one typed row per document, with a reason when it cannot be used.
 
-Each text is parsed once, into a typed array of its items. Stored as Parquet, later passes read
-single leaf columns of that array and never touch the JSON again.
+Each text is parsed once, and all items come out of it in one cast to an array of structs whose
+untrusted fields stay VARIANT until they are coerced. Stored as Parquet, later passes read single
+leaf columns of the typed array and never touch the JSON again.
 """
 
 from __future__ import annotations
@@ -13,49 +14,54 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import coerce
 
+# Keys of the items.
+TRADE_FIELDS = (
+    "TRADE_REF_NUM string, PRODUCT_TYPE string, DATE_OPENED string, "
+    "CURRENT_BALANCE variant, SANCTIONED_AMOUNT variant, DPD variant"
+)
+TRANSACTION_FIELDS = (
+    "TXN_DATE string, TXN_AMOUNT variant, TXN_TYPE string, TXN_DESC string, BAL_AFTER variant"
+)
 
-def _text(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f"$.{key}", "string")
 
-
-def _value(value: Column, key: str) -> Column:
-    return F.try_variant_get(value, f"$.{key}", "variant")
+def _text(doc: Column, key: str) -> Column:
+    return F.try_variant_get(doc, f"$.{key}", "string")
 
 
 def _parse(
     docs: DataFrame,
     header: dict[str, Callable[[Column], Column]],
     items_key: str,
+    item_fields: str,
     items: str,
-    item: Callable[[Column], list[Column]],
+    item: Callable[[Column], dict[str, Column]],
     amounts: list[str],
 ) -> DataFrame:
-    opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
     doc = F.col("doc")
+    opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
     fields = opened.select(
         "stem",
         doc.isNull().alias("corrupt"),
         F.col("raw").rlike(r"^\s*\{").alias("is_object"),
         *[make(doc).alias(name) for name, make in header.items()],
-        _value(doc, items_key).isNull().alias("no_items"),
-        F.try_variant_get(doc, f"$.{items_key}", "array<variant>").alias("elements"),
+        F.try_variant_get(doc, f"$.{items_key}", "variant").isNull().alias("no_items"),
+        # Null when it is no array; an element that is no object becomes a null struct.
+        F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>").alias("elements"),
     )
-    typed = fields.withColumn(
-        items, F.transform("elements", lambda e: F.struct(*item(e)))
-    ).withColumn(
-        "all_objects",
-        F.forall("elements", lambda e: F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False))),
-    )
-    unusable = F.exists(
-        items, lambda i: F.lit(False) if not amounts else _any_null([i[name] for name in amounts])
+    typed = fields.select(
+        "*",
+        F.transform(
+            "elements", lambda e: F.struct(*[c.alias(name) for name, c in item(e).items()])
+        ).alias(items),
     )
+    bad_amount = F.exists(items, lambda i: _any_null([i[name] for name in amounts]))
     reason = (
         F.when(F.col("corrupt"), "corrupt_json")
         .when(~F.col("is_object"), "not_an_object")
         .when(F.col("loan_app_id").isNull(), "missing_id")
         .when(F.col("no_items"), None)
-        .when(F.col("elements").isNull() | ~F.col("all_objects"), "bad_items")
-        .when(unusable, "bad_amount")
+        .when(F.col("elements").isNull() | F.exists("elements", lambda e: e.isNull()), "bad_items")
+        .when(bad_amount, "bad_amount")
     )
     return typed.select(
         "stem",
@@ -67,8 +73,8 @@ def _parse(
 
 
 def _any_null(columns: list[Column]) -> Column:
-    found = F.lit(False)
-    for column in columns:
+    found = columns[0].isNull()
+    for column in columns[1:]:
         found = found | column.isNull()
     return found
 
@@ -85,15 +91,16 @@ def parse_bureau(docs: DataFrame) -> DataFrame:
             "score_v3": lambda d: F.try_variant_get(d, "$.SCORE_V3", "bigint"),
         },
         items_key="TRADES",
+        item_fields=TRADE_FIELDS,
         items="trades",
-        item=lambda t: [
-            _text(t, "TRADE_REF_NUM").alias("trade_ref_num"),
-            _text(t, "PRODUCT_TYPE").alias("product_type"),
-            _text(t, "DATE_OPENED").alias("date_opened"),
-            coerce.amount(_value(t, "CURRENT_BALANCE")).alias("current_balance"),
-            coerce.amount(_value(t, "SANCTIONED_AMOUNT")).alias("sanctioned_amount"),
-            coerce.days_past_due(_value(t, "DPD")).alias("dpd"),
-        ],
+        item=lambda t: {
+            "trade_ref_num": t["TRADE_REF_NUM"],
+            "product_type": t["PRODUCT_TYPE"],
+            "date_opened": t["DATE_OPENED"],
+            "current_balance": coerce.amount(t["CURRENT_BALANCE"]),
+            "sanctioned_amount": coerce.amount(t["SANCTIONED_AMOUNT"]),
+            "dpd": coerce.days_past_due(t["DPD"]),
+        },
         amounts=["current_balance", "sanctioned_amount"],
     )
 
@@ -108,13 +115,14 @@ def parse_banking(docs: DataFrame) -> DataFrame:
             "acct_num": lambda d: _text(d, "ACCT_NUM"),
         },
         items_key="TRANSACTIONS",
+        item_fields=TRANSACTION_FIELDS,
         items="transactions",
-        item=lambda t: [
-            coerce.timestamp(_text(t, "TXN_DATE")).alias("txn_date"),
-            coerce.amount(_value(t, "TXN_AMOUNT")).alias("txn_amount"),
-            _text(t, "TXN_TYPE").alias("txn_type"),
-            _text(t, "TXN_DESC").alias("txn_desc"),
-            coerce.amount(_value(t, "BAL_AFTER")).alias("bal_after"),
-        ],
+        item=lambda t: {
+            "txn_date": coerce.timestamp(t["TXN_DATE"]),
+            "txn_amount": coerce.amount(t["TXN_AMOUNT"]),
+            "txn_type": t["TXN_TYPE"],
+            "txn_desc": t["TXN_DESC"],
+            "bal_after": coerce.amount(t["BAL_AFTER"]),
+        },
         amounts=["txn_amount", "bal_after"],
     )

@@ -44,18 +44,37 @@ def query(function: Query) -> Query:
 # --- shared inputs ---------------------------------------------------------------------------
 
 
-def bureau_side(spark: SparkSession, sf: str) -> DataFrame:
+def _named(by_customer: DataFrame) -> DataFrame:
+    """Rows keyed by customer number get the text id, once per applicant instead of per item."""
+    return by_customer.withColumn(KEY, lending.applicant_id(F.col(KEY)))
+
+
+def _bureau(spark: SparkSession, sf: str) -> DataFrame:
     return features.bureau_features(
-        lending.trades(spark, sf), lending.TRADE_ORDER, lending.MONEY_SCALE
+        lending.trade_facts(spark, sf),
+        money_scale=lending.MONEY_SCALE,
+        headers=lending.headers(spark, sf),
     )
 
 
+def _banking(spark: SparkSession, sf: str) -> DataFrame:
+    return features.banking_features(
+        lending.transaction_facts(spark, sf),
+        money_scale=lending.MONEY_SCALE,
+        headers=lending.headers(spark, sf),
+    )
+
+
+def bureau_side(spark: SparkSession, sf: str) -> DataFrame:
+    return _named(_bureau(spark, sf))
+
+
 def banking_side(spark: SparkSession, sf: str) -> DataFrame:
-    return features.banking_features(lending.transactions(spark, sf), [], lending.MONEY_SCALE)
+    return _named(_banking(spark, sf))
 
 
 def feature_table(spark: SparkSession, sf: str) -> DataFrame:
-    return features.join_features(bureau_side(spark, sf), banking_side(spark, sf))
+    return _named(features.join_features(_bureau(spark, sf), _banking(spark, sf)))
 
 
 def labelled_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -68,11 +87,12 @@ def scored_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def parsed_bureau(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse_bureau(lending.bureau_documents(spark, sf))
+    """Documents parsed once and written, as the build job does."""
+    return stage(parse.parse_bureau(lending.bureau_documents(spark, sf)), "bureau")
 
 
 def parsed_banking(spark: SparkSession, sf: str) -> DataFrame:
-    return parse.parse_banking(lending.banking_documents(spark, sf))
+    return stage(parse.parse_banking(lending.banking_documents(spark, sf)), "banking")
 
 
 def usable(parsed: DataFrame) -> DataFrame:
@@ -348,16 +368,25 @@ def a11_feature_table(spark, sf):
     return feature_table(spark, sf)
 
 
+@query
+def a11_feature_table_of_flat_tables(spark, sf):
+    """The same rows from flat tables that repeat the header values on every item."""
+    return features.build_features(
+        lending.trades(spark, sf),
+        lending.transactions(spark, sf),
+        lending.MONEY_SCALE,
+        trade_order=lending.TRADE_ORDER,
+        transaction_order=[],
+    )
+
+
 @query
 def a11_features_from_documents(spark, sf):
     """Raw documents to feature rows: parse, pair, quarantine, flatten, aggregate."""
-    bureau = stage(parsed_bureau(spark, sf), "bureau")
-    banking = stage(parsed_banking(spark, sf), "banking")
+    bureau, banking = parsed_bureau(spark, sf), parsed_banking(spark, sf)
     rejected = stage(pairing.rejects(pairing.pair_documents(bureau, banking)), "rejects")
-    return features.build_features(
-        flatten.flatten_trades(pairing.accepted(bureau, rejected), with_position=True),
-        flatten.flatten_transactions(pairing.accepted(banking, rejected), with_position=True),
-        lending.MONEY_SCALE,
+    return features.features_of_documents(
+        pairing.accepted(bureau, rejected), pairing.accepted(banking, rejected), lending.MONEY_SCALE
     )
 
 

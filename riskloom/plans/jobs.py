@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators import discrimination, features, flatten, labels, models, pairing, parse
+from riskloom.operators import discrimination, features, labels, models, pairing, parse
 from riskloom.operators.reports import report_pack
 from riskloom.sources import documents, tables
 
@@ -76,10 +76,8 @@ def build_from_documents(
     banking = spark.read.parquet(layout.parsed_banking)
     tables.write_table(pairing.rejects(pairing.pair_documents(bureau, banking)), layout.rejects)
     rejected = spark.read.parquet(layout.rejects)
-    table = features.build_features(
-        flatten.flatten_trades(pairing.accepted(bureau, rejected), with_position=True),
-        flatten.flatten_transactions(pairing.accepted(banking, rejected), with_position=True),
-        money_scale,
+    table = features.features_of_documents(
+        pairing.accepted(bureau, rejected), pairing.accepted(banking, rejected), money_scale
     )
     tables.write_table(labels.attach_labels(table, outcomes), layout.features)
     written = spark.read.parquet(layout.features)

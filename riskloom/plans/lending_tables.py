@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.coerce import days_past_due_text
-from riskloom.schemas import KEY, LABEL, SCORE, TRADE_COLUMNS, TRANSACTION_COLUMNS
+from riskloom.schemas import KEY, LABEL, SCORE, TRADE_COLUMNS
 
 # Bureau and bank names.
 BUREAUS = ["CIBIL", "Experian", "Equifax", "CRIF"]
@@ -63,29 +63,61 @@ def raw_dpd(order_key: Column, status: Column) -> Column:
     )
 
 
-def trades(spark: SparkSession, sf_dir: str, with_position: bool = True) -> DataFrame:
-    """One row per trade; ``pos`` gives the document order."""
-    o = table(spark, sf_dir, "orders")
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bureau and bank header values, one row per applicant, keyed by customer number."""
+    key = F.col("c_custkey")
+    return applicants(spark, sf_dir).select(
+        key.alias(KEY), "score_v3", "bureau", *_bank_header(key)
+    )
+
+
+def _bank_header(customer: Column) -> list[Column]:
+    return [
+        pick(BANKS, customer).alias("bank_name"),
+        F.format_string("%012d", customer).alias("acct_num"),
+    ]
+
+
+def _trade_values() -> dict[str, Column]:
     order_key, status, price = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice")
+    return {
+        "current_balance": F.when(status == "O", price).otherwise(0.0),
+        "sanctioned_amount": price,
+        "dpd": days_past_due_text(raw_dpd(order_key, status)),
+    }
+
+
+def trade_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trades without their headers, keyed by customer number: orders alone, no join."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias(KEY),
+        F.col("o_orderkey").alias("trade_ref_num"),
+        *[value.alias(name) for name, value in _trade_values().items()],
+    )
+
+
+def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per trade, header values repeated; ``pos`` gives the document order."""
+    o = table(spark, sf_dir, "orders")
     joined = o.join(applicants(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-    rows = joined.select(
+    return joined.select(
         *TRADE_COLUMNS[:5],
-        order_key.cast("string").alias("trade_ref_num"),
+        F.col("o_orderkey").cast("string").alias("trade_ref_num"),
         F.col("o_orderpriority").alias("product_type"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_opened"),
-        F.when(status == "O", price).otherwise(0.0).alias("current_balance"),
-        price.alias("sanctioned_amount"),
-        days_past_due_text(raw_dpd(order_key, status)).alias("dpd"),
-        order_key.alias("pos"),
+        *[value.alias(name) for name, value in _trade_values().items()],
+        F.col("o_orderkey").alias("pos"),
     )
-    return rows if with_position else rows.drop("pos")
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per bank transaction."""
+def _owned_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     item = table(spark, sf_dir, "lineitem")
-    customer, line = F.col("o_custkey"), F.col("l_linenumber")
+    return item.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def _transaction_values() -> dict[str, Column]:
+    line, price = F.col("l_linenumber"), F.col("l_extendedprice")
     description = (
         F.when(line == 1, "Salary")
         .when(line == 2, "Loan EMI")
@@ -94,17 +126,31 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(line == 5, None)
         .otherwise("UPI Transfer")
     )
-    price = F.col("l_extendedprice")
-    return item.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return {
+        "txn_date": F.col("l_shipdate"),
+        "txn_amount": price,
+        "txn_type": F.when(F.col("l_returnflag") == "R", "CR").otherwise("DR"),
+        "txn_desc": description,
+        "bal_after": to_cents(price * (1 - F.col("l_discount")) - 1000 * F.col("l_quantity")),
+    }
+
+
+def transaction_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions without their headers, keyed by customer number."""
+    return _owned_items(spark, sf_dir).select(
+        F.col("o_custkey").alias(KEY),
+        *[value.alias(name) for name, value in _transaction_values().items()],
+    )
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per bank transaction, header values repeated."""
+    customer = F.col("o_custkey")
+    return _owned_items(spark, sf_dir).select(
         applicant_id(customer).alias(KEY),
-        pick(BANKS, customer).alias("bank_name"),
-        F.format_string("%012d", customer).alias("acct_num"),
-        F.col("l_shipdate").alias("txn_date"),
-        price.alias("txn_amount"),
-        F.when(F.col("l_returnflag") == "R", "CR").otherwise("DR").alias("txn_type"),
-        description.alias("txn_desc"),
-        to_cents(price * (1 - F.col("l_discount")) - 1000 * F.col("l_quantity")).alias("bal_after"),
-    ).select(*TRANSACTION_COLUMNS)
+        *_bank_header(customer),
+        *[value.alias(name) for name, value in _transaction_values().items()],
+    )
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,17 +238,27 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "DOB": F.lit('"1990-01-01"'),
         "BUREAU": _quoted(pick(BUREAUS, customer)),
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
-        "TRADES": items,
+        "TRADES": F.col("items"),
     }
-    whole = _object({"LOAN_APP_ID": _quoted(applicant_id(customer)), **tail})
+    rows = table(spark, sf_dir, "orders").where(~_defect(k, 18)).withColumn("items", items)
+    return _written(rows, "TRADES", tail, applicant_id(customer), cut=1, array=2, no_id=3)
+
+
+def _written(
+    rows: DataFrame, items_key: str, tail: dict[str, Column], holder: Column, cut: int, array: int, no_id: int
+) -> DataFrame:
+    """``stem, raw`` of the documents, in steps so that each text is put together once."""
+    k = F.col("o_orderkey")
+    whole = F.concat(F.lit('{"LOAN_APP_ID": '), _quoted(holder), F.lit(", "), F.col("body"))
     raw = (
-        F.when(_defect(k, 1), F.substring_index(whole, '"TRADES"', 1))
-        .when(_defect(k, 2), F.concat(F.lit("["), whole, F.lit("]")))
-        .when(_defect(k, 3), _object(tail))
-        .otherwise(whole)
+        F.when(_defect(k, cut), F.substring_index("whole", f'"{items_key}"', 1))
+        .when(_defect(k, array), F.concat(F.lit("["), "whole", F.lit("]")))
+        .when(_defect(k, no_id), F.concat(F.lit("{"), "body"))
+        .otherwise(F.col("whole"))
     )
-    rows = table(spark, sf_dir, "orders").where(~_defect(k, 18))
-    return rows.select(document_stem(k).alias("stem"), raw.alias("raw"))
+    bodies = rows.withColumn("body", F.substring(_object(tail), 2, 1 << 30))
+    texts = bodies.withColumn("whole", whole)
+    return texts.select(document_stem(k).alias("stem"), raw.alias("raw"))
 
 
 def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,15 +302,8 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tail = {
         "BANK_NAME": _quoted(pick(BANKS, customer)),
         "ACCT_NUM": _quoted(F.format_string("%012d", customer)),
-        "TRANSACTIONS": items,
+        "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
-    whole = _object({"LOAN_APP_ID": _quoted(holder), **tail})
-    raw = (
-        F.when(_defect(k, 12), F.substring_index(whole, '"TRANSACTIONS"', 1))
-        .when(_defect(k, 13), _object(tail))
-        .when(_defect(k, 17), F.concat(F.lit("["), whole, F.lit("]")))
-        .otherwise(whole)
-    )
-    files = table(spark, sf_dir, "orders").where(~_defect(k, 11))
-    return files.select(document_stem(k).alias("stem"), raw.alias("raw"))
+    files = table(spark, sf_dir, "orders").where(~_defect(k, 11)).withColumn("items", items)
+    return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)
