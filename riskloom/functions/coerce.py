@@ -86,8 +86,9 @@ def amount(value: Column) -> Column:
 
 
 def timestamp(text: Column) -> Column:
-    """Timestamp from an ISO text; unparseable becomes null."""
-    return text.try_cast("timestamp")
+    """Timestamp without zone from an ISO text; unparseable becomes null. Statement dates are local
+    calendar dates, so the session's time zone must not shift them."""
+    return text.try_cast("timestamp_ntz")
 
 
 def known(value: Column) -> Column:

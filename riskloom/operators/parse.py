@@ -39,31 +39,32 @@ def _parse(
 ) -> DataFrame:
     doc = F.col("doc")
     opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
+    # Null when it is no array; an element that is no object becomes a null struct.
+    elements = F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>")
+
+    def typed(element: Column) -> Column:
+        values = item(element)
+        defect = F.when(element.isNull(), 2).when(_any_null([values[a] for a in amounts]), 1).otherwise(0)
+        return F.struct(*[c.alias(n) for n, c in values.items()], defect.alias("defect"))
+
     fields = opened.select(
         "stem",
         doc.isNull().alias("corrupt"),
         F.col("raw").rlike(r"^\s*\{").alias("is_object"),
         *[make(doc).alias(name) for name, make in header.items()],
         F.try_variant_get(doc, f"$.{items_key}", "variant").isNull().alias("no_items"),
-        # Null when it is no array; an element that is no object becomes a null struct.
-        F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>").alias("elements"),
-    )
-    typed = fields.select(
-        "*",
-        F.transform(
-            "elements", lambda e: F.struct(*[c.alias(name) for name, c in item(e).items()])
-        ).alias(items),
+        F.transform(elements, typed).alias(items),
     )
-    bad_amount = F.exists(items, lambda i: _any_null([i[name] for name in amounts]))
+    worst = fields.select("*", F.array_max(F.col(f"{items}.defect")).alias("worst"))
     reason = (
         F.when(F.col("corrupt"), "corrupt_json")
         .when(~F.col("is_object"), "not_an_object")
         .when(F.col("loan_app_id").isNull(), "missing_id")
         .when(F.col("no_items"), None)
-        .when(F.col("elements").isNull() | F.exists("elements", lambda e: e.isNull()), "bad_items")
-        .when(bad_amount, "bad_amount")
+        .when(F.col(items).isNull() | (F.col("worst") == 2), "bad_items")
+        .when(F.col("worst") == 1, "bad_amount")
     )
-    return typed.select(
+    return worst.select(
         "stem",
         *header,
         items,

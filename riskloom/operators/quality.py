@@ -29,11 +29,13 @@ def score_range(table: DataFrame) -> DataFrame:
 
 def missing_keys(docs: DataFrame, keys: list[str]) -> DataFrame:
     """``key, documents`` that lack the key, over all documents that are JSON objects."""
-    doc = F.try_parse_json("raw")
-    parsed = docs.where(F.col("raw").rlike(r"^\s*\{")).select(doc.alias("doc"))
-    counts = parsed.where(F.col("doc").isNotNull()).agg(
+    parsed = docs.select(
+        F.col("raw").rlike(r"^\s*\{").alias("is_object"), F.try_parse_json("raw").alias("doc")
+    )
+    readable = F.col("is_object") & F.col("doc").isNotNull()
+    counts = parsed.agg(
         *[
-            F.count_if(F.try_variant_get("doc", f"$.{key}", "variant").isNull()).alias(key)
+            F.count_if(readable & F.try_variant_get("doc", f"$.{key}", "variant").isNull()).alias(key)
             for key in keys
         ]
     )

@@ -148,9 +148,12 @@ def analytics(spark: SparkSession, layout: Layout, view: str = "applicants") ->
 
 
 def run_all(
-    spark: SparkSession, layout: Layout, limit: int | None = None
+    spark: SparkSession,
+    layout: Layout,
+    limit: int | None = None,
+    boosting_rounds: int = models.BOOSTING_ROUNDS,
 ) -> dict[str, DataFrame]:
     """build, score and analytics in turn; returns every result table by name."""
     build(spark, layout, limit)
-    results = score(spark, layout)
+    results = score(spark, layout, boosting_rounds=boosting_rounds)
     return {**results, **analytics(spark, layout)}

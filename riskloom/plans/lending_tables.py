@@ -28,6 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over the cores; any larger scan as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def applicant_id(key: Column) -> Column:
     return F.format_string("APP%06d", key)
 
@@ -240,7 +246,7 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
         "TRADES": F.col("items"),
     }
-    rows = table(spark, sf_dir, "orders").where(~_defect(k, 18)).withColumn("items", items)
+    rows = spread(table(spark, sf_dir, "orders")).where(~_defect(k, 18)).withColumn("items", items)
     return _written(rows, "TRADES", tail, applicant_id(customer), cut=1, array=2, no_id=3)
 
 
@@ -305,5 +311,5 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
-    files = table(spark, sf_dir, "orders").where(~_defect(k, 11)).withColumn("items", items)
+    files = spread(table(spark, sf_dir, "orders")).where(~_defect(k, 11)).withColumn("items", items)
     return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)

@@ -32,7 +32,7 @@ def read_documents(spark: SparkSession, path: str, glob: str = DOCUMENT_GLOB) ->
         .text(path, wholetext=True)
         .select("_metadata.file_name", F.col("value").alias("raw"))
     )
-    if not raw.inputFiles():
+    if raw.select("file_name").isEmpty():
         raise FileNotFoundError(f"no raw documents {glob} in {path}")
     return raw.select("file_name", stem_of(F.col("file_name")).alias("stem"), "raw")
 

@@ -105,6 +105,19 @@ def test_hashed_items_and_one_shuffle_per_side(spark):
     assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
+def test_joins_add_no_shuffle(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        table = features.build_features(trades(spark), transactions(spark))
+        plan = table._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # One per side on the key, and one that spreads the distinct trade references.
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert "SinglePartition" not in plan
+
+
 def _labels(spark, rows):
     return spark.createDataFrame(rows, "loan_app_id string, default_flag int")
 

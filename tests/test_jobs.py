@@ -118,6 +118,21 @@ def test_score_everyone(spark, built):
     assert spark.read.parquet(layout.scored).count() == 117
 
 
+def test_run_all(spark, raw, tmp_path):
+    shutil.copytree(raw / "raw", tmp_path / "raw")
+    results = jobs.run_all(spark, jobs.Layout(str(tmp_path)), boosting_rounds=2)
+    assert list(results) == [
+        "model_comparison",
+        "pd_deciles",
+        "risk_band_distribution",
+        "risk_band_profile",
+        "top_delinquent",
+        "default_rate_by_band",
+        "pd_quintiles",
+    ]
+    assert all(table.count() > 0 for table in results.values())
+
+
 def test_missing_inputs_are_errors(spark, tmp_path):
     layout = jobs.Layout(str(tmp_path))
     (tmp_path / "raw/bureau").mkdir(parents=True)

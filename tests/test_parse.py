@@ -22,7 +22,7 @@ def test_one_row_per_trade(spark):
 def test_one_row_per_transaction(spark):
     rows = flatten.flatten_transactions(parse.parse_banking(documents(spark, a=BANKING)))
     assert rows.columns == TRANSACTION_COLUMNS
-    assert dict(rows.dtypes)["txn_date"] == "timestamp"
+    assert dict(rows.dtypes)["txn_date"] == "timestamp_ntz"
     assert rows.agg(F.sum("txn_amount")).first()[0] == 58000.0
 
 
