@@ -43,9 +43,8 @@ def _parse(
     elements = F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>")
 
     def typed(element: Column) -> Column:
-        values = item(element)
-        defect = F.when(element.isNull(), 2).when(_any_null([values[a] for a in amounts]), 1).otherwise(0)
-        return F.struct(*[c.alias(n) for n, c in values.items()], defect.alias("defect"))
+        values = [c.alias(name) for name, c in item(element).items()]
+        return F.struct(*values, element.isNotNull().alias("is_object"))
 
     fields = opened.select(
         "stem",
@@ -55,16 +54,16 @@ def _parse(
         F.try_variant_get(doc, f"$.{items_key}", "variant").isNull().alias("no_items"),
         F.transform(elements, typed).alias(items),
     )
-    worst = fields.select("*", F.array_max(F.col(f"{items}.defect")).alias("worst"))
+    bad_amount = F.exists(items, lambda i: _any_null([i[name] for name in amounts]))
     reason = (
         F.when(F.col("corrupt"), "corrupt_json")
         .when(~F.col("is_object"), "not_an_object")
         .when(F.col("loan_app_id").isNull(), "missing_id")
         .when(F.col("no_items"), None)
-        .when(F.col(items).isNull() | (F.col("worst") == 2), "bad_items")
-        .when(F.col("worst") == 1, "bad_amount")
+        .when(F.col(items).isNull() | F.exists(items, lambda i: ~i["is_object"]), "bad_items")
+        .when(bad_amount, "bad_amount")
     )
-    return worst.select(
+    return fields.select(
         "stem",
         *header,
         items,

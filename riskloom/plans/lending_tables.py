@@ -34,8 +34,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def padded(key: Column, width: int) -> Column:
+    """Zero-padded number; a longer one keeps all its digits."""
+    text = key.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def applicant_id(key: Column) -> Column:
-    return F.format_string("APP%06d", key)
+    return F.concat(F.lit("APP"), padded(key, 6))
 
 
 def pick(names: list[str], key: Column) -> Column:
@@ -80,7 +86,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bank_header(customer: Column) -> list[Column]:
     return [
         pick(BANKS, customer).alias("bank_name"),
-        F.format_string("%012d", customer).alias("acct_num"),
+        padded(customer, 12).alias("acct_num"),
     ]
 
 
@@ -182,7 +188,7 @@ def fixed_pd(name: str = SCORE) -> Column:
 
 
 def document_stem(order_key: Column) -> Column:
-    return F.format_string("APP%09d", order_key)
+    return F.concat(F.lit("APP"), padded(order_key, 9))
 
 
 def _defect(order_key: Column, number: int) -> Column:
@@ -240,7 +246,7 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("["), first, F.lit(", "), second, F.lit("]")))
     )
     tail = {
-        "NAME": _quoted(F.format_string("Customer#%09d", customer)),
+        "NAME": _quoted(F.concat(F.lit("Customer#"), padded(customer, 9))),
         "DOB": F.lit('"1990-01-01"'),
         "BUREAU": _quoted(pick(BUREAUS, customer)),
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
@@ -307,7 +313,7 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     tail = {
         "BANK_NAME": _quoted(pick(BANKS, customer)),
-        "ACCT_NUM": _quoted(F.format_string("%012d", customer)),
+        "ACCT_NUM": _quoted(padded(customer, 12)),
         "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
