@@ -58,21 +58,51 @@ def decile_check(table: DataFrame) -> DataFrame:
     )
 
 
-def chronology_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
-    """Transactions dated before the one listed ahead of them in the same statement."""
-    lagged = with_previous(transactions, keys, pos, ["txn_date"])
+def _dated_early(lagged: DataFrame) -> DataFrame:
     return lagged.where(F.col("txn_date") < F.col("prev_txn_date"))
 
 
-def balance_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
-    """Transactions whose balance is not the previous balance plus or minus the amount."""
-    lagged = with_previous(transactions, keys, pos, ["bal_after"])
+def _unbalanced(lagged: DataFrame) -> DataFrame:
     signed = F.when(F.col("txn_type") == "DR", -F.col("txn_amount")).otherwise(F.col("txn_amount"))
     gap = F.abs(F.col("bal_after") - (F.col("prev_bal_after") + signed))
     # Half a cent of slack absorbs the binary representation of cents.
     return lagged.where(gap > BALANCE_TOLERANCE + 0.005)
 
 
+def chronology_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """Transactions dated before the one listed ahead of them in the same statement."""
+    return _dated_early(with_previous(transactions, keys, pos, ["txn_date"]))
+
+
+def balance_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """Transactions whose balance is not the previous balance plus or minus the amount."""
+    return _unbalanced(with_previous(transactions, keys, pos, ["bal_after"]))
+
+
+def _steps(parsed: DataFrame, columns: list[str], previous: list[str]) -> DataFrame:
+    """Every item of parsed statements beside the one before it: both come out of the same array, so
+    nothing is shuffled."""
+    rows = parsed.select(KEY, "stem", "transactions", F.posexplode_outer("transactions"))
+    item, before = F.col("col"), F.get("transactions", F.col("pos") - 1)
+    return rows.select(
+        KEY,
+        "stem",
+        "pos",
+        *[item[c].alias(c) for c in columns],
+        *[before[c].alias(f"prev_{c}") for c in previous],
+    )
+
+
+def chronology_breaks_in_documents(parsed: DataFrame) -> DataFrame:
+    """``chronology_breaks`` straight from parsed statements."""
+    return _dated_early(_steps(parsed, ["txn_date"], ["txn_date"]))
+
+
+def balance_breaks_in_documents(parsed: DataFrame) -> DataFrame:
+    """``balance_breaks`` straight from parsed statements."""
+    return _unbalanced(_steps(parsed, ["txn_amount", "txn_type", "bal_after"], ["bal_after"]))
+
+
 def breaks_per_applicant(breaks: DataFrame) -> DataFrame:
     """``loan_app_id, breaks``."""
     return breaks.groupBy(KEY).agg(F.count("*").alias("breaks"))

@@ -475,12 +475,25 @@ def _statement_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def w5_chronology_breaks(spark, sf):
+    statements = usable(parsed_banking(spark, sf))
+    return quality.breaks_per_applicant(quality.chronology_breaks_in_documents(statements))
+
+
+@query
+def w5_chronology_breaks_of_rows(spark, sf):
+    """The same from a flat table, where the previous row has to be found by key and position."""
     breaks = quality.chronology_breaks(_statement_rows(spark, sf), ["stem"])
     return quality.breaks_per_applicant(breaks)
 
 
 @query
 def w6_balance_breaks(spark, sf):
+    statements = usable(parsed_banking(spark, sf))
+    return quality.breaks_per_applicant(quality.balance_breaks_in_documents(statements))
+
+
+@query
+def w6_balance_breaks_of_rows(spark, sf):
     breaks = quality.balance_breaks(_statement_rows(spark, sf), ["stem"])
     return quality.breaks_per_applicant(breaks)
 
