@@ -15,12 +15,12 @@ POSITION = ["stem", "pos"]
 
 def _flatten(parsed: DataFrame, items: str, columns: list[str], with_position: bool) -> DataFrame:
     header = [c for c in columns if c in parsed.columns]
-    # The outer form keeps Catalyst from inferring a size() filter that would parse twice when the
-    # documents are not stored; rows of empty arrays go away again right after.
-    rows = parsed.select("stem", *header, F.posexplode_outer(items).alias("pos", "item"))
-    rows = rows.where(F.col("pos").isNotNull())
+    # explode, unlike posexplode, lets Catalyst prune the scan to the leaf columns in use; the
+    # position is a field of the items.
+    rows = parsed.select("stem", *header, F.explode(items).alias("item"))
     flat = [F.col(c) if c in header else F.col(f"item.{c}").alias(c) for c in columns]
-    return rows.select(*flat, *(POSITION if with_position else []))
+    place = [F.col("stem"), F.col("item.pos").alias("pos")]
+    return rows.select(*flat, *(place if with_position else []))
 
 
 def flatten_trades(parsed: DataFrame, with_position: bool = False) -> DataFrame:

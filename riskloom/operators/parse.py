@@ -42,9 +42,9 @@ def _parse(
     # Null when it is no array; an element that is no object becomes a null struct.
     elements = F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>")
 
-    def typed(element: Column) -> Column:
+    def typed(element: Column, pos: Column) -> Column:
         values = [c.alias(name) for name, c in item(element).items()]
-        return F.struct(*values, element.isNotNull().alias("is_object"))
+        return F.struct(pos.alias("pos"), *values, element.isNotNull().alias("is_object"))
 
     fields = opened.select(
         "stem",

@@ -80,16 +80,18 @@ def balance_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -
 
 
 def _steps(parsed: DataFrame, columns: list[str], previous: list[str]) -> DataFrame:
-    """Every item of parsed statements beside the one before it: both come out of the same array, so
-    nothing is shuffled."""
-    rows = parsed.select(KEY, "stem", "transactions", F.posexplode_outer("transactions"))
-    item, before = F.col("col"), F.get("transactions", F.col("pos") - 1)
+    """Every item of parsed statements beside the one before it: both come out of the same arrays, so
+    nothing is shuffled, and only the arrays in use are read."""
+    arrays = [F.col(f"transactions.{c}").alias(f"all_{c}") for c in columns]
+    narrow = parsed.select(KEY, "stem", *arrays)
+    zipped = F.posexplode_outer(F.arrays_zip(*[F.col(f"all_{c}").alias(c) for c in columns]))
+    rows = narrow.select("*", zipped)
     return rows.select(
         KEY,
         "stem",
         "pos",
-        *[item[c].alias(c) for c in columns],
-        *[before[c].alias(f"prev_{c}") for c in previous],
+        *[F.col(f"col.{c}") for c in columns],
+        *[F.get(f"all_{c}", F.col("pos") - 1).alias(f"prev_{c}") for c in previous],
     )
 
 

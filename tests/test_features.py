@@ -146,3 +146,28 @@ def test_missing_labels_are_an_error(spark):
         labels.require_labels(table)
     with pytest.raises(ValueError, match="default_flag"):
         labels.require_labels(labels.attach_labels(table, _labels(spark, [("A9", 0)])))
+
+
+def test_scans_read_only_the_item_columns_in_use(spark, tmp_path):
+    from fixtures import BANKING, documents
+
+    from riskloom.operators import flatten, parse, quality
+
+    path = str(tmp_path / "parsed")
+    parse.parse_banking(documents(spark, a=BANKING)).write.parquet(path)
+    parsed = spark.read.parquet(path)
+
+    def items_read(df):
+        schemas = []
+        plan = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(plan.size()):
+            schemas += [a.dataType().simpleString() for a in _java(plan.apply(i).output())]
+        return [s for s in schemas if s.startswith("array")]
+
+    def _java(seq):
+        return [seq.apply(i) for i in range(seq.size())]
+
+    rows = flatten.flatten_transactions(parsed).groupBy("loan_app_id").agg(F.sum("txn_amount"))
+    assert items_read(rows) == ["array<struct<txn_amount:double>>"]
+    breaks = quality.breaks_per_applicant(quality.chronology_breaks_in_documents(parsed))
+    assert items_read(breaks) == ["array<struct<txn_date:timestamp_ntz>>"]
