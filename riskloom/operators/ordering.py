@@ -20,11 +20,14 @@ _ROW_BITS = 33
 
 
 def _place(df: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:
-    """``df`` with ``_bin`` and ``_row`` (0-based), written to a staged table."""
-    spark = df.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """``df`` with ``_bin`` and ``_row`` (0-based), written to a staged table.
+
+    Without a given number, adaptive execution may merge neighbouring ranges that are small; merged
+    neighbours are one longer range, sorted as a whole after the merge.
+    """
+    bounds = [partitions, *order] if partitions else order
     placed = (
-        df.repartitionByRange(count, *order)
+        df.repartitionByRange(*bounds)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
     )

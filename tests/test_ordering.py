@@ -20,7 +20,41 @@ def _order():
     return [F.col("pd_score").asc_nulls_last(), F.col("loan_app_id").asc_nulls_last()]
 
 
-@pytest.mark.parametrize("partitions", [1, 4, 64])
+@pytest.fixture(params=[8, 200])
+def shuffle_partitions(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_row_numbers_with_merged_ranges(spark, shuffle_partitions):
+    """Adaptive execution merges small ranges; wide rows keep several of them apart."""
+    rows, df = _scores(spark, 5000)
+    hashes = [F.sha2(F.concat("loan_app_id", F.lit(str(i))), 512) for i in range(8)]
+    wide = df.withColumn("filler", F.concat(*hashes))
+    adaptive = "spark.sql.adaptive"
+    settings = {
+        f"{adaptive}.advisoryPartitionSizeInBytes": "256k",
+        f"{adaptive}.coalescePartitions.minPartitionSize": "64k",
+    }
+    for parallel in ("true", "false"):
+        settings[f"{adaptive}.coalescePartitions.parallelismFirst"] = parallel
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            placed = ordering._place(wide, _order(), None)
+            found = ordering.number_rows(wide, _order(), "rank").select("loan_app_id", "rank").collect()
+        finally:
+            for key in settings:
+                spark.conf.unset(key)
+        bins = placed.select("_bin").distinct().count()
+        assert 1 < bins <= shuffle_partitions
+        expected = {key: i + 1 for i, (key, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])))}
+        assert {r.loan_app_id: r["rank"] for r in found} == expected
+
+
+@pytest.mark.parametrize("partitions", [None, 1, 4, 64])
 def test_row_numbers(spark, partitions):
     rows, df = _scores(spark)
     found = ordering.number_rows(df.repartition(7), _order(), "rank", "n", partitions).collect()
@@ -43,7 +77,7 @@ def test_nulls_come_last_and_empty_input(spark):
     assert ordering.number_rows(df.limit(0), _order(), "rank").count() == 0
 
 
-@pytest.mark.parametrize("partitions", [1, 5, 40])
+@pytest.mark.parametrize("partitions", [None, 1, 5, 40])
 def test_running_totals(spark, partitions):
     draw = random.Random(3)
     rows = [(i / 7, draw.randint(0, 9), draw.randint(0, 9)) for i in range(400)]
