@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, repeats
+from riskloom.llm import byte_bpe, jaccard, repeats, secrets
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _span_list(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: those of fixed patterns, and what the character network adds."""
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(_span_list("base").cast("binary"), 256).alias("base_sha256"),
+        _span_list("spans").alias("spans"),
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under the public 50k multilingual ranks, and what they decode to."""
     import public_tokenizers
@@ -29,6 +49,11 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingles overlap by three quarters."""
+    return jaccard.similar_components(table(spark, sf_dir, "documents"))
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the passages of 35 words or more that repeat."""
     out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
@@ -37,7 +62,9 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secrets": op3_secrets,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_jaccard": op8_jaccard,
     "op10_repeats": op10_repeats,
 }
 
