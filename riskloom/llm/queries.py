@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, jaccard, repeats, secrets
+from riskloom.llm import byte_bpe, jaccard, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,14 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    network = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, network)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text under the public 50k multilingual ranks, and what they decode to."""
     import public_tokenizers
@@ -64,6 +72,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op7_byte_bpe": op7_byte_bpe,
+    "op6_toxicity": op6_toxicity,
     "op8_jaccard": op8_jaccard,
     "op10_repeats": op10_repeats,
 }
