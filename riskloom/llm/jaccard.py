@@ -10,7 +10,10 @@ Empty parts say nothing; a set with too few others also signs each of its shingl
 
 *Candidates.* Sets under one signature are compared with one of them, not with each other. Groups whose
 members aren't all connected after that go on with further members until they are or none is left, so
-no link between different components is lost. Links are verified exactly on the whole sets.
+no link between different components is lost. Any fixed order of parts will do for "first", so where a
+passage of many texts fills large groups, its signatures are moved to the end of the order and the
+texts concerned sign again. Sizes and parities of hashes rule out most candidates; the others are
+verified exactly on their whole sets.
 
 Equal sets are one node from the start, so copies cost nothing beyond their own rows. Null and empty
 texts have empty sets, are linked with nothing and are their own component. Rows with a null id have a
@@ -26,12 +29,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import BROADCAST_ROWS, WordHashes, Words, bytes_of, lists, mixed, small_batches, text_key
+from riskloom.llm.common import (
+    BROADCAST_ROWS,
+    WordHashes,
+    Words,
+    bytes_of,
+    lists,
+    mixed,
+    small_batches,
+    text_key,
+)
 from riskloom.llm.graph import components
 from riskloom.sources.staging import stage
 
 #: Members of a group compared with all others, in the first pass and in each later one.
 FIRST, LATER = 1, 16
+#: Groups of more members than this, if still not connected after the first pass, have their
+#: signatures moved to the end of the order of parts; at most so many of them.
+LARGE, FREQUENT = 32, 100_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PAIRED_BELOW = 16  # bands that end here enumerate pairs of parts
@@ -58,17 +73,17 @@ def set_id(shingles: np.ndarray) -> int:
     return int(mixed(total).view(np.int64)[0])
 
 
-def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
-    """The signatures of one set for a least similarity of ``percent`` in a hundred."""
-    n = len(shingles)
+def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray], np.ndarray]:
+    """How many parts a set signs in each band, its parts there in order, and what it signs besides."""
+    n, nothing = len(shingles), np.empty(0, np.uint64)
     most = n * 100 // percent  # the largest set it can be similar to
     apart = (n + most) * (100 - percent) // (100 + percent)
     if apart == 0:  # similar means equal
-        return np.empty(0, np.uint64)
+        return 0, [nothing, nothing], nothing
     top = 4
     while top <= n:
         top *= 4
-    out = []
+    ordered, besides = [], [nothing]
     for band in (top, 4 * top) if most >= top else (top,):
         if band <= _PAIRED_BELOW:
             largest = band - 1
@@ -78,7 +93,6 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
         part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         begin = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
         content = np.add.reduceat(mixed(shingles ^ _GOLD), begin)
-        names = part[begin] + np.uint64(band) * np.uint64(1 << 32)
         if band <= _PAIRED_BELOW:
             whole = np.zeros(parts, np.uint64)
             whole[part[begin].astype(np.int64)] = content
@@ -86,12 +100,20 @@ def signatures(shingles: np.ndarray, percent: int) -> np.ndarray:
             full = (whole[i] != 0) | (whole[j] != 0)
             i, j = i[full], j[full]
             name = np.uint64(band) * np.uint64(1 << 32) + (i * parts + j).astype(np.uint64)
-            out.append(mixed(mixed(whole[i] + _GOLD) + mixed(whole[j] - _GOLD) * np.uint64(3) + mixed(name)))
+            besides.append(mixed(mixed(whole[i] + _GOLD) + mixed(whole[j] - _GOLD) * np.uint64(3) + mixed(name)))
+            ordered.append(nothing)
         else:
-            out.append(mixed(content + mixed(names))[: apart + 1])
+            names = part[begin] + np.uint64(band) * np.uint64(1 << 32)
+            ordered.append(mixed(content + mixed(names)))
         if len(begin) <= apart:  # too few parts to be sure that one agrees
-            out.append(mixed(shingles + mixed(np.array([band], np.uint64) + _GOLD)))
-    return np.concatenate(out)
+            besides.append(mixed(shingles + mixed(np.array([band], np.uint64) + _GOLD)))
+    return apart + 1, [*ordered, nothing][:2], np.concatenate(besides)
+
+
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """1,024 parities; where those of two sets differ, so do the sets, at least as often."""
+    odd = np.bincount((shingles & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _over(df: DataFrame, text: str, size: int, make, schema: str) -> DataFrame:
@@ -105,31 +127,46 @@ def _over(df: DataFrame, text: str, size: int, make, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _nodes(df: DataFrame, size: int) -> DataFrame:
-    """(id, k1, k2, node, n_shingles) of every row of (id, text)."""
+def _nodes(df: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of every row of (id, text): its node, the size and sketch of its set, and what it may sign."""
 
     def make(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         nodes = pa.array([set_id(s) for s in sets], pa.int64())
         sizes = pa.array([len(s) for s in sets], pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], nodes, sizes], ["id", "k1", "k2", "node", "n_shingles"]
-        )
+        signed = [signatures(s, percent) for s in sets]
+        columns = [
+            lists([np.concatenate([*(parts[: x[0]] for parts in x[1]), x[2]]).view(np.int64) for x in signed]),
+            lists([sketch(s) for s in sets]),
+        ]
+        names = ["id", "k1", "k2", "node", "n_shingles", "signatures", "sketch"]
+        return pa.RecordBatch.from_arrays([*batch.columns[:3], nodes, sizes, *columns], names)
 
     kind = df.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, k1 long, k2 long, node long, n_shingles long"
+    schema = (
+        f"id {kind}, k1 long, k2 long, node long, n_shingles long,"
+        " signatures array<long>, sketch array<long>"
+    )
     return _over(df.select("id", *text_key("text"), "text"), "text", size, make, schema)
 
 
-def _signed(df: DataFrame, size: int, percent: int) -> DataFrame:
-    """(signature, node) of every row of (id, text)."""
+def _again(df: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataFrame:
+    """What texts sign if the ``frequent`` signatures come last in the order of parts."""
+    late = np.sort(np.array([r[0] for r in frequent.collect()], np.int64))  # at most FREQUENT
+    shared = df.sparkSession.sparkContext.broadcast(late)
+
+    def sign(shingles: np.ndarray) -> np.ndarray:
+        signs, ordered, besides = signatures(shingles, percent)
+        out = [besides]
+        for parts in ordered:
+            is_late = np.isin(parts.view(np.int64), shared.value)
+            out.append(np.concatenate([parts[~is_late], parts[is_late]])[:signs])
+        return np.concatenate(out).view(np.int64)
 
     def make(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
-        signed = [signatures(s, percent) if len(s) else np.empty(0, np.uint64) for s in sets]
-        nodes = np.array([set_id(s) for s in sets], np.int64).repeat([len(s) for s in signed])
-        flat = np.concatenate(signed) if signed else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64)), pa.array(nodes)], ["signature", "node"])
+        nodes = pa.array([set_id(s) for s in sets], pa.int64())
+        return pa.RecordBatch.from_arrays([nodes, lists([sign(s) for s in sets])], ["node", "signatures"])
 
-    return _over(df.select("text"), "text", size, make, "signature long, node long")
+    return _over(df.select("text"), "text", size, make, "node long, signatures array<long>")
 
 
 def _sets(df: DataFrame, size: int) -> DataFrame:
@@ -142,17 +179,18 @@ def _sets(df: DataFrame, size: int) -> DataFrame:
     return _over(df.select("text"), "text", size, make, "node long, shingles array<long>")
 
 
-def _groups(df: DataFrame, size: int, percent: int) -> DataFrame:
-    """(group, node): the nodes under each signature that has several; equal groups once."""
+def _groups(signed: DataFrame) -> DataFrame:
+    """(signature, group, node): the nodes under each signature that has several; equal groups once."""
     same = Window.partitionBy("signature")
-    grouped = _signed(df, size, percent).select(
+    grouped = signed.select(
+        "signature",
         "node",
         F.min("node").over(same).alias("least"),
         F.max("node").over(same).alias("most"),
         F.sum(F.shiftright(F.xxhash64("node"), 34)).over(same).alias("sum"),
     )
     group = F.xxhash64("least", "most", "sum").alias("group")
-    return grouped.where("least <> most").select(group, "node").distinct()
+    return grouped.where("least <> most").groupBy(group, "node").agg(F.min("signature").alias("signature"))
 
 
 def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -166,12 +204,32 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     return keyed.join(chosen, on).select("text")
 
 
+def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the candidate pairs (a, b) that are similar: first by size and sketch, then exactly."""
+    brief = nodes.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("s"))
+    for side in "ab":
+        one = brief.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("s").alias(f"s_{side}"))
+        pairs = pairs.join(one, side)
+    differ = sum(F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(16))
+    pairs = pairs.where(
+        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+        & (differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+    ).select("a", "b")
+    pairs = stage(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = stage(_sets(_texts_of(docs, nodes, stage(wanted, "wanted")), size), "sets")
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
+    union = F.size("_x") + F.size("_y") - F.col("_shared")
+    joined = pairs.join(right, "b").join(left, "a").withColumn("_shared", F.size(F.array_intersect("_x", "_y")))
+    return joined.where(F.col("_shared") * 100 >= union * percent).select("a", "b").distinct()
+
+
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
     """Verified links (a, b) between nodes that connect each component, and (node, component)."""
-    groups = stage(_groups(docs, size, percent), "groups")
-    wanted = stage(groups.select("node").distinct(), "wanted")
-    sets = stage(_sets(_texts_of(docs, nodes, wanted), size), "sets")
-    found, labels, firsts = None, None, FIRST
+    signed = nodes.select("node", F.explode("signatures").alias("signature"))
+    groups = stage(_groups(signed), "groups")
+    found, labels, firsts, done = None, None, FIRST, 0
     while True:
         if labels is None:
             named = groups.withColumn("component", F.col("node"))
@@ -180,35 +238,39 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
                 "component", F.coalesce("component", "node")
             )
         open_groups = named.groupBy("group").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high")
-        ).where("_low <> _high").select("group")
-        named = named.join(open_groups, "group", "left_semi")
+            F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
+        ).where("_low <> _high").select("group", "members")
+        named = named.join(open_groups, "group")
         place = F.row_number().over(Window.partitionBy("group").orderBy("node"))
         named = stage(named.withColumn("place", place), "open-groups")
         if named.isEmpty():
             return found, labels
-        first = named.where(F.col("place") <= firsts).select(
+        if done == 1:
+            # Large groups without much in common: their nodes sign again, these signatures last.
+            large = named.where(F.col("members") > LARGE)
+            frequent = large.groupBy("signature").agg(F.max("members").alias("n"))
+            frequent = frequent.orderBy(F.desc("n"), "signature").limit(FREQUENT).select("signature")
+            concerned = stage(large.select("node").distinct(), "concerned")
+            again = _again(_texts_of(docs, nodes, concerned), frequent, size, percent)
+            again = _groups(again.select("node", F.explode("signatures").alias("signature")))
+            rest = named.where(F.col("members") <= LARGE)
+            groups = rest.select("group", "node", "signature").unionByName(again.select("group", "node", "signature"))
+            groups, done = stage(groups, "groups"), 2
+            continue
+        chosen = named.where(F.col("place") <= firsts).select(
             "group", F.col("node").alias("a"), F.col("component").alias("_of_a"), F.col("place").alias("_at")
         )
         pairs = (
-            named.join(first, "group")
+            named.join(chosen, "group")
             .where("place > _at AND component <> _of_a")
             .select("a", F.col("node").alias("b"))
             .distinct()
         )
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
-        shared = F.size(F.array_intersect("_x", "_y"))
-        union = F.size("_x") + F.size("_y") - F.col("_shared")
-        verified = (
-            pairs.join(right, "b").join(left, "a").withColumn("_shared", shared)
-            .where(F.col("_shared") * 100 >= union * percent).select("a", "b").distinct()
-        )
-        verified = stage(verified, "links")
+        verified = stage(_verified(docs, nodes, pairs, size, percent), "links")
         found = verified if found is None else found.unionByName(verified)
         labels = stage(components(found), "labels")
-        groups = named.where(F.col("place") > firsts).select("group", "node")
-        firsts = LATER
+        groups = named.where(F.col("place") > firsts).select("group", "node", "signature")
+        firsts, done = LATER, done + 1
 
 
 def similar_components(
@@ -219,7 +281,7 @@ def similar_components(
     The component is named by the smallest id in it.
     """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    nodes = stage(_nodes(docs, size), "nodes")
+    nodes = stage(_nodes(docs, size, percent), "nodes")
     _, labels = links(docs, nodes, size, percent)
     named = nodes.withColumn("component", F.col("node"))
     if labels is not None:
