@@ -7,13 +7,34 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, jaccard, repeats, secrets, toxicity
+from riskloom.llm import byte_bpe, jaccard, licenses, mixing, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases of every document, and the labels that ordered rules add."""
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    base_labels = F.transform("base", lambda b: b.label)
+    labels = F.array_union(base_labels, F.transform("detections", lambda d: d.label))
+    starts = F.transform("base", lambda b: b.start)
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base_labels)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("labels"),
+        F.coalesce(
+            F.array_max(F.transform("detections", lambda d: d.confidence)),
+            F.when(F.size("base") > 0, 0.5).otherwise(0.0),
+        ).alias("score"),
+    )
+
+
 def _span_list(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
 
@@ -34,6 +55,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix of the sources by weights 5, 2, 1, of half as many words again as there are."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).alias("taken"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels that aren't held out."""
     docs = table(spark, sf_dir, "documents")
@@ -70,7 +97,9 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
     "op3_secrets": op3_secrets,
+    "op5_mixing": op5_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op6_toxicity": op6_toxicity,
     "op8_jaccard": op8_jaccard,
