@@ -8,12 +8,12 @@ small sets there are d + 2 parts, and the subsets of two of them are enumerated:
 larger bands each subset is one part, and a set needs only its first d + 1 parts that aren't empty.
 Empty parts say nothing; a set with too few others also signs each of its shingles.
 
-*Candidates.* Sets under one signature are compared with one of them, not with each other. Groups whose
-members aren't all connected after that go on with further members until they are or none is left, so
-no link between different components is lost. Any fixed order of parts will do for "first", so where a
-passage of many texts fills large groups, its signatures are moved to the end of the order and the
-texts concerned sign again. Sizes and parities of hashes rule out most candidates; the others are
-verified exactly on their whole sets.
+*Candidates.* Sets under one signature are first compared with one of them, not with each other; that
+connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
+texts fills large groups that aren't connected, its signatures are moved to the end of the order and the
+texts concerned sign again. In the groups that are left, sets of different components meet in blocks
+inside a task, by sizes and sketches alone; only what these can't rule out becomes a pair. All pairs are
+verified on their whole sets, so no link between different components is lost and none is wrong.
 
 Equal sets are one node from the start, so copies cost nothing beyond their own rows. Null and empty
 texts have empty sets, are linked with nothing and are their own component. Rows with a null id have a
@@ -33,6 +33,7 @@ from riskloom.llm.common import (
     BROADCAST_ROWS,
     WordHashes,
     Words,
+    broadcast_if_small,
     bytes_of,
     lists,
     mixed,
@@ -42,8 +43,8 @@ from riskloom.llm.common import (
 from riskloom.llm.graph import components
 from riskloom.sources.staging import stage
 
-#: Members of a group compared with all others, in the first pass and in each later one.
-FIRST, LATER = 1, 16
+#: Members of a group in a block; a task compares two blocks at a time.
+BLOCK = 4096
 #: Groups of more members than this, if still not connected after the first pass, have their
 #: signatures moved to the end of the order of parts; at most so many of them.
 LARGE, FREQUENT = 32, 100_000
@@ -204,18 +205,86 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     return keyed.join(chosen, on).select("text")
 
 
+def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
+    """Pairs (a, b) within groups that sizes and sketches don't rule out.
+
+    ``rows`` are (group, place, members, node, component, n, sketch). By ``how``, the ``middle`` member in
+    size meets all others, or ``all`` meet all of another component, or of these each keeps the ``closest``
+    only. Members are cut into blocks, and each task holds two blocks at a time. Only what passes leaves it.
+    """
+    everyone = how != "middle"
+    middle = F.col("place") == F.floor((F.col("members") + 1) / 2)
+    block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
+    last = F.floor((F.col("members") - 1) / BLOCK).cast("int")
+    meets = F.sequence(F.lit(0), last) if everyone else F.array(F.lit(0))
+    keyed = rows.select(
+        "group", "place", "node", "component", "n", "sketch", block.alias("block"),
+        middle.alias("_middle"), F.explode(meets).alias("_other"),
+    )
+    if everyone:
+        keyed = keyed.withColumns({"x": F.least("block", "_other"), "y": F.greatest("block", "_other")})
+    else:
+        first = rows.where(middle).select(
+            "group", F.lit(0).alias("place"), "node", "component", "n", "sketch", F.lit(-1).alias("block"),
+            F.explode(F.sequence(F.lit(0), last)).alias("y"),
+        )
+        keyed = keyed.where("NOT _middle").withColumn("y", F.col("block"))
+        columns = ["group", "place", "node", "component", "n", "sketch", "block", "y"]
+        keyed = keyed.select(columns).unionByName(first.select(columns)).withColumn("x", F.lit(-1))
+    keyed = keyed.select("group", "x", "y", "block", "node", "component", "n", "sketch")
+    keyed = keyed.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
+
+    def compare(parts: list[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray]]:
+        both = pa.Table.from_batches(parts)
+        x, y, side = both["x"][0].as_py(), both["y"][0].as_py(), both["block"].to_numpy()
+        node, component, n = (both[c].to_numpy() for c in ("node", "component", "n"))
+        bits = both["sketch"].combine_chunks().values.to_numpy().reshape(len(node), -1).view(np.uint64)
+        left = np.flatnonzero(side == x)
+        right = left if x == y else np.flatnonzero(side == y)
+        out = []
+        for k, i in enumerate(left):
+            low = k + 1 if x == y else np.searchsorted(n[right], -(-n[i] * percent // 100))
+            other = right[low : np.searchsorted(n[right], n[i] * 100 // percent, side="right")]
+            other = other[component[other] != component[i]]
+            if not len(other):
+                continue
+            differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
+            other, differ = other[near], differ[near]
+            if how == "closest" and len(other):
+                other = other[[differ.argmin()]]
+            if len(other):
+                out.append((np.full(len(other), node[i]), node[other]))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in (0, 1, 2)]
+            change = np.flatnonzero(sum(np.diff(k) != 0 for k in keys)) + 1
+            for at, to in zip([0, *change], [*change, batch.num_rows], strict=True):
+                now = tuple(k[at] for k in keys) if to > at else key
+                if now != key and held:
+                    yield from found(compare(held))
+                    held = []
+                key = now
+                if to > at:
+                    held.append(batch.slice(at, to - at))
+        if held:
+            yield from found(compare(held))
+
+    def found(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        if pairs:
+            a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"]
+            )
+
+    return keyed.mapInArrow(run, "a long, b long").distinct()
+
+
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the candidate pairs (a, b) that are similar: first by size and sketch, then exactly."""
-    brief = nodes.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("s"))
-    for side in "ab":
-        one = brief.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("s").alias(f"s_{side}"))
-        pairs = pairs.join(one, side)
-    differ = sum(F.bit_count(F.col("s_a")[i].bitwiseXOR(F.col("s_b")[i])) for i in range(16))
-    pairs = pairs.where(
-        (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-        & (differ * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
-    ).select("a", "b")
-    pairs = stage(pairs, "pairs")
+    """Those of the candidate pairs (a, b) that are similar, by their whole sets."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stage(_sets(_texts_of(docs, nodes, stage(wanted, "wanted")), size), "sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
@@ -225,52 +294,51 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
     return joined.where(F.col("_shared") * 100 >= union * percent).select("a", "b").distinct()
 
 
-def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame | None, DataFrame | None]:
+def _open(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(group, node, signature, component, members) of groups that hold several components."""
+    named = groups.withColumn("component", F.col("node"))
+    if labels is not None:
+        named = groups.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    several = named.groupBy("group").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
+    ).where("_low <> _high").select("group", "members")
+    return named.join(several, "group")
+
+
+def _meet(named: DataFrame, brief: DataFrame, how: str, percent: int) -> DataFrame:
+    """Promising pairs of groups, with what is compared beside each member."""
+    place = F.row_number().over(Window.partitionBy("group").orderBy("n", "node"))
+    rows = named.select("group", "node", "component", "members").join(brief, "node").withColumn("place", place)
+    return stage(_promising(rows, how, percent), "pairs")
+
+
+def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between nodes that connect each component, and (node, component)."""
     signed = nodes.select("node", F.explode("signatures").alias("signature"))
     groups = stage(_groups(signed), "groups")
-    found, labels, firsts, done = None, None, FIRST, 0
-    while True:
-        if labels is None:
-            named = groups.withColumn("component", F.col("node"))
-        else:
-            named = groups.join(labels, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
-            )
-        open_groups = named.groupBy("group").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
-        ).where("_low <> _high").select("group", "members")
-        named = named.join(open_groups, "group")
-        place = F.row_number().over(Window.partitionBy("group").orderBy("node"))
-        named = stage(named.withColumn("place", place), "open-groups")
-        if named.isEmpty():
-            return found, labels
-        if done == 1:
-            # Large groups without much in common: their nodes sign again, these signatures last.
-            large = named.where(F.col("members") > LARGE)
-            frequent = large.groupBy("signature").agg(F.max("members").alias("n"))
-            frequent = frequent.orderBy(F.desc("n"), "signature").limit(FREQUENT).select("signature")
-            concerned = stage(large.select("node").distinct(), "concerned")
-            again = _again(_texts_of(docs, nodes, concerned), frequent, size, percent)
-            again = _groups(again.select("node", F.explode("signatures").alias("signature")))
-            rest = named.where(F.col("members") <= LARGE)
-            groups = rest.select("group", "node", "signature").unionByName(again.select("group", "node", "signature"))
-            groups, done = stage(groups, "groups"), 2
-            continue
-        chosen = named.where(F.col("place") <= firsts).select(
-            "group", F.col("node").alias("a"), F.col("component").alias("_of_a"), F.col("place").alias("_at")
-        )
-        pairs = (
-            named.join(chosen, "group")
-            .where("place > _at AND component <> _of_a")
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        verified = stage(_verified(docs, nodes, pairs, size, percent), "links")
-        found = verified if found is None else found.unionByName(verified)
+    brief = nodes.join(broadcast_if_small(stage(groups.select("node").distinct(), "signers")), "node", "left_semi")
+    brief = brief.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    brief = stage(brief, "sketches")
+    # First everyone meets the middle one of the group. That settles groups of copies.
+    pairs = _meet(_open(groups, None), brief, "middle", percent)
+    found = stage(_verified(docs, nodes, pairs, size, percent), "links")
+    labels = stage(components(found), "labels")
+    # Large groups without much in common: their nodes sign again, these signatures last.
+    still = stage(_open(groups, labels), "open")
+    large = still.where(F.col("members") > LARGE)
+    frequent = large.groupBy("signature").agg(F.max("members").alias("n"))
+    frequent = frequent.orderBy(F.desc("n"), "signature").limit(FREQUENT).select("signature")
+    concerned = stage(large.select("node").distinct(), "concerned")
+    again = _again(_texts_of(docs, nodes, concerned), frequent, size, percent)
+    again = _groups(again.select("node", F.explode("signatures").alias("signature")))
+    rest = still.where(F.col("members") <= LARGE).select("group", "node", "signature")
+    groups = stage(rest.unionByName(again.select("group", "node", "signature")), "groups")
+    # Then everyone meets everyone that isn't in the same component yet.
+    for how in ("closest", "all"):
+        pairs = _meet(_open(groups, labels), brief, how, percent)
+        found = stage(_verified(docs, nodes, pairs, size, percent).unionByName(found), "links")
         labels = stage(components(found), "labels")
-        groups = named.where(F.col("place") > firsts).select("group", "node", "signature")
-        firsts, done = LATER, done + 1
+    return found, labels
 
 
 def similar_components(
@@ -283,9 +351,7 @@ def similar_components(
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     nodes = stage(_nodes(docs, size, percent), "nodes")
     _, labels = links(docs, nodes, size, percent)
-    named = nodes.withColumn("component", F.col("node"))
-    if labels is not None:
-        named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.select("id", "n_shingles", "component")
     full = named.where("n_shingles > 0")
     least = full.groupBy("component").agg(F.min("id").alias("component_id"))
