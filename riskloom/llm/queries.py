@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, chat, jaccard, licenses, mixing, repeats, secrets, toxicity
+from riskloom.llm import byte_bpe, chat, hamming, hnsw, jaccard, licenses, mixing, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th embedding by inner product."""
+    rows = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest(rows, rows.where("vec_id % 20 = 0"), "vec_id", "embedding", 20)
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases of every document, and the labels that ordered rules add."""
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
@@ -55,6 +61,25 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest sign codes of every 50th embedding."""
+    codes = hamming.sign_codes(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return hamming.nearest_codes(codes, codes.where("id % 50 = 0"), 10)
+
+
+OP4_SQL = """
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(distance AS INTEGER) AS distance
+FROM (
+  SELECT q.vec_id AS query_id, v.vec_id, d.distance,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY d.distance, v.vec_id) AS rank
+  FROM embeddings q JOIN embeddings v
+    ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.embedding) = len(v.embedding),
+  LATERAL (SELECT list_sum([CASE WHEN (q.embedding[i] > 0) <> (v.embedding[i] > 0) THEN 1 ELSE 0 END
+                            FOR i IN range(1, len(q.embedding) + 1)]) AS distance) d
+) WHERE rank <= 10
+"""
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mix of the sources by weights 5, 2, 1, of half as many words again as there are."""
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -118,8 +143,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hnsw": op1_hnsw,
     "op2_licenses": op2_licenses,
     "op3_secrets": op3_secrets,
+    "op4_hamming": op4_hamming,
     "op5_mixing": op5_mixing,
     "op7_byte_bpe": op7_byte_bpe,
     "op6_toxicity": op6_toxicity,
@@ -128,4 +155,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeats": op10_repeats,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_hamming": OP4_SQL}
