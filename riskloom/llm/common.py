@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from hashlib import blake2b
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +47,8 @@ class Memo(dict):
         raise NotImplementedError
 
 
-class WordHashes(Memo):
-    """Words (bytes) to unsigned 64-bit hashes."""
-
-    def __init__(self, salt: bytes = b"") -> None:
-        super().__init__()
-        self.salt = salt
-
-    def find(self, word: bytes) -> int:
-        return int.from_bytes(blake2b(word, digest_size=8, salt=self.salt).digest(), "little")
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 _ODD = 0x9E3779B97F4A7C15
+_BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -82,7 +68,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 class Rolling:
     """Hashes of word sequences inside one text, by prefix sums of a polynomial modulo 2**64."""
 
-    def __init__(self, hashes: np.ndarray, base: int = 0xD1342543DE82EF95) -> None:
+    def __init__(self, hashes: np.ndarray, base: int = _BASES[0]) -> None:
         n = len(hashes)
         inverse = pow(base, -1, 1 << 64)
         self._sums = np.zeros(n + 1, np.uint64)
@@ -118,33 +104,32 @@ def small_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Ite
             yield batch.slice(at, step)
 
 
-def by_batch(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
-) -> DataFrame:
-    """``function`` over every small batch of ``df``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
-            yield function(batch)
-
-    return df.mapInArrow(run, schema)
-
-
 def broadcast_if_small(df: DataFrame) -> DataFrame:
     """``df`` (narrow, and cheap to count) with a broadcast hint if its counted rows are few."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 class Words:
-    """The words of a batch of texts end to end, as hashes; word ``i`` belongs to row ``row[i]``."""
-
-    def __init__(self, texts: list[list[bytes]], *hashes: WordHashes) -> None:
-        self.counts = np.fromiter(map(len, texts), np.int64, len(texts))
+    """The words of a batch of texts end to end, as hashes; word ``i`` belongs to row ``row[i]``.
+
+    Words are runs of bytes that aren't ASCII white space. All is done on one array of bytes: a word's
+    hash is that of its bytes under a table of random values, once for each of ``tables`` tables.
+    """
+
+    def __init__(self, texts: list[bytes], tables: int = 1) -> None:
+        data = np.frombuffer(b" ".join([*texts, b""]) or b" ", np.uint8)
+        blank = (data == 32) | ((data >= 9) & (data <= 13))
+        before = np.concatenate([[True], blank[:-1]])
+        starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+        self.row = np.searchsorted(np.cumsum(lengths), starts, side="right")
+        self.counts = np.bincount(self.row, minlength=len(texts))
         self.first = np.concatenate([[0], np.cumsum(self.counts)]).astype(np.int64)
-        self.row = np.repeat(np.arange(len(texts)), self.counts)
-        flat = [word for words in texts for word in words]
-        self.hashes = [h.array(flat) for h in hashes]
-        self.rolling = [Rolling(h) for h in self.hashes]
+        self.rolling = []
+        for table in range(tables):
+            values = mixed(np.arange(256, dtype=np.uint64) + np.uint64(1 + 1000 * table))
+            words = Rolling(values[data], _BASES[table]).spans(starts, ends)
+            self.rolling.append(Rolling(words, _BASES[table] ^ 0xABCDEF0))
 
     def starts(self, length: int) -> np.ndarray:
         """Places where ``length`` words of one row begin."""

@@ -31,7 +31,6 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import (
     BROADCAST_ROWS,
-    WordHashes,
     Words,
     broadcast_if_small,
     bytes_of,
@@ -53,9 +52,9 @@ _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PAIRED_BELOW = 16  # bands that end here enumerate pairs of parts
 
 
-def shingle_sets(texts: list[bytes], size: int, hashes: WordHashes) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     """Sorted hashes of each text's distinct shingles; a shorter text is one shingle as a whole."""
-    words = Words([t.lower().split() for t in texts], hashes)  # bytes: only A-Z are lower-cased
+    words = Words([t.lower() for t in texts])  # bytes: only A-Z are lower-cased
     starts = words.starts(size)
     shingles = words.rolling[0].spans(starts, starts + size)
     cut = np.searchsorted(words.row[starts], np.arange(1, len(texts))) if len(starts) else np.zeros(
@@ -112,18 +111,55 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
-    """1,024 parities; where those of two sets differ, so do the sets, at least as often."""
-    odd = np.bincount((shingles & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+    """Parities of hashes; where those of two sets differ, so do the sets, at least as often.
+
+    There are about as many parities as shingles. Half as many are found by folding.
+    """
+    bits = 1 << min(max(len(shingles) - 1, 255).bit_length(), 16)
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+class Sketches:
+    """The sketches of a block of sets; sets that may be similar have equal ones or one twice as long."""
+
+    def __init__(self, column: pa.ListArray) -> None:
+        offsets = column.offsets.to_numpy()
+        self.values = column.values.to_numpy().view(np.uint64)
+        self.begin, self.width = offsets[:-1], np.diff(offsets)
+        self.folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _at(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Row of each set in the matrix of this width, and the matrix."""
+        if width not in self.folded:
+            row = np.full(len(self.width), -1)
+            parts, done = [], 0
+            for own in (width, 2 * width):
+                members = np.flatnonzero(self.width == own)
+                row[members] = done + np.arange(len(members))
+                done += len(members)
+                some = self.values[self.begin[members][:, None] + np.arange(own)]
+                parts.append(some if own == width else some[:, :width] ^ some[:, width:])
+            self.folded[width] = row, np.concatenate(parts)
+        return self.folded[width]
+
+    def differ(self, one: int, others: np.ndarray) -> np.ndarray:
+        """The least number of shingles by which one set and each of the others differ."""
+        out = np.zeros(len(others), np.int64)
+        common = np.minimum(self.width[others], self.width[one])
+        for width in np.unique(common):
+            some = np.flatnonzero((common == width) & (np.maximum(self.width[others], self.width[one]) <= 2 * width))
+            row, matrix = self._at(int(width))
+            out[some] = np.bitwise_count(matrix[row[others[some]]] ^ matrix[row[one]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
 def _over(df: DataFrame, text: str, size: int, make, schema: str) -> DataFrame:
     """``make(batch, sets)`` over small batches; the text is the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in small_batches(batches):
-            yield make(batch, shingle_sets(bytes_of(batch.column(batch.num_columns - 1)), size, hashes))
+            yield make(batch, shingle_sets(bytes_of(batch.column(batch.num_columns - 1)), size))
 
     return df.mapInArrow(run, schema)
 
@@ -238,7 +274,7 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
         both = pa.Table.from_batches(parts)
         x, y, side = both["x"][0].as_py(), both["y"][0].as_py(), both["block"].to_numpy()
         node, component, n = (both[c].to_numpy() for c in ("node", "component", "n"))
-        bits = both["sketch"].combine_chunks().values.to_numpy().reshape(len(node), -1).view(np.uint64)
+        sketches = Sketches(both["sketch"].combine_chunks())
         left = np.flatnonzero(side == x)
         right = left if x == y else np.flatnonzero(side == y)
         out = []
@@ -248,7 +284,7 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
             other = other[component[other] != component[i]]
             if not len(other):
                 continue
-            differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            differ = sketches.differ(i, other)
             near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
             other, differ = other[near], differ[near]
             if how == "closest" and len(other):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import WordHashes, Words, broadcast_if_small, bytes_of, lists, small_batches, text_key
+from riskloom.llm.common import Words, broadcast_if_small, bytes_of, lists, small_batches, text_key
 from riskloom.sources.staging import stage
 
 
@@ -58,9 +58,8 @@ def _runs(df: DataFrame, text: str, length: int, seed: int) -> DataFrame:
     """One row per text: its key and the runs of windows by anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in small_batches(batches):
-            words = Words([t.split() for t in bytes_of(batch.column(2))], hashes)
+            words = Words(bytes_of(batch.column(2)))
             rows, *columns = _anchored_runs(words, length, seed)
             cut = np.searchsorted(rows, np.arange(1, batch.num_rows))
             anchors, spans, begin, end = (np.split(c, cut) for c in columns)
@@ -78,9 +77,8 @@ def _windows(df: DataFrame, text: str, length: int) -> DataFrame:
     """Both hashes of every window in the runs of ``df``, with its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(), WordHashes(b"second")
         for batch in small_batches(batches):
-            words = Words([t.split() for t in bytes_of(batch.column(2))], *hashes)
+            words = Words(bytes_of(batch.column(2)), tables=2)
             rows, places, edges = [], [], []
             for i, runs in enumerate(batch.column(3).to_pylist()):
                 for r in runs:
@@ -126,6 +124,7 @@ def repeated_windows(df: DataFrame, text: str = "text", length: int = 35, seed:
         .where("n > 1")
         .select("anchor", (F.col("a") != F.col("b")).alias("mixed"))
     )
+    shared = stage(shared, "shared")  # so that a frequent anchor's side of the join can be split
     seeds = stage(places.join(shared, "anchor"), "seeds")
     classes = stage(
         seeds.where("mixed")
