@@ -142,6 +142,13 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", kept)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hnsw": op1_hnsw,
     "op2_licenses": op2_licenses,
@@ -153,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_chat": op9_chat,
     "op10_repeats": op10_repeats,
+    "pipeline": pipeline,
 }
 
 SQL: dict[str, str] = {"op4_hamming": OP4_SQL}

@@ -288,7 +288,8 @@ def _sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
 
     rows = []
     for kind in chosen:
-        found = df.join(kind, id_col).select(F.col("toxic").cast("int").alias("toxic"), "_at", text_col)
+        found = df.select(id_col, text_col).join(kind, id_col)
+        found = found.select(F.col("toxic").cast("int").alias("toxic"), "_at", text_col)
         rows += found.mapInArrow(cut, "toxic int, at long, windows array<binary>").collect()
     return sorted(((r["at"], r["toxic"], [bytes(w) for w in r["windows"]]) for r in rows), key=lambda r: (r[0], r[1], r[2]))
 
