@@ -5,7 +5,7 @@ band also takes part in the next one, so that sets similar enough always meet in
 band. In a band the domain of shingle hashes is cut into parts. Similar sets of sizes r and s differ in
 at most ``d = (r + s)(1 - t)/(1 + t)`` shingles, so they differ in at most d parts. In the band of
 small sets there are d + 2 parts, and the subsets of two of them are enumerated: one subset agrees. In
-larger bands each subset is one part, and a set needs only its first d + 1 parts that aren't empty.
+larger bands each subset is one part, and a set signs only its first d + 1 parts that aren't empty.
 Empty parts say nothing; a set with too few others also signs each of its shingles.
 
 *Candidates.* Sets under one signature are first compared with one of them, not with each other; that
@@ -46,7 +46,7 @@ from riskloom.sources.staging import stage
 BLOCK = 4096
 #: Groups of more members than this, if still not connected after the first pass, have their
 #: signatures moved to the end of the order of parts; at most so many of them.
-LARGE, FREQUENT = 32, 100_000
+LARGE, FREQUENT = 16, 200_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PAIRED_BELOW = 16  # bands that end here enumerate pairs of parts
@@ -89,7 +89,7 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray
             largest = band - 1
             parts = (largest + largest * 100 // percent) * (100 - percent) // (100 + percent) + 2
         else:
-            parts = band // 2
+            parts = 2 * band  # far more than are signed, so that frequent ones can come last
         part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         begin = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
         content = np.add.reduceat(mixed(shingles ^ _GOLD), begin)
@@ -195,7 +195,9 @@ def _again(df: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataF
         signs, ordered, besides = signatures(shingles, percent)
         out = [besides]
         for parts in ordered:
-            is_late = np.isin(parts.view(np.int64), shared.value)
+            known, signed = shared.value, parts.view(np.int64)
+            place = np.minimum(np.searchsorted(known, signed), max(len(known) - 1, 0))
+            is_late = known[place] == signed if len(known) else np.zeros(len(parts), bool)
             out.append(np.concatenate([parts[~is_late], parts[is_late]])[:signs])
         return np.concatenate(out).view(np.int64)
 
@@ -245,8 +247,8 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
     """Pairs (a, b) within groups that sizes and sketches don't rule out.
 
     ``rows`` are (group, place, members, node, component, n, sketch). By ``how``, the ``middle`` member in
-    size meets all others, or ``all`` meet all of another component, or of these each keeps the ``closest``
-    only. Members are cut into blocks, and each task holds two blocks at a time. Only what passes leaves it.
+    size meets all others, or ``all`` meet all of another component. Members are cut into blocks, and each
+    task holds two blocks at a time. Only what passes leaves it.
     """
     everyone = how != "middle"
     middle = F.col("place") == F.floor((F.col("members") + 1) / 2)
@@ -286,9 +288,7 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
                 continue
             differ = sketches.differ(i, other)
             near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
-            other, differ = other[near], differ[near]
-            if how == "closest" and len(other):
-                other = other[[differ.argmin()]]
+            other = other[near]
             if len(other):
                 out.append((np.full(len(other), node[i]), node[other]))
         return out
@@ -370,11 +370,9 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     rest = still.where(F.col("members") <= LARGE).select("group", "node", "signature")
     groups = stage(rest.unionByName(again.select("group", "node", "signature")), "groups")
     # Then everyone meets everyone that isn't in the same component yet.
-    for how in ("closest", "all"):
-        pairs = _meet(_open(groups, labels), brief, how, percent)
-        found = stage(_verified(docs, nodes, pairs, size, percent).unionByName(found), "links")
-        labels = stage(components(found), "labels")
-    return found, labels
+    pairs = _meet(_open(groups, labels), brief, "all", percent)
+    found = stage(_verified(docs, nodes, pairs, size, percent).unionByName(found), "links")
+    return found, stage(components(found), "labels")
 
 
 def similar_components(
