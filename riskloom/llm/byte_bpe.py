@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import MEMO, Memo, small_batches, texts_of
 
 #: Deterministic states a transducer keeps; where they end, it runs in its nondeterministic form.
-STATES = 60_000
+STATES = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
