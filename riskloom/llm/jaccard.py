@@ -8,8 +8,8 @@ small sets there are d + 2 parts, and the subsets of two of them are enumerated:
 larger bands each subset is one part, and a set signs only its first d + 1 parts that aren't empty.
 Empty parts say nothing; a set with too few others also signs each of its shingles.
 
-*Candidates.* Sets under one signature are first compared with one of them, not with each other; that
-connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
+*Candidates.* In each group under one signature, a set is first paired only with the one closest to it;
+that connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
 texts fills large groups that aren't connected, its signatures are moved to the end of the order and the
 texts concerned sign again. In the groups that are left, sets of different components meet in blocks
 inside a task, by sizes and sketches alone; only what these can't rule out becomes a pair. All pairs are
@@ -44,6 +44,8 @@ from riskloom.sources.staging import stage
 
 #: Members of a group in a block; a task compares two blocks at a time.
 BLOCK = 4096
+#: Parities for a shingle in the wide sketches that candidates are tested with once more.
+WIDE = 8
 #: Groups of more members than this, if still not connected after the first pass, have their
 #: signatures moved to the end of the order of parts; at most so many of them.
 LARGE, FREQUENT = 16, 200_000
@@ -110,12 +112,12 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray
     return apart + 1, [*ordered, nothing][:2], np.concatenate(besides)
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
+def sketch(shingles: np.ndarray, factor: int = 1) -> np.ndarray:
     """Parities of hashes; where those of two sets differ, so do the sets, at least as often.
 
-    There are about as many parities as shingles. Half as many are found by folding.
+    There are about ``factor`` parities for a shingle. Half as many are found by folding.
     """
-    bits = 1 << min(max(len(shingles) - 1, 255).bit_length(), 16)
+    bits = 1 << min(max(factor * len(shingles) - 1, 255).bit_length(), 16 if factor == 1 else 20)
     odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
@@ -209,13 +211,38 @@ def _again(df: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataF
 
 
 def _sets(df: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of every row of (text)."""
+    """(node, shingles, sketch) of every row of (text); the sketch is a wide one."""
 
     def make(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         nodes = pa.array([set_id(s) for s in sets], pa.int64())
-        return pa.RecordBatch.from_arrays([nodes, lists([s.view(np.int64) for s in sets])], ["node", "shingles"])
+        columns = [nodes, lists([s.view(np.int64) for s in sets]), lists([sketch(s, WIDE) for s in sets])]
+        return pa.RecordBatch.from_arrays(columns, ["node", "shingles", "sketch"])
 
-    return _over(df.select("text"), "text", size, make, "node long, shingles array<long>")
+    return _over(df.select("text"), "text", size, make, "node long, shingles array<long>, sketch array<long>")
+
+
+def _passing(pairs: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of those pairs (a, b, n_a, n_b, s_a, s_b) that wide sketches don't rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            sides = [batch.column(i) for i in (4, 5)]
+            words = [c.values.to_numpy().view(np.uint64) for c in sides]
+            ends = [c.offsets.to_numpy() for c in sides]
+            differ = np.empty(batch.num_rows, np.int64)
+            for i in range(batch.num_rows):
+                x, y = (w[e[i] : e[i + 1]] for w, e in zip(words, ends, strict=True))
+                while len(x) != len(y):
+                    if len(x) > len(y):
+                        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                    else:
+                        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+                differ[i] = np.bitwise_count(x ^ y).sum(dtype=np.int64)
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            kept = pa.array(differ * (100 + percent) <= total * (100 - percent))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(kept)
+
+    return pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
 def _groups(signed: DataFrame) -> DataFrame:
@@ -246,29 +273,18 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
 def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
     """Pairs (a, b) within groups that sizes and sketches don't rule out.
 
-    ``rows`` are (group, place, members, node, component, n, sketch). By ``how``, the ``middle`` member in
-    size meets all others, or ``all`` meet all of another component. Members are cut into blocks, and each
-    task holds two blocks at a time. Only what passes leaves it.
+    ``rows`` are (group, place, members, node, component, n, sketch). Everyone meets everyone of another
+    component; by ``how``, ``all`` pairs that pass are returned, or for each member the ``closest`` only.
+    Members are cut into blocks by size, and each task holds two blocks at a time. Only what passes
+    leaves it.
     """
-    everyone = how != "middle"
-    middle = F.col("place") == F.floor((F.col("members") + 1) / 2)
     block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
     last = F.floor((F.col("members") - 1) / BLOCK).cast("int")
-    meets = F.sequence(F.lit(0), last) if everyone else F.array(F.lit(0))
     keyed = rows.select(
-        "group", "place", "node", "component", "n", "sketch", block.alias("block"),
-        middle.alias("_middle"), F.explode(meets).alias("_other"),
+        "group", "node", "component", "n", "sketch", block.alias("block"),
+        F.explode(F.sequence(F.lit(0), last)).alias("_other"),
     )
-    if everyone:
-        keyed = keyed.withColumns({"x": F.least("block", "_other"), "y": F.greatest("block", "_other")})
-    else:
-        first = rows.where(middle).select(
-            "group", F.lit(0).alias("place"), "node", "component", "n", "sketch", F.lit(-1).alias("block"),
-            F.explode(F.sequence(F.lit(0), last)).alias("y"),
-        )
-        keyed = keyed.where("NOT _middle").withColumn("y", F.col("block"))
-        columns = ["group", "place", "node", "component", "n", "sketch", "block", "y"]
-        keyed = keyed.select(columns).unionByName(first.select(columns)).withColumn("x", F.lit(-1))
+    keyed = keyed.withColumns({"x": F.least("block", "_other"), "y": F.greatest("block", "_other")})
     keyed = keyed.select("group", "x", "y", "block", "node", "component", "n", "sketch")
     keyed = keyed.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
 
@@ -280,6 +296,7 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
         left = np.flatnonzero(side == x)
         right = left if x == y else np.flatnonzero(side == y)
         out = []
+        least, nearest = np.full(len(node), np.iinfo(np.int64).max), np.full(len(node), -1)
         for k, i in enumerate(left):
             low = k + 1 if x == y else np.searchsorted(n[right], -(-n[i] * percent // 100))
             other = right[low : np.searchsorted(n[right], n[i] * 100 // percent, side="right")]
@@ -288,9 +305,19 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
                 continue
             differ = sketches.differ(i, other)
             near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
-            other = other[near]
-            if len(other):
+            other, differ = other[near], differ[near]
+            if not len(other):
+                continue
+            if how == "all":
                 out.append((np.full(len(other), node[i]), node[other]))
+                continue
+            for one, two, d in ((other, i, differ), (np.array([i]), other[differ.argmin()], differ.min())):
+                closer = d < least[one]
+                least[one] = np.where(closer, d, least[one])
+                nearest[one] = np.where(closer, two, nearest[one])
+        some = np.flatnonzero(nearest >= 0)
+        if len(some):
+            out.append((node[some], node[nearest[some]]))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,6 +350,10 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
     """Those of the candidate pairs (a, b) that are similar, by their whole sets."""
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stage(_sets(_texts_of(docs, nodes, stage(wanted, "wanted")), size), "sets")
+    for side in "ab":
+        one = sets.select(F.col("node").alias(side), F.size("shingles").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
+        pairs = pairs.join(one, side)
+    pairs = stage(_passing(pairs, percent), "likely")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     union = F.size("_x") + F.size("_y") - F.col("_shared")
@@ -355,8 +386,8 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     brief = nodes.join(broadcast_if_small(stage(groups.select("node").distinct(), "signers")), "node", "left_semi")
     brief = brief.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     brief = stage(brief, "sketches")
-    # First everyone meets the middle one of the group. That settles groups of copies.
-    pairs = _meet(_open(groups, None), brief, "middle", percent)
+    # First everyone is paired with whom it is closest to. That settles copies, and copies of one original.
+    pairs = _meet(_open(groups, None), brief, "closest", percent)
     found = stage(_verified(docs, nodes, pairs, size, percent), "links")
     labels = stage(components(found), "labels")
     # Large groups without much in common: their nodes sign again, these signatures last.
