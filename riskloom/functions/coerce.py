@@ -19,21 +19,10 @@ REAL_TEXT = (
 )
 
 
-# Fixed value: the largest bigint, which stands for any whole number beyond it.
-LARGEST = 2**63 - 1
-
-
-def _saturated(number: Column) -> Column:
-    """bigint limit on the side of a double that is too large for bigint; null for NaN."""
-    sign = F.when(number > 0, 1).when(number < 0, -1)
-    return F.when(~F.isnan(number), sign * F.lit(LARGEST))
-
-
 def whole_from_text(text: Column) -> Column:
-    """bigint of a text such as ``"015"`` or ``" +5 "``; null for anything else."""
+    """bigint of a text such as ``"015"`` or ``" +5 "``; null for anything else, or beyond 64 bits."""
     plain = F.replace(text, F.lit("_"), F.lit(""))
-    unusual = F.coalesce(plain.try_cast("bigint"), _saturated(plain.try_cast("double")))
-    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(WHOLE_TEXT), unusual))
+    return F.coalesce(text.try_cast("bigint"), F.when(text.rlike(WHOLE_TEXT), plain.try_cast("bigint")))
 
 
 def real_from_text(text: Column) -> Column:
@@ -50,8 +39,14 @@ def real_from_text(text: Column) -> Column:
 
 
 def days_past_due_text(text: Column) -> Column:
-    """Days past due from its text form; codes such as ``XXX`` or ``STD`` and null mean 0."""
-    return F.coalesce(whole_from_text(text), F.lit(0).cast("bigint"))
+    """Days past due from its text form; codes such as ``XXX`` or ``STD`` and null mean 0.
+
+    Null for a whole number beyond 64 bits; the caller quarantines the document that holds it.
+    """
+    whole = whole_from_text(text)
+    return F.when(whole.isNull() & text.rlike(WHOLE_TEXT), None).otherwise(
+        F.coalesce(whole, F.lit(0).cast("bigint"))
+    )
 
 
 def _is_text(value: Column) -> Column:
@@ -63,13 +58,14 @@ def _text(value: Column) -> Column:
 
 
 def days_past_due(value: Column) -> Column:
-    """Days past due from a VARIANT: text as above, numbers cut toward zero, true is 1."""
-    number = F.coalesce(
-        F.try_variant_get(value, "$", "bigint"),
-        _saturated(F.try_variant_get(value, "$", "double")),
-    )
-    whole = F.when(_is_text(value), whole_from_text(_text(value))).otherwise(number)
-    return F.coalesce(whole, F.lit(0).cast("bigint"))
+    """Days past due from a VARIANT: text as above, numbers cut toward zero, true is 1.
+
+    Null beyond 64 bits, as above.
+    """
+    number = F.try_variant_get(value, "$", "bigint")
+    beyond = number.isNull() & (F.abs(F.try_variant_get(value, "$", "double")) >= float(2**63))
+    cut = F.when(beyond, None).otherwise(F.coalesce(number, F.lit(0).cast("bigint")))
+    return F.when(_is_text(value), days_past_due_text(_text(value))).otherwise(cut)
 
 
 def amount(value: Column) -> Column:

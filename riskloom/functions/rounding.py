@@ -15,7 +15,10 @@ def half_away(value: Column, digits: int) -> Column:
     """Round half away from zero (SQL ``ROUND`` on doubles)."""
     scale = float(10**digits)
     value = value.cast("double")
-    return F.signum(value) * F.floor(F.abs(value) * scale + F.lit(0.5)).cast("double") / scale
+    scaled = F.abs(value) * scale
+    # From 2**52 on a double has no fraction left to round.
+    whole = F.when(scaled < float(2**52), F.floor(scaled + F.lit(0.5)).cast("double")).otherwise(scaled)
+    return F.signum(value) * whole / scale
 
 
 def half_even(value: Column, digits: int) -> Column:

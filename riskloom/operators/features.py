@@ -23,9 +23,9 @@ BANKING_HEADERS = ["bank_name", "acct_num"]
 
 
 def first_known(value: Column, order: list[str]) -> Column:
-    """Aggregate: first non-null ``value`` in the given order; without an order, any such value."""
+    """Aggregate: first non-null ``value`` in the given order."""
     if not order:
-        return F.first(value, ignorenulls=True)
+        raise ValueError("a first value needs an order: pass the columns that number the rows")
     position = F.struct(*order) if len(order) > 1 else F.col(order[0])
     return F.min_by(value, F.when(value.isNotNull(), position))
 
@@ -37,7 +37,13 @@ def document_headers(parsed: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _units(value: Column, money_scale: int) -> Column:
-    return F.floor(value * float(10**money_scale) + F.lit(0.5))
+    units = value * float(10**money_scale) + F.lit(0.5)
+    too_large = F.raise_error(F.concat(F.lit("amount beyond 64-bit minor units: "), value.cast("string")))
+    return (
+        F.when(units.isNull(), None)
+        .when(F.abs(units) < float(2**63), F.floor(units))
+        .otherwise(too_large.cast("bigint"))
+    )
 
 
 def money_sum(value: Column, money_scale: int | None) -> Column:

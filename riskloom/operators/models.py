@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import ordering
 from riskloom.operators.discrimination import discrimination
 from riskloom.schemas import KEY, LABEL, MODEL_FEATURES, SCORE
+from riskloom.sources.staging import stage
 
 # Model settings.
 SEED = 42
@@ -27,11 +28,6 @@ BOOSTING = "gradient_boosting"
 
 METRICS = ["roc_auc", "gini", "ks"]
 
-# Rows per training partition: boosting runs hundreds of short jobs, and many small tasks in each
-# would cost more than they gain.
-ROWS_PER_PARTITION = 50_000
-
-
 @dataclass
 class Trained:
     """Fitted candidates with their held-out metrics, and the winner's name."""
@@ -54,7 +50,7 @@ def stratified_split(
     """``labelled`` with ``is_test``: in every class exactly ``round(test_size * class size)`` rows.
 
     Rows are ranked by a hash of seed and id, so the choice depends on neither partitioning nor row
-    order. The result is a staged table: the fits read it many times.
+    order.
     """
     hashed = labelled.withColumn("_draw", F.crc32(F.concat_ws(":", F.lit(str(seed)), F.col(KEY))))
     order = [F.col(LABEL).asc(), F.col("_draw").asc(), F.col(KEY).asc_nulls_last()]
@@ -143,17 +139,20 @@ def train(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     boosting_rounds: int = BOOSTING_ROUNDS,
+    partitions: int | None = None,
 ) -> Trained:
     """Split, fit both candidates, evaluate them on the held-out rows, choose the champion.
 
     Boosting needs a checkpoint folder (``spark.checkpoint.dir``): it cuts its growing lineage there
-    every few rounds.
+    every few rounds. It runs hundreds of short jobs; ``partitions`` sets how many tasks each has, else
+    the rows stay in the partitions they were written in.
     """
     features = usable_features(labelled)
-    split = stratified_split(labelled.select(KEY, LABEL, *features), test_size, seed)
+    split = stage(stratified_split(labelled.select(KEY, LABEL, *features), test_size, seed), "split")
     train_rows, test_rows = split.where(~F.col("is_test")), split.where("is_test")
     n_train = train_rows.count()
-    train_rows = train_rows.coalesce(n_train // ROWS_PER_PARTITION + 1)
+    if partitions:
+        train_rows = train_rows.coalesce(partitions)
     fitted, metrics = {}, {}
     for name, pipeline in candidates(features, n_train, boosting_rounds).items():
         fitted[name] = pipeline.fit(train_rows)

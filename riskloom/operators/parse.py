@@ -36,6 +36,8 @@ def _parse(
     items: str,
     item: Callable[[Column], dict[str, Column]],
     amounts: list[str],
+    whole: tuple[str, ...] = (),
+    bad_header: Callable[[Column], Column] = lambda d: F.lit(False),
 ) -> DataFrame:
     doc = F.col("doc")
     opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
@@ -51,6 +53,7 @@ def _parse(
         doc.isNull().alias("corrupt"),
         F.col("raw").rlike(r"^\s*\{").alias("is_object"),
         *[make(doc).alias(name) for name, make in header.items()],
+        bad_header(doc).alias("bad_header"),
         F.try_variant_get(doc, f"$.{items_key}", "variant").isNull().alias("no_items"),
         F.transform(elements, typed).alias(items),
     )
@@ -62,12 +65,14 @@ def _parse(
         .when(F.col("no_items"), None)
         .when(F.col(items).isNull() | F.exists(items, lambda i: ~i["is_object"]), "bad_items")
         .when(bad_amount, "bad_amount")
+        .when(F.exists(items, lambda i: i["dpd"].isNull()) if "dpd" in whole else F.lit(False), "bad_dpd")
+        .when(F.col("bad_header"), "bad_score")
     )
     return fields.select(
         "stem",
         *header,
         items,
-        F.coalesce(F.size(items), F.lit(0)).alias("n_items"),
+        F.when(F.col(items).isNull(), 0).otherwise(F.size(items)).alias("n_items"),
         reason.alias("reason"),
     )
 
@@ -102,6 +107,11 @@ def parse_bureau(docs: DataFrame) -> DataFrame:
             "dpd": coerce.days_past_due(t["DPD"]),
         },
         amounts=["current_balance", "sanctioned_amount"],
+        whole=("dpd",),
+        # A score that is there but isn't a number; a missing or null one is known to be unknown.
+        bad_header=lambda d: F.try_variant_get(d, "$.SCORE_V3", "variant").isNotNull()
+        & ~F.is_variant_null(F.try_variant_get(d, "$.SCORE_V3", "variant"))
+        & F.try_variant_get(d, "$.SCORE_V3", "bigint").isNull(),
     )
 
 

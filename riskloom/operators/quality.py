@@ -70,8 +70,9 @@ def _unbalanced(lagged: DataFrame) -> DataFrame:
 
 
 def chronology_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
-    """Transactions dated before the one listed ahead of them in the same statement."""
-    return _dated_early(with_previous(transactions, keys, pos, ["txn_date"]))
+    """Transactions dated before the last known date listed ahead of them in the same statement."""
+    dated = transactions.where(F.col("txn_date").isNotNull())
+    return _dated_early(with_previous(dated, keys, pos, ["txn_date"]))
 
 
 def balance_breaks(transactions: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
@@ -96,8 +97,18 @@ def _steps(parsed: DataFrame, columns: list[str], previous: list[str]) -> DataFr
 
 
 def chronology_breaks_in_documents(parsed: DataFrame) -> DataFrame:
-    """``chronology_breaks`` straight from parsed statements."""
-    return _dated_early(_steps(parsed, ["txn_date"], ["txn_date"]))
+    """``chronology_breaks`` straight from parsed statements, without a shuffle."""
+    dates = F.transform("transactions.txn_date", lambda d, i: F.struct(i.alias("pos"), d.alias("txn_date")))
+    known = F.filter(dates, lambda x: x["txn_date"].isNotNull())
+    rows = parsed.select(KEY, "stem", known.alias("known")).select(KEY, "stem", "known", F.posexplode("known"))
+    rows = rows.select(
+        KEY,
+        "stem",
+        F.col("col.pos").alias("pos"),
+        F.col("col.txn_date").alias("txn_date"),
+        F.get("known", F.col("pos") - 1)["txn_date"].alias("prev_txn_date"),
+    )
+    return _dated_early(rows)
 
 
 def balance_breaks_in_documents(parsed: DataFrame) -> DataFrame:

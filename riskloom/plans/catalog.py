@@ -380,7 +380,7 @@ def a11_feature_table_of_flat_tables(spark, sf):
         lending.transactions(spark, sf),
         lending.MONEY_SCALE,
         trade_order=lending.TRADE_ORDER,
-        transaction_order=[],
+        transaction_order=["txn_date"],
     )
 
 

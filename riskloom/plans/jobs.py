@@ -82,7 +82,7 @@ def build_from_documents(
     tables.write_table(labels.attach_labels(table, outcomes), layout.features)
     written = spark.read.parquet(layout.features)
     if written.isEmpty():
-        raise RuntimeError("no applicant could be parsed; nothing was built")
+        raise RuntimeError("every document was rejected: see the quarantine table for the reasons")
     return written
 
 
@@ -131,8 +131,9 @@ def score(
         trained.models[trained.champion], table if score_all else labelled
     )
     if mark_test_rows:
-        marks = trained.split.select(models.KEY, "is_test").dropDuplicates([models.KEY])
-        scored = scored.join(marks, models.KEY, "left")
+        keys = [models.KEY, models.LABEL]
+        marks = trained.split.select(*keys, "is_test").dropDuplicates(keys)
+        scored = scored.join(marks, keys, "left")
     tables.write_table(scored, layout.scored)
     models.save_model(trained, layout.model)
     written = spark.read.parquet(layout.scored)

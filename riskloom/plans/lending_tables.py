@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from riskloom.functions.coerce import days_past_due_text
 from riskloom.schemas import KEY, LABEL, SCORE, TRADE_COLUMNS
 
-# Bureau and bank names.
-BUREAUS = ["CIBIL", "Experian", "Equifax", "CRIF"]
-BANKS = ["SBI", "HDFC", "ICICI", "Axis", "Kotak", "PNB"]
+# Invented bureau and bank names.
+BUREAUS = ["Borealis", "Meridian", "Tessera", "Quorum"]
+BANKS = ["Alder", "Birch", "Cedar", "Elm", "Hazel", "Rowan"]
 
 # Amounts in these tables carry cents.
 MONEY_SCALE = 2
@@ -28,12 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over the cores; any larger scan as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def padded(key: Column, width: int) -> Column:
     """Zero-padded number; a longer one keeps all its digits."""
     text = key.cast("string")
@@ -252,7 +246,7 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
         "TRADES": F.col("items"),
     }
-    rows = spread(table(spark, sf_dir, "orders")).where(~_defect(k, 18)).withColumn("items", items)
+    rows = table(spark, sf_dir, "orders").where(~_defect(k, 18)).withColumn("items", items)
     return _written(rows, "TRADES", tail, applicant_id(customer), cut=1, array=2, no_id=3)
 
 
@@ -268,7 +262,7 @@ def _written(
         .when(_defect(k, no_id), F.concat(F.lit("{"), "body"))
         .otherwise(F.col("whole"))
     )
-    bodies = rows.withColumn("body", F.substring(_object(tail), 2, 1 << 30))
+    bodies = rows.withColumn("body", F.substr(_object(tail), F.lit(2)))
     texts = bodies.withColumn("whole", whole)
     return texts.select(document_stem(k).alias("stem"), raw.alias("raw"))
 
@@ -317,5 +311,5 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
-    files = spread(table(spark, sf_dir, "orders")).where(~_defect(k, 11)).withColumn("items", items)
+    files = table(spark, sf_dir, "orders").where(~_defect(k, 11)).withColumn("items", items)
     return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)

@@ -54,5 +54,3 @@ MODEL_FEATURES = [
     "min_balance",
     "max_balance",
 ]
-
-LABELS_SCHEMA = "loan_app_id string, default_flag int"

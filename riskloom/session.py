@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,5 +19,7 @@ def local_session(name: str = "riskloom", cores: str | None = None, shuffle: int
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Driver and tasks are one process here, so a folder of its own is a shared one.
+        .config("spark.checkpoint.dir", os.environ.get("RISKLOOM_SHARED_DIR") or tempfile.mkdtemp())
         .getOrCreate()
     )

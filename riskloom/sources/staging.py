@@ -6,22 +6,16 @@ only the columns they need.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """``<spark.checkpoint.dir>/<application id>``; a local session without one gets its own."""
+    """``<spark.checkpoint.dir>/<application id>``."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = spark.sparkContext.getCheckpointDir()
-        if not base:
-            base = tempfile.mkdtemp(prefix="riskloom-")
-            spark.sparkContext.setCheckpointDir(base)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.schemas import LABELS_SCHEMA
+from riskloom.functions.coerce import real_from_text
+from riskloom.schemas import KEY, LABEL
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -27,15 +29,30 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_labels(spark: SparkSession, path: str | None) -> DataFrame | None:
-    """Observed outcomes from a CSV with a header row; ``None`` when there is no such file."""
+    """Observed outcomes from a CSV with a header row; ``None`` when there is no such file.
+
+    Columns are taken by name, in any order; further ones are kept as texts. An outcome may be written as
+    a whole or a real number (``1``, ``1.0``) or left empty; any other value than 0 and 1 is an error.
+    """
     if path is None:
         return None
     try:
-        return spark.read.csv(path, header=True, schema=LABELS_SCHEMA, enforceSchema=False)
+        raw = spark.read.csv(path, header=True)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    missing = {KEY, LABEL} - set(raw.columns)
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+    text = F.trim(F.col(LABEL))
+    number = real_from_text(text)
+    outcome = (
+        F.when(text.isNull() | (text == ""), None)
+        .when(number.isin(0.0, 1.0), number.cast("int"))
+        .otherwise(F.raise_error(F.concat(F.lit(f"{LABEL} is neither 0 nor 1: "), text)).cast("int"))
+    )
+    return raw.select(KEY, outcome.alias(LABEL), *[c for c in raw.columns if c not in (KEY, LABEL)])
 
 
 def write_table(df: DataFrame, path: str) -> None:

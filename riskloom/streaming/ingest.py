@@ -20,7 +20,11 @@ def stream_documents(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     raw = reader.text(path, wholetext=True)
-    return raw.select(stem_of(F.col("_metadata.file_name")).alias("stem"), F.col("value").alias("raw"))
+    return raw.select(
+        stem_of(F.col("_metadata.file_name")).alias("stem"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("raw"),
+    )
 
 
 def land_batch(batch: DataFrame, batch_id: int, target: str) -> None:
@@ -31,7 +35,14 @@ def land_batch(batch: DataFrame, batch_id: int, target: str) -> None:
     batch first: one column scanned, and no shuffle of the landed table while the batch's stems are
     small enough for Catalyst to broadcast.
     """
-    fresh = batch.select("stem", "raw").dropDuplicates(["stem"])
+    # Of several documents of one stem the first by path is taken (without paths, by a hash of the text);
+    # only names and paths are shuffled before the join.
+    place = F.col("path") if "path" in batch.columns else F.xxhash64("raw")
+    placed = batch.select("stem", "raw", place.alias("place"))
+    first = placed.groupBy("stem").agg(F.min("place").alias("place"))
+    fresh = placed.join(first, ["stem", "place"], "left_semi").select("stem", "raw")
+    if "path" not in batch.columns:  # equal rows are left
+        fresh = fresh.dropDuplicates(["stem"])
     landed = read_table(batch.sparkSession, target)
     if landed is not None:
         seen = (
@@ -62,15 +73,18 @@ def ingest(documents: DataFrame, target: str, checkpoint: str) -> StreamingQuery
 
 
 def _first_batch(spark: SparkSession, target: str, checkpoint: str) -> int:
-    """Number of the stream's batch 0, kept next to the checkpoint so that restarts agree."""
-    kept = f"{checkpoint}/first_batch"
+    """Number of the stream's batch 0, kept next to the checkpoint so that restarts agree.
+
+    It is written before the first batch starts; a write that broke off is simply made again.
+    """
+    kept = f"{checkpoint.rstrip('/')}-first-batch"
     known = read_table(spark, kept)
     if known is not None:
         return known.first().first
     landed = read_table(spark, target)
     last = None if landed is None else landed.agg(F.max("batch")).first()[0]
     first = 0 if last is None else last + 1
-    spark.range(1).select(F.lit(first).cast("bigint").alias("first")).write.parquet(kept)
+    spark.range(1).select(F.lit(first).cast("bigint").alias("first")).coalesce(1).write.mode("overwrite").parquet(kept)
     return first
 
 

@@ -5,6 +5,9 @@ import os
 import pytest
 from compare import connect, difference, entry
 
+from riskloom.plans.catalog import QUERIES
+from riskloom.plans.expected_sql import EXPECTED
+
 SF = "/root/testdata/sf0.001"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -25,13 +28,17 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(EXPECTED))
 def test_query_equals_sql(spark, con, name):
     assert difference(spark, con, SF, name) is None
 
 
 def test_every_query_has_sql_or_a_reason():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == FITTED | {"m2_stratified_split"}
+    assert set(QUERIES) - set(EXPECTED) == FITTED | {"m2_stratified_split"}
+
+
+def test_entry_offers_all_of_them():
+    assert set(QUERIES) <= set(entry.queries()) and set(EXPECTED) <= set(entry.oracle_sql())
 
 
 def test_flagship(spark):

@@ -9,27 +9,27 @@ from riskloom.operators import features, labels
 @pytest.mark.parametrize("money_scale", [None, 2])
 def test_bureau_features(spark, money_scale):
     out = by_id(features.bureau_features(trades(spark), money_scale=money_scale))
-    assert out["A1"].num_trades == 2
-    assert out["A1"].max_dpd == 45 and out["A1"].avg_dpd == 22.5
-    assert out["A1"].total_sanctioned_amount == 30000.0
-    assert out["A1"].total_current_balance == 3000.0
-    assert (out["A1"].dpd_30_plus, out["A1"].dpd_60_plus, out["A1"].dpd_90_plus) == (1, 0, 0)
-    assert out["A2"].dpd_90_plus == 1
-    assert (out["A1"].bureau, out["A2"].score_v3) == ("CIBIL", 480)
+    assert out["B7"].num_trades == 2
+    assert out["B7"].max_dpd == 61 and out["B7"].avg_dpd == 45.0
+    assert out["B7"].total_sanctioned_amount == 10500.0
+    assert out["B7"].total_current_balance == 2000.0
+    assert (out["B7"].dpd_30_plus, out["B7"].dpd_60_plus, out["B7"].dpd_90_plus) == (1, 1, 0)
+    assert out["B9"].dpd_90_plus == 1
+    assert (out["B7"].bureau, out["B9"].score_v3) == ("Tessera", 512)
 
 
 @pytest.mark.parametrize("money_scale", [None, 2])
 def test_banking_features(spark, money_scale):
     out = by_id(features.banking_features(transactions(spark), money_scale=money_scale))
-    assert out["A1"].txn_count == 3
-    assert out["A1"].total_credits == 50000.0
-    assert out["A1"].total_debits == 10000.0
-    assert out["A1"].salary_credits_count == 1
-    assert out["A1"].emi_txn_count == 1
-    assert out["A1"].cash_withdrawal_count == 1
-    assert out["A1"].avg_balance == 49000.0
-    assert out["A2"].min_balance == -2000.0
-    assert out["A2"].total_credits == 0.0
+    assert out["B7"].txn_count == 3
+    assert out["B7"].total_credits == 900.0
+    assert out["B7"].total_debits == 450.0
+    assert out["B7"].salary_credits_count == 1
+    assert out["B7"].emi_txn_count == 1
+    assert out["B7"].cash_withdrawal_count == 1
+    assert out["B7"].avg_balance == 1200.0
+    assert out["B9"].min_balance == -45.0
+    assert out["B9"].total_credits == 0.0
 
 
 def test_headers_give_the_same_table(spark):
@@ -42,7 +42,10 @@ def test_headers_give_the_same_table(spark):
 
 @pytest.mark.parametrize(
     "score,max_dpd,band",
-    [(800, 0, 1), (700, 0, 2), (600, 0, 3), (450, 0, 4), (800, 90, 5), (450, 120, 5), (None, 0, 1)],
+    [
+        (750, 89, 1), (749, 89, 2), (650, 0, 2), (649, 0, 3), (500, 0, 3), (499, 0, 4), (850, 90, 5),
+        (499, 90, 5), (None, 0, 1),
+    ],
 )
 def test_risk_band(spark, score, max_dpd, band):
     row = spark.createDataFrame([(score, max_dpd)], "s int, d int")
@@ -53,7 +56,7 @@ def test_feature_table(spark):
     table = features.build_features(trades(spark), transactions(spark))
     out = by_id(table)
     assert table.count() == 2 and len(table.columns) == 23
-    assert out["A2"].risk_band == 5
+    assert out["B9"].risk_band == 5
 
 
 def test_first_known_takes_document_order(spark):
@@ -71,12 +74,12 @@ def test_unknown_values(spark):
     df = spark.createDataFrame(
         rows, "loan_app_id string, txn_amount double, txn_type string, bal_after double, txn_desc string"
     ).select("*", F.lit("b").alias("bank_name"), F.lit("1").alias("acct_num"))
-    row = features.banking_features(df).first()
+    row = features.banking_features(df, order=["txn_desc"]).first()
     assert (row.txn_count, row.total_credits, row.total_debits) == (2, 0.0, 7.0)
     assert (row.avg_balance, row.min_balance, row.max_balance) == (3.0, 2.0, 4.0)
     assert row.salary_credits_count == 1
     assert row.emi_txn_count == 1  # inside "Premium"
-    assert features.banking_features(df, whole_words=True).first().emi_txn_count == 0
+    assert features.banking_features(df, order=["txn_desc"], whole_words=True).first().emi_txn_count == 0
 
 
 def test_null_ids_are_left_out(spark):
@@ -124,8 +127,8 @@ def _labels(spark, rows):
 
 def test_labels(spark):
     table = features.build_features(trades(spark), transactions(spark))
-    found = labels.attach_labels(table, _labels(spark, [("A1", 1), ("A9", 0)]))
-    assert {r.loan_app_id: r.default_flag for r in found.collect()} == {"A1": 1, "A2": None}
+    found = labels.attach_labels(table, _labels(spark, [("B7", 1), ("B0", 0)]))
+    assert {r.loan_app_id: r.default_flag for r in found.collect()} == {"B7": 1, "B9": None}
     coverage = labels.label_coverage(found).first()
     assert (coverage.matched, coverage.total) == (1, 2)
     assert labels.require_labels(found).count() == 1
@@ -134,10 +137,10 @@ def test_labels(spark):
 
 def test_repeated_labels_fan_out(spark, monkeypatch):
     monkeypatch.setattr(labels, "_SLICE", 3)
-    many = _labels(spark, [("A1", 1)] * 7 + [("A1", 0)] * 2 + [("A1", None)] + [("A2", 1)])
+    many = _labels(spark, [("B7", 1)] * 7 + [("B7", 0)] * 2 + [("B7", None)] + [("B9", 1)])
     found = labels.attach_labels(features.build_features(trades(spark), transactions(spark)), many)
     counts = {(r[0], r[1]): r[2] for r in found.groupBy("loan_app_id", "default_flag").count().collect()}
-    assert counts == {("A1", 1): 7, ("A1", 0): 2, ("A1", None): 1, ("A2", 1): 1}
+    assert counts == {("B7", 1): 7, ("B7", 0): 2, ("B7", None): 1, ("B9", 1): 1}
 
 
 def test_missing_labels_are_an_error(spark):
@@ -145,7 +148,7 @@ def test_missing_labels_are_an_error(spark):
     with pytest.raises(ValueError, match="default_flag"):
         labels.require_labels(table)
     with pytest.raises(ValueError, match="default_flag"):
-        labels.require_labels(labels.attach_labels(table, _labels(spark, [("A9", 0)])))
+        labels.require_labels(labels.attach_labels(table, _labels(spark, [("B0", 0)])))
 
 
 def test_scans_read_only_the_item_columns_in_use(spark, tmp_path):
@@ -171,3 +174,30 @@ def test_scans_read_only_the_item_columns_in_use(spark, tmp_path):
     assert items_read(rows) == ["array<struct<txn_amount:double>>"]
     breaks = quality.breaks_per_applicant(quality.chronology_breaks_in_documents(parsed))
     assert items_read(breaks) == ["array<struct<txn_date:timestamp_ntz>>"]
+
+
+def test_first_values_need_an_order(spark):
+    with pytest.raises(ValueError, match="order"):
+        features.build_features(trades(spark).drop("pos"), transactions(spark))
+
+
+def test_money_beyond_64_bits_is_an_error(spark):
+    df = spark.createDataFrame([(2e17,)], "x double")
+    with pytest.raises(Exception, match="64-bit"):
+        df.agg(features.money_sum(F.col("x"), 2)).collect()
+    assert df.agg(features.money_sum(F.col("x") / 10, 2)).first()[0] == 2e16
+
+
+def test_copies_of_a_hot_label_spread(spark, monkeypatch):
+    monkeypatch.setattr(labels, "_SLICE", 100)
+    hot = spark.range(20_000).selectExpr("'B7' AS loan_app_id", "1 AS default_flag")
+    table = features.build_features(trades(spark), transactions(spark))
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        sizes = labels.attach_labels(table, hot).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(merge)
+    counts = [r[1] for r in sizes if r[1] > 1]
+    assert sum(r[1] for r in sizes) == 20_001
+    assert max(counts) < 2 * sum(counts) / len(counts) and len(counts) > 4

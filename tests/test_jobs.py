@@ -148,7 +148,7 @@ def test_nothing_usable_is_an_error(spark, tmp_path):
     for side in ("bureau", "banking"):
         (tmp_path / "raw" / side).mkdir(parents=True)
         (tmp_path / f"raw/{side}/APP000001.json").write_text("[]")
-    with pytest.raises(RuntimeError, match="nothing was built"):
+    with pytest.raises(RuntimeError, match="every document was rejected"):
         jobs.build(spark, jobs.Layout(str(tmp_path)))
 
 
@@ -174,6 +174,23 @@ def test_labels_csv(spark, tmp_path):
     assert tables.read_labels(spark, None) is None
 
 
+def test_labels_as_users_write_them(spark, tmp_path):
+    path = tmp_path / "labels.csv"
+    path.write_text("note,default_flag,loan_app_id\nx,1.0,B1\ny,0.0,B2\nz, 1 ,B3\n,,B4\n")
+    assert [tuple(r) for r in tables.read_labels(spark, str(path)).collect()] == [
+        ("B1", 1, "x"),
+        ("B2", 0, "y"),
+        ("B3", 1, "z"),
+        ("B4", None, None),
+    ]
+    path.write_text("loan_app_id,default_flag\nB1,2\n")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        tables.read_labels(spark, str(path)).collect()
+    path.write_text("loan_app_id,flag\nB1,1\n")
+    with pytest.raises(ValueError, match="default_flag"):
+        tables.read_labels(spark, str(path))
+
+
 def test_document_files_are_listed_by_name(spark, raw):
     files = documents.document_files(spark, str(raw / "raw/bureau"))
     assert files.count() == 120

@@ -12,13 +12,13 @@ def _scored(spark, labels, scores):
 
 
 def test_ks_of_separated_scores(spark):
-    df = _scored(spark, [0, 0, 0, 1, 1, 1], [0.1, 0.2, 0.3, 0.7, 0.8, 0.9])
+    df = _scored(spark, [0, 1, 0, 1, 1], [0.05, 0.6, 0.2, 0.9, 0.75])
     row = discrimination.discrimination(df).first()
     assert (row.ks, row.roc_auc, row.gini) == (1.0, 1.0, 1.0)
 
 
 def test_ks_of_equal_scores_is_zero(spark):
-    row = discrimination.discrimination(_scored(spark, [0, 1, 0, 1], [0.5] * 4)).first()
+    row = discrimination.discrimination(_scored(spark, [1, 0, 0, 1, 0, 1], [0.3] * 6)).first()
     assert (row.ks, row.roc_auc, row.gini) == (0.0, 0.5, 0.0)
 
 
@@ -42,11 +42,11 @@ def test_auc_and_ks_by_brute_force(spark):
 
 
 def test_decile_table(spark):
-    scores = [0.01 + 0.98 * i / 99 for i in range(100)]
-    table = discrimination.decile_table(_scored(spark, [0] * 50 + [1] * 50, scores))
+    scores = [(i / 60) ** 2 for i in range(60)]
+    table = discrimination.decile_table(_scored(spark, [int(i >= 25) for i in range(60)], scores))
     rows = table.orderBy("pd_decile").collect()
     assert [r.pd_decile for r in rows] == list(range(1, 11))
-    assert sum(r.applicants for r in rows) == 100
+    assert sum(r.applicants for r in rows) == 60
     assert rows[-1].observed_default_rate > rows[0].observed_default_rate
     assert all(r.avg_pd == round(r.avg_pd, 4) for r in rows)
 
@@ -57,12 +57,13 @@ def test_deciles_of_twelve(spark):
     assert counts == [2, 1, 1, 1, 1, 1, 1, 1, 1, 2]
 
 
-def _training(spark, n=400, seed=0):
+def _training(spark, n=520, seed=17):
+    """Odds that rise fourfold with each unit of the first column; the second says nothing."""
     draw = random.Random(seed)
     rows = []
     for i in range(n):
-        x = draw.gauss(0, 1)
-        rows.append((f"A{i:04d}", int(x + draw.gauss(0, 0.5) > 0.8), x, draw.gauss(0, 1)))
+        x = draw.uniform(-3, 3)
+        rows.append((f"A{i:04d}", int(draw.random() < 1 / (1 + 4 ** (1 - x))), x, draw.uniform(0, 90)))
     return spark.createDataFrame(
         rows, "loan_app_id string, default_flag int, score_v3 double, max_dpd double"
     )
