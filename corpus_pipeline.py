@@ -83,8 +83,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     rows = docs.select(F.struct("doc_id", "source", F.sha2("text", 256).alias("sha")).alias("row"), "text")
-    ids = byte_bpe.encode(rows, ranks, public_tokenizers.PATTERN, id_col="row")
-    back = byte_bpe.decode(ids, ranks, id_col="row")
+    back = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, id_col="row")
     return back.select(
         "row.doc_id",
         "row.source",

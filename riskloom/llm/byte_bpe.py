@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from riskloom.llm.common import MEMO, Memo, small_batches, texts_of
 
 #: Deterministic states a transducer keeps; where they end, it runs in its nondeterministic form.
-STATES = 100_000
+STATES = 60_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -313,6 +313,16 @@ class Utf8Stream:
         return 0
 
 
+def _decoded(packed: bytes | None, token, portion: int) -> str:
+    """What packed ids stand for, decoded ``portion`` ids at a time."""
+    ids = np.frombuffer(packed or b"", "<u4").tolist()
+    stream, text = Utf8Stream(), []
+    for at in range(0, len(ids), portion):
+        text.append(stream.feed(b"".join(map(token, ids[at : at + portion]))))
+    text.append(stream.feed(b"", last=True))
+    return "".join(text)
+
+
 def encode(
     df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -333,22 +343,38 @@ def encode(
 def decode(
     df: DataFrame, ranks: dict[bytes, int], id_col: str = "doc_id", ids_col: str = "ids", portion: int = 4096
 ) -> DataFrame:
-    """(id, ids, decoded) of every row of packed ids, ``portion`` ids at a time."""
+    """(id, ids, decoded) of every row of packed ids."""
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, ""))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
             token = shared.value.bytes.__getitem__
-            texts = []
-            for packed in batch.column(1).to_pylist():
-                ids = np.frombuffer(packed or b"", "<u4").tolist()
-                stream, text = Utf8Stream(), []
-                for at in range(0, len(ids), portion):
-                    text.append(stream.feed(b"".join(map(token, ids[at : at + portion]))))
-                text.append(stream.feed(b"", last=True))
-                texts.append("".join(text))
+            texts = [_decoded(packed, token, portion) for packed in batch.column(1).to_pylist()]
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "ids", "decoded"])
 
     return df.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded string")
+
+
+def round_trip(
+    df: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    portion: int = 4096,
+) -> DataFrame:
+    """``decode`` of ``encode``, both in one task, so that one Python worker holds the tables."""
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern))
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            token = shared.value.bytes.__getitem__
+            ids = [shared.value.words.encode(text) for text in texts_of(batch.column(1))]
+            texts = [_decoded(packed, token, portion) for packed in ids]
+            columns = [batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "ids", "decoded"])
+
+    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids binary, decoded string")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries a per-task memo may hold before it is emptied; it bounds memory, never the result.
-MEMO = 150_000
+MEMO = 100_000
 
 #: Rows of two 64-bit columns (16 MB) that may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000

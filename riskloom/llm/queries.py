@@ -100,8 +100,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents")
-    ids = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
-    return byte_bpe.decode(ids, ranks).select(
+    return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

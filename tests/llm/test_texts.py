@@ -189,6 +189,8 @@ def test_byte_bpe(docs_of, monkeypatch):
     ]
     rows = messy() + [(400 + i, t) for i, t in enumerate(odd)] + [(900, "a  b \n c   "), (901, "<|endoftext|>")]
     got = byte_bpe.decode(byte_bpe.encode(docs_of(rows), ranks, pattern), ranks, portion=7).collect()
+    both = byte_bpe.round_trip(docs_of(rows), ranks, pattern).collect()
+    assert Counter(map(tuple, both)) == Counter(map(tuple, got))
     want = Counter((i, tuple(library.encode_ordinary(t or "")), t or "") for i, t in rows)
     import numpy as np
 
