@@ -62,7 +62,8 @@ def nearest_codes(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         differ = F.aggregate(
             F.zip_with("_query", "code", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x
         )
-        found = probes.join(index, ["bits", "segment", "value"]).select(
+        # Catalyst can't foresee how many probes there are; without the hint it may broadcast them.
+        found = probes.join(index.hint("merge"), ["bits", "segment", "value"]).select(
             "query_id", differ.alias("distance"), F.explode("ids").alias("vec_id")
         )
         found = found.where("vec_id <> query_id").distinct()
