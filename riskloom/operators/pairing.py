@@ -50,13 +50,14 @@ def rejects(verdicts: DataFrame) -> DataFrame:
 
 
 def accepted(parsed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Parsed documents that are not in quarantine.
+    """Parsed documents that are not in quarantine; ``parsed`` is a written table.
 
-    Rejects are the rare side: read from their written table their size is known, and Catalyst
-    broadcasts them below its threshold, so the documents are not shuffled; beyond it the same
-    anti join is a sort-merge join.
+    A document's own defects drop it at the scan. What the other side rejects takes an anti join: read
+    from its written table its size is known, and Catalyst broadcasts it below its threshold, so the
+    documents are not shuffled; beyond it the same anti join is a sort-merge join.
     """
-    return parsed.join(rejected.select("stem"), "stem", "left_anti")
+    sound = parsed.where(F.col("reason").isNull() & (F.col("n_items") > 0))
+    return sound.join(rejected.select("stem"), "stem", "left_anti")
 
 
 def without_statement(bureau: DataFrame, banking: DataFrame) -> DataFrame:

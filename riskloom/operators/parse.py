@@ -3,6 +3,9 @@
 Each text is parsed once, and all items come out of it in one cast to an array of structs whose
 untrusted fields stay VARIANT until they are coerced. Stored as Parquet, later passes read single
 leaf columns of the typed array and never touch the JSON again.
+
+Write the output before filtering it: a filter on the reason of an unwritten table is pushed into the parse,
+and Catalyst then repeats the parse for every column.
 """
 
 from __future__ import annotations

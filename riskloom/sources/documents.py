@@ -42,26 +42,26 @@ def read_first_documents(
 ) -> DataFrame:
     """The first ``limit`` documents by file name; ``None`` or 0 reads all.
 
-    The names are chosen before any content is read. The chosen paths come to the driver, which
-    holds the file index of the scan anyway; the caller's ``limit`` bounds them.
+    Only the last name that still counts comes to the driver. The filter on it is one on file metadata,
+    so later files are not opened.
     """
     if not limit:
         return read_documents(spark, path, glob)
-    chosen = document_files(spark, path, glob).orderBy("file_name").limit(limit)
-    return _read_paths(spark, path, [row.path for row in chosen.select("path").collect()])
+    names = document_files(spark, path, glob).select("file_name").orderBy("file_name").limit(limit)
+    last = names.agg(F.max("file_name")).first()[0]
+    found = read_documents(spark, path, glob)
+    return found.where(F.col("file_name") <= last)
 
 
 def read_matching_documents(
     spark: SparkSession, path: str, stems: DataFrame, glob: str = DOCUMENT_GLOB
 ) -> DataFrame:
-    """The documents whose stem is in ``stems`` (a limited set, see ``read_first_documents``)."""
-    chosen = document_files(spark, path, glob).join(stems.select("stem"), "stem", "left_semi")
-    return _read_paths(spark, path, [row.path for row in chosen.select("path").collect()])
+    """The documents whose stem is in ``stems`` (a limited set, see ``read_first_documents``).
 
-
-def _read_paths(spark: SparkSession, folder: str, paths: list[str]) -> DataFrame:
-    if not paths:
+    Files whose stem lies beyond the last of them are not opened.
+    """
+    last = stems.agg(F.max("stem")).first()[0]
+    if last is None or document_files(spark, path, glob).isEmpty():
         return spark.createDataFrame([], "file_name string, stem string, raw string")
-    raw = spark.read.text(paths, wholetext=True)
-    raw = raw.select("_metadata.file_name", F.col("value").alias("raw"))
-    return raw.select("file_name", stem_of(F.col("file_name")).alias("stem"), "raw")
+    found = read_documents(spark, path, glob).where(stem_of(F.col("file_name")) <= last)
+    return found.join(stems.select("stem"), "stem", "left_semi").select("file_name", "stem", "raw")
