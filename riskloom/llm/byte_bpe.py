@@ -39,8 +39,10 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Bytes of one piece in, token ids out; states are made when first reached."""
 
-    def __init__(self, ranks: dict[bytes, int]) -> None:
+    def __init__(self, ranks: dict[bytes, int], limit: int | None = None, pairs: int = 3 * MEMO) -> None:
         self.ranks = ranks
+        self.limit = STATES if limit is None else limit
+        self.most_pairs = pairs
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.parts: dict[int, tuple[int, int]] = {}
         self.pairs: dict[int, bool] = {}
@@ -103,7 +105,7 @@ class Transducer:
                 a_used, a = a, in_a[1]
             else:
                 b_used, b = b, in_b[0]
-        if len(self.pairs) >= 3 * MEMO:
+        if len(self.pairs) >= self.most_pairs:
             self.pairs.clear()
         self.pairs[key] = good
         return good
@@ -197,7 +199,7 @@ class Transducer:
         for at, byte in enumerate(piece):
             move = state.moves.get(byte)
             if move is None:
-                if len(self.states) >= STATES:
+                if len(self.states) >= self.limit:
                     ids.extend(self._search(state.before, state.unwritten + piece[at:]))
                     return ids
                 move = self._move(state, byte)
@@ -226,8 +228,8 @@ class State:
 class Pieces(Memo):
     """Pieces to their packed ids."""
 
-    def __init__(self, transducer: Transducer) -> None:
-        super().__init__()
+    def __init__(self, transducer: Transducer, limit: int = MEMO) -> None:
+        super().__init__(limit)
         self.transducer = transducer
 
     def find(self, piece: str) -> bytes:
@@ -244,7 +246,7 @@ class Words(Memo):
     def __init__(self, pieces: Pieces, pattern: str) -> None:
         import regex
 
-        super().__init__()
+        super().__init__(pieces.limit)
         self.pieces = pieces
         self.split = regex.compile(pattern).findall
         self.odd = re.compile(r" (?:\s|$)").search
@@ -266,16 +268,19 @@ class Words(Memo):
 class Vocabulary:
     """Ranks to broadcast; each worker compiles them once and keeps its transducer between tasks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int = STATES, remember: int = MEMO) -> None:
         self.ranks = ranks
         self.pattern = pattern
+        self.states = states
+        self.remember = remember
         self._words: Words | None = None
         self._bytes: dict[int, bytes] | None = None
 
     @property
     def words(self) -> Words:
         if self._words is None:
-            self._words = Words(Pieces(Transducer(self.ranks)), self.pattern)
+            transducer = Transducer(self.ranks, self.states, 3 * self.remember)
+            self._words = Words(Pieces(transducer, self.remember), self.pattern)
         return self._words
 
     @property
@@ -324,10 +329,14 @@ def _decoded(packed: bytes | None, token, portion: int) -> str:
 
 
 def encode(
-    df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """(id, ids) of every row: ids as packed little-endian unsigned 32-bit integers."""
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern))
+    df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
+    states: int = STATES, remember: int = MEMO,
+) -> DataFrame:
+    """(id, ids) of every row: ids as packed little-endian unsigned 32-bit integers.
+
+    ``states`` and ``remember`` (words, and pieces) bound what a worker holds; they change time, not ids.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern, states, remember))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,9 +373,11 @@ def round_trip(
     id_col: str = "doc_id",
     text_col: str = "text",
     portion: int = 4096,
+    states: int = STATES,
+    remember: int = MEMO,
 ) -> DataFrame:
     """``decode`` of ``encode``, both in one task, so that one Python worker holds the tables."""
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern))
+    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern, states, remember))
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

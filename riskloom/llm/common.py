@@ -28,16 +28,17 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 class Memo(dict):
-    """What ``find`` gives for a key, remembered for two generations of ``MEMO`` keys."""
+    """What ``find`` gives for a key, remembered for two generations of ``limit`` keys."""
 
-    def __init__(self) -> None:
+    def __init__(self, limit: int = MEMO) -> None:
+        self.limit = limit
         self.older: dict = {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.find(key)
-        if len(self) >= MEMO:
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         self[key] = value
