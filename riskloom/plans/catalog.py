@@ -6,6 +6,7 @@ Each one runs a library operator over whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -434,6 +435,23 @@ def r5_pd_quintiles(spark, sf):
     return reports.pd_quantiles(scored_table(spark, sf))
 
 
+@query
+def r6_report_gate(spark, sf):
+    """Which reports there are before and after scoring, with their row counts."""
+    sources = {
+        "features": stage(feature_table(spark, sf), "features"),
+        "scored": stage(scored_table(spark, sf), "scored"),
+    }
+    counts = [
+        report.agg(F.count("*").alias("rows")).select(
+            F.lit(source).alias("source"), F.lit(name).alias("report"), "rows"
+        )
+        for source, table in sources.items()
+        for name, report in reports.report_pack(table).items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # --- ranks and running totals ----------------------------------------------------------------
 
 
