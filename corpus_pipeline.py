@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import byte_bpe, jaccard, mixing, secrets, toxicity
-from riskloom.llm.common import broadcast_if_small
+from riskloom.llm.common import broadcast_if_small, modest_batches
 from riskloom.sources.staging import stage, staging_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -20,6 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold; those without an id are judged too."""
+    modest_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     network = toxicity.train(docs, labels)
     # The row travels beside the text, so that nothing has to be joined by id afterwards.
@@ -34,6 +35,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents without any word are similar to nothing and stay. Of repeated rows of one id one stays, and
     of a group whose rows have no id, one.
     """
+    modest_batches(spark)
     classes = stage(jaccard.similar_components(docs), "classes")
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     firsts = classes.where((F.col("n_shingles") > 0) & first).groupBy(F.col("doc_id").alias("kept_id")).count()
@@ -57,6 +59,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every found secret replaced by ``<secret>``; ``n_chars`` follows the new text."""
+    modest_batches(spark)
     network = secrets.train(docs)
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
     found = secrets.find_secrets(rows, network, id_col="row")
@@ -70,6 +73,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: never, once or twice."""
+    modest_batches(spark)
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text", "source")
     taken = mixing.mix(rows, id_col="row")
     # Documents without words have no share in the mix; nothing speaks against them, so they stay.
@@ -81,6 +85,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them again."""
     import public_tokenizers
 
+    modest_batches(spark)
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     rows = docs.select(F.struct("doc_id", "source", F.sha2("text", 256).alias("sha")).alias("row"), "text")
     back = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, id_col="row", states=10_000, remember=20_000)

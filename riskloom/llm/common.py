@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a per-task memo may hold before it is emptied; it bounds memory, never the result.
@@ -144,3 +144,14 @@ def text_key(text: str) -> list:
     """Two independent 64-bit hashes that stand for a whole text (null as empty)."""
     whole = F.coalesce(F.col(text), F.lit(""))
     return [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit("again"), whole).alias("k2")]
+
+
+def modest_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Let tasks and their Python workers exchange at most ``rows`` rows at a time.
+
+    Spark's default of 10,000 is meant for narrow rows; with whole texts on both sides, and one more copy
+    on either end, it can fill an executor. A session that sets less keeps it.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > rows:
+        spark.conf.set(name, str(rows))
