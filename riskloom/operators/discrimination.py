@@ -69,7 +69,10 @@ def ks_statistic(scored: DataFrame, score: str = SCORE, label: str = LABEL) -> D
 def decile_table(
     scored: DataFrame, buckets: int = 10, digits: int | None = 4, score: str = SCORE
 ) -> DataFrame:
-    """Applicants, mean PD and observed default rate by predicted-PD decile (1 = lowest risk)."""
+    """How many rows each tenth of the score order holds, its mean score and its share of outcomes 1.
+
+    Decile 1 has the lowest scores; rows without a score are left out.
+    """
     narrow = scored.select(KEY, score, LABEL).where(F.col(score).isNotNull())
     order = [F.col(score).asc_nulls_last(), F.col(KEY).asc_nulls_last()]
     binned = ordering.with_quantile(narrow, order, buckets, "pd_decile")
