@@ -29,29 +29,44 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("predicted = 0").select("row.*")
 
 
+def _row_key() -> Column:
+    """A narrow name of a row: its id, rows without one last, and two hashes of all that is in it."""
+    parts = [part for c in COLUMNS for part in (F.col(c).isNull(), F.col(c))]  # hashes alone pass over nulls
+    return F.struct(
+        F.col("doc_id").isNull().alias("no_id"),
+        "doc_id",
+        F.xxhash64(*parts).alias("k1"),
+        F.xxhash64(F.lit("again"), *parts).alias("k2"),
+    )
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the one of the smallest id.
+    """One row of each group of similar ones: that of the smallest id, and of several the smallest row.
 
-    Documents without any word are similar to nothing and stay. Of repeated rows of one id one stays, and
-    of a group whose rows have no id, one.
+    Groups are of rows, so rows that share an id or have none are judged by their texts like any others; a
+    row with an id goes before those without. Documents without any word are similar to nothing and stay.
     """
     modest_batches(spark)
-    classes = stage(jaccard.similar_components(docs), "classes")
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    firsts = classes.where((F.col("n_shingles") > 0) & first).groupBy(F.col("doc_id").alias("kept_id")).count()
-    keep = broadcast_if_small(firsts.select("kept_id"))
-    again = broadcast_if_small(firsts.where("count > 1").select("kept_id"))
+    keyed = docs.select(_row_key().alias("key"), "text")
+    classes = stage(jaccard.similar_components(keyed, id_col="key"), "classes")
+    first = (F.col("key.no_id") == F.col("component_id.no_id")) & F.col("key.doc_id").eqNullSafe(F.col("component_id.doc_id"))
+    group = [F.col(f"component_id.k{i}").alias(f"c{i}") for i in (1, 2)]
+    firsts = classes.where((F.col("n_shingles") > 0) & first).select("key.k1", "key.k2", *group)
+    sizes = firsts.groupBy("c1", "c2").count()
+    # A group's name is the key of one of its first rows; where there is one such row, that is the row.
+    keep = broadcast_if_small(sizes.where("count = 1").select("c1", "c2"))
+    several = broadcast_if_small(sizes.where("count > 1").select("c1", "c2"))
+    again = broadcast_if_small(stage(firsts.join(several, ["c1", "c2"], "left_semi").distinct(), "repeated"))
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")  # null: no words
     rows = docs.select(*COLUMNS).withColumn("_words", F.coalesce(words, F.lit(False)))
-    full = rows.where("_words").drop("_words")
-
-    def same(ids: DataFrame) -> Column:
-        return full.doc_id.eqNullSafe(ids.kept_id)
-
-    once = full.join(keep, same(keep), "left_semi").join(again, same(again), "left_anti")
-    repeated = full.join(again, same(again), "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"))
+    full = rows.where("_words").drop("_words").withColumn("_key", _row_key())
+    full = full.withColumns({"_k1": F.col("_key.k1"), "_k2": F.col("_key.k2")}).drop("_key")
+    once = full.join(keep, (full._k1 == keep.c1) & (full._k2 == keep.c2), "left_semi")
+    repeated = full.join(again, (full._k1 == again.k1) & (full._k2 == again.k2))
+    repeated = repeated.groupBy("c1", "c2").agg(F.min(F.struct(*COLUMNS)).alias("r"))
     return (
-        once.unionByName(repeated.select("doc_id", "r.*"))
+        once.select(*COLUMNS)
+        .unionByName(repeated.select("r.*"))
         .unionByName(rows.where("NOT _words").drop("_words"))
         .select(*COLUMNS)
     )

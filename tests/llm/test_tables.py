@@ -263,3 +263,37 @@ def test_pipeline(spark):
     assert kept.columns == pipeline.COLUMNS and 0.8 * before < kept.count() <= before
     out = pipeline.run(spark, SF)
     assert out.count() > 0 and out.where("NOT round_trip").isEmpty()
+
+
+def test_near_copies_are_decided_by_row(spark, docs_of):
+    import corpus_pipeline as pipeline
+
+    rng = random.Random(11)
+    text = lambda: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60))
+
+    def near(t):
+        return " ".join([*t.split()[:-1], "changed"])
+
+    a, b, c, d, e, f, g = (text() for _ in range(7))
+    rows = [(None, a), (None, b), (None, near(b)), (None, c), (None, c)]  # clean texts without an id
+    rows += [(7, d), (7, e), (7, e)]  # unrelated texts under one id
+    rows += [(8, f), (9, near(f)), (9, g), (None, near(f))]  # a near copy beside another row of its id
+    rows += [(None, None), (None, ""), (7, " ")]
+    sets = []
+    for _, t in rows:
+        w = (t or "").split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    group = list(range(len(rows)))
+    for i, one in enumerate(sets):
+        for j in range(i):
+            if one and 100 * len(one & sets[j]) >= 75 * len(one | sets[j]):
+                group = [group[j] if x == group[i] else x for x in group]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    best = {}
+    for n, row, one in zip(group, rows, sets, strict=True):
+        if one:
+            best[n] = min(best.get(n, row), row, key=order)
+    want = [*best.values(), *(r for r, one in zip(rows, sets, strict=True) if not one)]
+    assert len(best) == 7
+    got = pipeline.drop_near_copies(spark, docs_of(rows).select(*pipeline.COLUMNS), SF)
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
