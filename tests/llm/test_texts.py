@@ -167,6 +167,25 @@ def test_network_gradients():
         assert gradient[at] == pytest.approx((up - down) / 2e-4, rel=0.02, abs=1e-6)
 
 
+def test_secret_sample_is_of_distinct_examples_of_both_labels(docs_of):
+    rng = random.Random(4)
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=32))
+    token = lambda: "".join(rng.choices("ghijklmnop0123456789", k=20))
+    copies = [(i, f"{c} some words") for i in range(200) for c in ("ab12" * 8, "cd34" * 8, "ef56" * 8)]
+    rows = copies + [(1000 + i, f"words before {value()} and {token()} after") for i in range(30)]
+    got = secrets._sample(docs_of(rows), "text", 40)
+    assert len(got) == 40 == len({(r.secret, bytes(r.points)) for r in got})
+    assert Counter(r.secret for r in got) == {0: 20, 1: 20}
+    sides = defaultdict(set)
+    for r, held in zip(got, secrets._held(got), strict=True):
+        sides[bytes(r.points[secrets.CONTEXT : -secrets.CONTEXT])].add(bool(held))
+    assert all(len(s) == 1 for s in sides.values()) and {True, False} <= set.union(*sides.values())
+    assert secrets.train(docs_of(rows), sample=40) is not None
+    # every finding is followed by another: none of them is an example of something else
+    many = " ".join("".join(rng.choices("0123456789abcdef", k=30)) for _ in range(80))
+    assert {r.secret for r in secrets.examples(docs_of([(1, many)])).collect()} == {1}
+
+
 def test_no_secrets_to_learn_from(docs_of):
     docs = docs_of([(1, "nothing here"), (2, None)])
     assert secrets.train(docs) is None
