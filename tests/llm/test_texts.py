@@ -186,6 +186,20 @@ def test_secret_sample_is_of_distinct_examples_of_both_labels(docs_of):
     assert {r.secret for r in secrets.examples(docs_of([(1, many)])).collect()} == {1}
 
 
+def test_secret_threshold_keeps_recall():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x, y = rng.integers(1, 97, (400, 80)).astype(np.uint8), (np.arange(400) % 8 == 0).astype(np.float32)
+    net = secrets.Network()
+    net.fit(x[:200], y[:200], rounds=1)
+    net.calibrate(x[200:], y[200:])  # noise: most secrets score below one half
+    score = net.score(x[200:][y[200:] > 0])
+    assert np.quantile(score, 0.05) < 0.5
+    assert (score >= net.threshold).mean() >= secrets.RECALL
+    assert (score > net.threshold).mean() < secrets.RECALL
+
+
 def test_no_secrets_to_learn_from(docs_of):
     docs = docs_of([(1, "nothing here"), (2, None)])
     assert secrets.train(docs) is None
