@@ -200,6 +200,30 @@ def test_secret_threshold_keeps_recall():
     assert (score > net.threshold).mean() < secrets.RECALL
 
 
+def test_secret_scores_read_whole_candidates(docs_of):
+    import numpy as np
+
+    rng = random.Random(8)
+    plain = lambda n: "".join(rng.choices("ghijklmnop", k=n))
+    key = lambda: "".join(rng.choices("0123456789abcdef", k=32))
+    rows = [(i, f"{' '.join(rng.choices(WORDS, k=6))} {key()} {' '.join(rng.choices(WORDS, k=6))} {plain(30)}1") for i in range(300)]
+    network = secrets.train(docs_of(rows))
+    begin = "1" + plain(60)
+    tails = [plain(40), key().upper() + plain(8), key()[:20].upper() + "/" + plain(19)]
+    texts = [f"see {begin}{tail} here" for tail in tails]
+    found = secrets.find_secrets(docs_of([(i, t) for i, t in enumerate(texts)]), network).collect()
+    assert all(r.base == [] for r in found)
+    points = [secrets.codes(t, 4, 4 + len(begin) + len(tail)) for t, tail in zip(texts, tails, strict=True)]
+    assert len({p.tobytes() for p in points}) == 3 and len({network.score(*secrets._stacked([p]))[0] for p in points}) == 3
+    for p in points:
+        every = secrets.windows(p)
+        assert np.isclose(network.score(*secrets._stacked([p]))[0], network.score(every).max())
+        assert (every[0] == p[:80]).all() and (every[-1] == p[-80:]).all()
+        assert len(every) * secrets.STEP >= len(p) - 80
+    short = secrets.codes("a 0123456789abcdefg b", 2, 19)
+    assert len(short) == 80 == secrets.windows(short).shape[1] and len(secrets.windows(short)) == 1
+
+
 def test_no_secrets_to_learn_from(docs_of):
     docs = docs_of([(1, "nothing here"), (2, None)])
     assert secrets.train(docs) is None
