@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import Rolling, mixed, small_batches, texts_of
 
 WINDOW, STRIDE = 48, 24
-#: Labelled texts the network is trained on, of each kind, at most, and windows kept of each.
-SAMPLE, SAMPLE_WINDOWS = 1_200, 40
+#: Labelled texts the network is trained on, of each kind, at most; all windows of each are kept.
+SAMPLE = 1_200
 #: A text is called toxic from this score on.
 THRESHOLD = 0.7
 
@@ -264,7 +264,10 @@ class Network:
 
 
 def _sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int) -> list:
-    """(label, windows) of at most ``sample`` texts of each kind that may be trained on, by hash."""
+    """(hash, label, windows) of at most ``sample`` texts of each kind that may be trained on, by hash.
+
+    Tasks send the words of a text once; its windows, all of them, are cut here and share their words.
+    """
     marked = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col(id_col)))
         .groupBy(id_col).agg(F.max("toxic").alias("toxic"))
@@ -276,22 +279,22 @@ def _sample(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            out = []
-            for text in texts_of(batch.column(2)):
-                words = words_of(text)
-                spans = windows(len(words))
-                step = -(-len(spans) // SAMPLE_WINDOWS)
-                out.append([b" ".join(words[a:b]) for a, b in spans[::step]])
+            out = [b" ".join(words_of(text)) for text in texts_of(batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.binary()))], ["toxic", "at", "windows"]
+                [batch.column(0), batch.column(1), pa.array(out, pa.binary())], ["toxic", "at", "words"]
             )
 
     rows = []
     for kind in chosen:
         found = df.select(id_col, text_col).join(kind, id_col)
         found = found.select(F.col("toxic").cast("int").alias("toxic"), "_at", text_col)
-        rows += found.mapInArrow(cut, "toxic int, at long, windows array<binary>").collect()
-    return sorted(((r["at"], r["toxic"], [bytes(w) for w in r["windows"]]) for r in rows), key=lambda r: (r[0], r[1], r[2]))
+        rows += found.mapInArrow(cut, "toxic int, at long, words binary").collect()
+    known: dict[bytes, bytes] = {}
+    out = []
+    for at, toxic, text in sorted((r["at"], r["toxic"], bytes(r["words"])) for r in rows):
+        words = [known.setdefault(w, w) for w in text.split()]
+        out.append((at, toxic, [words[a:b] for a, b in windows(len(words))]))
+    return out
 
 
 def _peculiar(positive: list[list[list[bytes]]], negative: list[list[list[bytes]]]) -> dict[bytes, float]:
@@ -313,7 +316,7 @@ def train(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, rounds: int = 10
 ) -> Network | None:
     """A calibrated network; None if the labels that may be learned from are all alike."""
-    rows = [(y, [w.split() for w in windows]) for _, y, windows in _sample(df, labels, id_col, text_col, sample)]
+    rows = [(y, cut) for _, y, cut in _sample(df, labels, id_col, text_col, sample)]
     if len({y for y, _ in rows}) < 2:
         return None
     held = [i % 5 == 4 for i in range(len(rows))]

@@ -231,6 +231,28 @@ def test_toxicity_learns(spark, docs_of):
     assert got[900].score == got[901].score and got[902].predicted == 0
 
 
+def test_toxicity_learns_from_every_window(spark, docs_of):
+    rng = random.Random(12)
+    plain = ["river", "stone", "walks", "under", "green", "light", "seven", "boats"]
+    rows, marks = [], []
+    for i in range(240):
+        words = rng.choices(plain, k=3_000)  # 124 windows
+        if i % 3 == 0:
+            at = 96 * rng.randrange(5, 25)  # between the windows that a choice of every fourth would keep
+            words[at + 50 : at + 94 : 6] = [rng.choice(["vileword", "vilething", "Vilest!"]) for _ in range(8)]
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1, int(i % 3 == 0)))
+    docs = docs_of(rows)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    texts = Counter(" ".join(b" ".join(w[:24]).decode() for w in cut[:-1]) for _, _, cut in toxicity._sample(docs, labels, "doc_id", "text", 300))
+    held = {r.doc_id for r in docs.where(toxicity.held_out(F.col("doc_id"))).select("doc_id").collect()}
+    full = [toxicity.words_of(t) for i, t in rows if i not in held]
+    assert texts == Counter(b" ".join(w[: 123 * 24]).decode() for w in full)
+    got = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+    right = [r.predicted == (r.doc_id % 3 == 0) for r in got if r.doc_id in held]
+    assert len(right) > 50 and np.mean(right) > 0.95
+
+
 def test_toxicity_without_labels(spark, docs_of):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     docs = docs_of([(1, "a"), (2, None)])
