@@ -15,6 +15,7 @@ read.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,9 +24,6 @@ from pyspark.sql import functions as F
 #: Base phrases and their labels (fixed values).
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Words before and after the keyword that a rule sees.
-BEFORE, AFTER = 14, 16
-
 _VERSION = r"(?: (?:version|v))?(?: \d+(?: \d+){0,2}| v\d+(?: \d+)?)?(?: (?:only|or(?: any)? later(?: version)?))?"
 _LICENSE = r"(?: public)?(?: software)?(?: license| licence)"
 
@@ -128,7 +126,7 @@ FAMILIES = [
 
 #: Rules of notices that name no license: label, words before the keyword, keyword, words after.
 NOTICES = [
-    ("copyright", "", "copyright", r" (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d)*"),
+    ("copyright", "", "copyright", r" (?:c )?(?:19|20)\d\d(?: (?:19|20)\d\d){0,199}"),  # there are 200 such years
     ("copyright", "", "copyright", r" (?:c )?by"),
     ("reserved", "all ", "rights", r" reserved"),
     ("reserved", "alle ", "rechte", r" vorbehalten"),
@@ -163,6 +161,40 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     return list(dict.fromkeys(out))
 
 
+def most_words(expression: str) -> int:
+    """The most spaces an expression can match; an error if there is no bound."""
+
+    def most(parsed) -> int:
+        total = 0
+        for op, value in parsed:
+            name = str(op)
+            if name == "LITERAL":
+                total += value == ord(" ")
+            elif name == "MAX_REPEAT":
+                once = most(value[2])
+                if once and value[1] == re._constants.MAXREPEAT:
+                    raise ValueError(f"no bound on the words of {expression}")
+                total += once and once * value[1]
+            elif name == "SUBPATTERN":
+                total += most(value[3])
+            elif name == "BRANCH":
+                total += max(map(most, value[1]))
+            elif name != "IN":  # classes hold no space
+                raise ValueError(f"{name} in {expression}")
+        return total
+
+    return most(re._parser.parse(expression))
+
+
+def spans() -> dict[str, tuple[int, int]]:
+    """Words before and after each keyword that its rules can match, and so see."""
+    out: dict[str, tuple[int, int]] = {}
+    for _, keyword, expression, *_ in rules():
+        sides = map(most_words, expression.split("#"))
+        out[keyword] = tuple(map(max, out.get(keyword, (0, 0)), sides))
+    return out
+
+
 def _count(words: Column) -> Column:
     """Words of a string that joins them by one space; one at the end doesn't count."""
     return F.size(F.split(words, " ")) - 1
@@ -170,15 +202,18 @@ def _count(words: Column) -> Column:
 
 def _found(place: Column, words: Column) -> Column:
     """Detections of all rules whose keyword stands at ``place``."""
-    first = F.greatest(place - BEFORE, F.lit(0))
-    around = F.concat_ws(
-        " ",
-        F.slice(words, first + 1, place - first),
-        F.concat(F.lit("#"), F.get(words, place)),
-        F.slice(words, place + 2, F.lit(AFTER)),
-    )
+    sees = {}
+    for keyword, (before, after) in spans().items():
+        first = F.greatest(place - before, F.lit(0))
+        sees[keyword] = first, F.concat_ws(
+            " ",
+            F.slice(words, first + 1, place - first),
+            F.concat(F.lit("#"), F.get(words, place)),
+            F.slice(words, place + 2, F.lit(after)),
+        )
     by_keyword: dict[str, list[Column]] = {}
     for label, keyword, expression, priority, confidence in rules():
+        first, around = sees[keyword]
         pattern = rf"^(|.*? )({expression})(?: .*)?$"
         start = first + _count(F.regexp_extract(around, pattern, 1))
         length = _count(F.concat(F.regexp_extract(around, pattern, 2), F.lit(" ")))

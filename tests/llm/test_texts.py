@@ -300,5 +300,21 @@ def test_licenses(docs_of):
     assert len(licenses.rules()) > 200
 
 
+def test_licenses_see_as_far_as_their_rules(docs_of):
+    notice = "x released under the terms of the GNU GPL as published by the Free Software Foundation; either version {} y"
+    longest = "x published in accordance with the terms and conditions of the GNU General Public License as published by the Free Software Foundation, either version {} y"
+    years = " ".join(str(y) for y in range(1960, 2020))
+    rows = [(2, notice.format(2)), (3, notice.format(3)), (4, longest.format(2)), (5, f"copyright (c) {years} someone")]
+    rows += [(1, "x provided to you in accordance with the terms and conditions of the GNU General Public License version 1 y")]
+    got = {r.doc_id: [(d.label, d.start, d.end) for d in r.detections] for r in licenses.scan_licenses(docs_of(rows)).collect()}
+    assert got[2] == [("gpl-2", 1, 19)] and got[3] == [("gpl-3", 1, 19)]
+    assert [label for label, *_ in got[4]] == ["gpl-2"]
+    assert got[1] == [("gpl", 1, 19)]  # gpl and gpl-1 match alike here: the smaller label stays
+    assert got[5] == [("copyright", 0, 62)]
+    assert licenses.spans()["version"][0] >= 25
+    with pytest.raises(ValueError):
+        licenses.most_words("(?: a)*")
+
+
 def test_licenses_of_nothing(docs_of):
     assert licenses.scan_licenses(docs_of([])).collect() == []
