@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, chat, hamming, hnsw, jaccard, licenses, mixing, quality, repeats, secrets, toxicity
+from riskloom.llm import byte_bpe, chat, divergence, hamming, hnsw, jaccard, licenses, mixing, quality, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,6 +149,52 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source's words are from its language's and from those of its other sources."""
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents
+), words AS (SELECT row, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+v AS (SELECT lang, count(term) AS v FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang) GROUP BY lang),
+totals AS (
+  SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL
+),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v)::HUGEINT AS p
+  FROM totals JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v)::HUGEINT AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM counts GROUP BY ALL)
+  JOIN (SELECT lang, sum(total) AS total FROM totals GROUP BY lang) USING (lang) JOIN v USING (lang)
+),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -168,7 +214,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_repeats": op10_repeats,
     "op11_quality": op11_quality,
+    "op12_divergence": op12_divergence,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op4_hamming": OP4_SQL}
+SQL: dict[str, str] = {"op4_hamming": OP4_SQL, "op12_divergence": OP12_SQL}
