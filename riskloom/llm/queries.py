@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, chat, divergence, hamming, hnsw, jaccard, licenses, mixing, quality, repeats, secrets, toxicity
+from riskloom.llm import byte_bpe, chat, divergence, hamming, hnsw, jaccard, licenses, merkle, mixing, quality, repeats, secrets, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -195,6 +195,85 @@ WHERE part = 'pair' OR rank <= 10
 """
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest of all documents, and proofs that find every fifth one's text lower-cased."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    rows = merkle.leaves(docs, {"text": merkle.lower_cased(F.col("text"))}, tampered)
+    found = merkle.manifest(rows).withColumnRenamed("id", "doc_id").drop("tree")
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _sql_field(name: str) -> str:
+    return f"coalesce(strlen(CAST({name} AS VARCHAR)) || ':' || CAST({name} AS VARCHAR), '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    return f"sha256({' || '.join(_sql_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {_sql_field(text)})"
+
+
+# Ways go through the levels of a row's source and then, from level 100 on, through those of the sources.
+OP13_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce('+' || source, '') AS tree,
+         {_sql_leaf("text")} AS leaf,
+         list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                     lambda crc, b: list_reduce(range(8), lambda x, _: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)),
+                     4294967295::BIGINT) AS crc,
+         {_sql_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lower_leaf
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN lower_leaf ELSE leaf END AS put
+  FROM rows
+),
+below AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM below) WHERE n > 1 GROUP BY tree, pos // 16
+),
+subroots AS (
+  SELECT tree, max(level) AS top, arg_max(digest, level) AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place
+  FROM below GROUP BY tree
+),
+above AS (
+  SELECT 100 AS level, place AS pos, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM above) WHERE n > 1 GROUP BY pos // 16
+),
+nodes AS (SELECT tree, level, pos, digest FROM below UNION ALL SELECT NULL, level, pos, digest FROM above),
+runs AS (
+  SELECT a.tree, a.level, a.pos,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+  FROM nodes a JOIN nodes b ON a.tree IS NOT DISTINCT FROM b.tree AND a.level = b.level AND a.pos // 16 = b.pos // 16
+  GROUP BY ALL
+),
+ways AS (
+  SELECT row, CASE WHEN top = 0 THEN NULL ELSE tree END AS tree, CASE WHEN top = 0 THEN 100 ELSE 0 END AS level,
+         CASE WHEN top = 0 THEN place ELSE pos END AS pos, put AS digest, '' AS beside, top, place
+  FROM leaves JOIN subroots USING (tree)
+  UNION ALL
+  SELECT row, CASE WHEN w.level + 1 = top THEN NULL ELSE w.tree END,
+         CASE WHEN w.level + 1 = top THEN 100 ELSE w.level + 1 END,
+         CASE WHEN w.level + 1 = top THEN place ELSE w.pos // 16 END,
+         sha256(l || w.digest || r), beside || l || r, top, place
+  FROM ways w JOIN runs ON runs.tree IS NOT DISTINCT FROM w.tree AND runs.level = w.level AND runs.pos = w.pos
+  WHERE w.level < (SELECT max(level) FROM above)
+),
+ends AS (
+  SELECT row, digest AS folded_root, sha256(beside) AS proof_sha256
+  FROM ways WHERE level = (SELECT max(level) FROM above)
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN subroots USING (tree) JOIN ends USING (row),
+     (SELECT arg_max(digest, level) AS root FROM above)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -215,7 +294,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_repeats": op10_repeats,
     "op11_quality": op11_quality,
     "op12_divergence": op12_divergence,
+    "op13_merkle": op13_merkle,
     "pipeline": pipeline,
 }
 
-SQL: dict[str, str] = {"op4_hamming": OP4_SQL, "op12_divergence": OP12_SQL}
+SQL: dict[str, str] = {"op4_hamming": OP4_SQL, "op12_divergence": OP12_SQL, "op13_merkle": OP13_SQL}
