@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import bytes_of
+from riskloom.llm.common import broadcast_if_small, bytes_of
 from riskloom.sources.staging import stage
 
 #: Documents of a language that a kept term is in, at least.
@@ -275,7 +275,8 @@ def source_pairs(kept: DataFrame, totals: DataFrame) -> DataFrame:
         "lang", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "source",
         none.cast("string").alias("term"), none.cast("long").alias("n"), "total", "terms",
     )
-    rows = kept.join(blocks.select("lang", "blocks").distinct(), "lang").select(
+    # One row per language: a join that shuffled would send a language's counts to one task.
+    rows = kept.join(broadcast_if_small(blocks.select("lang", "blocks").distinct()), "lang").select(
         "lang", F.pmod(F.xxhash64("term"), "blocks").alias("block"), "source",
         "term", "n", none.cast("long").alias("total"), none.cast("long").alias("terms"),
     )
