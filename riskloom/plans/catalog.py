@@ -10,16 +10,19 @@ from functools import reduce
 
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import coerce, rules
 from riskloom.functions.rounding import half_away
 from riskloom.operators import (
+    boosting,
     discrimination,
     features,
     flatten,
     labels,
+    logistic,
+    model_table,
     models,
     ordering,
     pairing,
@@ -518,16 +521,42 @@ def w6_balance_breaks_of_rows(spark, sf):
 
 # --- models ----------------------------------------------------------------------------------
 
-_TRAINED: dict[tuple[str, str], tuple[models.Trained, DataFrame]] = {}
+def _labelled(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.require_labels(labelled_table(spark, sf))
+
+
+def _fitted(spark: SparkSession, sf: str, name: str) -> model_table.Model:
+    """A candidate fitted on the training rows of the labelled applicants, as ``models.train`` does."""
+    rows = stage(_labelled(spark, sf).select(KEY, LABEL, *MODEL_FEATURES), "labelled")
+    train_rows = stage(models.stratified_split(rows).where("NOT is_test"), "train")
+    if name == models.LOGISTIC:
+        return logistic.fit_logistic(train_rows, MODEL_FEATURES, name, iterations=models.LOGISTIC_ITERATIONS)
+    return models.fit_boosting(train_rows, MODEL_FEATURES, name)
 
 
 def _trained(spark: SparkSession, sf: str) -> tuple[models.Trained, DataFrame]:
-    """Both candidates fitted on the labelled applicants, once per application and folder."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        labelled = stage(labels.require_labels(labelled_table(spark, sf)), "labelled")
-        _TRAINED[key] = models.train(labelled), labelled
-    return _TRAINED[key]
+    """Both candidates in full, and the labelled applicants."""
+    labelled = stage(_labelled(spark, sf), "labelled")
+    return models.train(labelled), labelled
+
+
+#: Small candidates whose whole fit SQL can state: one feature, and two rounds of stumps over all of them.
+SMALL_LOGISTIC, SMALL_ROUNDS, SMALL_DEPTH = ["score_v3"], 2, 1
+
+
+def _small(spark: SparkSession, sf: str) -> tuple[models.Trained, DataFrame]:
+    """Small candidates by the same steps as the full ones, and the labelled applicants."""
+    labelled = stage(_labelled(spark, sf).select(KEY, LABEL, *MODEL_FEATURES), "labelled")
+    split = stage(models.stratified_split(labelled), "split")
+    train_rows, test_rows = split.where("NOT is_test"), split.where("is_test")
+    fitted = {
+        models.LOGISTIC: logistic.fit_logistic(train_rows, SMALL_LOGISTIC, models.LOGISTIC),
+        models.BOOSTING: boosting.fit_boosting(
+            train_rows, MODEL_FEATURES, models.BOOSTING, rounds=SMALL_ROUNDS, depth=SMALL_DEPTH
+        ),
+    }
+    metrics = {name: models.evaluate(model, test_rows) for name, model in fitted.items()}
+    return models.Trained(fitted, metrics, models.choose(metrics), MODEL_FEATURES, split), labelled
 
 
 @query
@@ -572,16 +601,39 @@ def m3_standardized(spark, sf):
 
 @query
 def m4_logistic_pd(spark, sf):
-    trained, labelled = _trained(spark, sf)
-    scored = models.apply_model(trained.models[models.LOGISTIC], labelled)
-    return scored.select(KEY, LABEL, SCORE)
+    model = _fitted(spark, sf, models.LOGISTIC)
+    return models.apply_model(model, _labelled(spark, sf)).select(KEY, LABEL, SCORE)
+
+
+@query
+def m4_logistic_weights(spark, sf):
+    """The fit on one feature: scaling, weight and, without a feature, the intercept."""
+    trained, _ = _small(spark, sf)
+    nodes = model_table.as_table(spark, trained.models[models.LOGISTIC])
+    return nodes.select("feature", *[F.round(c, 4).alias(c) for c in ("mean", "deviation", "value")])
 
 
 @query
 def m5_boosting_pd(spark, sf):
-    trained, labelled = _trained(spark, sf)
-    scored = models.apply_model(trained.models[models.BOOSTING], labelled)
-    return scored.select(KEY, LABEL, SCORE)
+    model = _fitted(spark, sf, models.BOOSTING)
+    return models.apply_model(model, _labelled(spark, sf)).select(KEY, LABEL, SCORE)
+
+
+@query
+def m5_boosted_stumps(spark, sf):
+    """Two rounds of stumps over all features, node by node."""
+    trained, _ = _small(spark, sf)
+    nodes = model_table.as_table(spark, trained.models[models.BOOSTING])
+    return nodes.select("tree", "node", "feature", "threshold", "below", "above", F.round("value", 6).alias("value"))
+
+
+@query
+def m6_probabilities(spark, sf):
+    """PD of every labelled applicant by both small models."""
+    trained, scored = _small(spark, sf)
+    for name, model in trained.models.items():
+        scored = models.apply_model(model, scored, f"{name}_pd")
+    return scored.select(KEY, LABEL, *[F.round(f"{name}_pd", 6).alias(f"{name}_pd") for name in trained.models])
 
 
 @query
@@ -601,6 +653,20 @@ def m11_scored_applicants(spark, sf):
     return models.apply_model(trained.models[trained.champion], labelled)
 
 
+@query
+def m10_small_champion(spark, sf):
+    trained, labelled = _small(spark, sf)
+    return models.comparison(trained, labelled).where("selected").select("model", "roc_auc")
+
+
+@query
+def m11_small_scored(spark, sf):
+    """All labelled applicants, training rows included, scored by the better small model."""
+    trained, labelled = _small(spark, sf)
+    scored = models.apply_model(trained.models[trained.champion], labelled)
+    return scored.select(KEY, LABEL, F.round(SCORE, 6).alias(SCORE))
+
+
 @query
 def m12_decile_table(spark, sf):
     return discrimination.decile_table(scored_table(spark, sf), digits=None)
@@ -612,14 +678,35 @@ def m13_model_comparison(spark, sf):
     return models.comparison(trained, labelled)
 
 
+@query
+def m13_small_comparison(spark, sf):
+    trained, labelled = _small(spark, sf)
+    return models.comparison(trained, labelled)
+
+
 @query
 def s10_model_artifact(spark, sf):
     """The saved winner, loaded again and applied."""
     trained, labelled = _trained(spark, sf)
     path = staging_path(spark, "model")
     models.save_model(trained, path)
-    model, name, _ = models.load_model(spark, path)
-    return models.apply_model(model, labelled).select(KEY, F.lit(name).alias("model"), SCORE)
+    model = models.load_model(spark, path)
+    return models.apply_model(model, labelled).select(KEY, F.lit(model.name).alias("model"), SCORE)
+
+
+@query
+def s10_model_table(spark, sf):
+    """Both small models written as tables, read again, and joined with the applicants node by node."""
+    trained, labelled = _small(spark, sf)
+    numbered = labelled.withColumn("nth", F.row_number().over(Window.partitionBy(KEY).orderBy(LABEL)))
+    out = []
+    for name, model in trained.models.items():
+        path = staging_path(spark, "model")
+        model_table.write_model(spark, model, path)
+        nodes = spark.read.parquet(f"{path}/nodes")
+        scored = model_table.score_by_join(nodes, numbered, [KEY, "nth"], model.features)
+        out.append(scored.select(F.lit(name).alias("model"), KEY, F.round(SCORE, 6).alias(SCORE)))
+    return out[0].unionByName(out[1])
 
 
 # --- checks ----------------------------------------------------------------------------------

@@ -106,8 +106,8 @@ def test_score_and_reports(spark, built):
     quintiles = reports["pd_quintiles"].collect()
     assert [r.applicants for r in quintiles] == [21] * 5
     assert quintiles[-1].default_rate_pct > quintiles[0].default_rate_pct
-    model, name, features = models.load_model(spark, layout.model)
-    assert name in (models.LOGISTIC, models.BOOSTING) and len(features) == 18
+    model = models.load_model(spark, layout.model)
+    assert model.name in (models.LOGISTIC, models.BOOSTING) and len(model.features) == 18
     again = models.apply_model(model, scored.drop("pd_score")).select("loan_app_id", "pd_score")
     assert again.exceptAll(scored.select("loan_app_id", "pd_score")).count() == 0
 

@@ -1,9 +1,14 @@
+import hashlib
 import random
 
+import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskloom.operators import discrimination, models
+from riskloom.operators import boosting, discrimination, logistic, model_table, models
 
 
 def _scored(spark, labels, scores):
@@ -95,23 +100,140 @@ def test_candidates_rank_order(spark):
     assert table[trained.champion].roc_auc == max(r.roc_auc for r in table.values())
 
 
+def _arrays(df):
+    rows = df.select("score_v3", "max_dpd", "default_flag").collect()
+    return np.array([[r[0], r[1]] for r in rows]), np.array([r[2] for r in rows], float)
+
+
 def test_logistic_fit_is_the_penalised_optimum(spark):
     """The fitted weights minimise summed log loss plus half the squared weights on scaled inputs."""
-    import numpy as np
-
     df = _training(spark)
-    fitted = models.candidates(["score_v3", "max_dpd"], df.count())[models.LOGISTIC].fit(df)
-    rows = df.select("score_v3", "max_dpd", "default_flag").collect()
-    x = np.array([[r[0], r[1]] for r in rows])
-    y = np.array([r[2] for r in rows])
+    found = logistic.fit_logistic(df, ["score_v3", "max_dpd"], "l")
+    x, y = _arrays(df)
     z = (x - x.mean(0)) / x.std(0)
-    found = fitted.stages[-1]
-    n = len(y)
-    # Weights on population-scaled inputs; the fit saw inputs scaled by the sample deviation.
-    weights = found.coefficients.toArray() * np.sqrt((n - 1) / n)
-    p = 1 / (1 + np.exp(-(z @ weights + found.intercept)))
-    assert abs(z.T @ (p - y) + weights).max() < 1e-2
-    assert abs((p - y).sum()) < 1e-2
+    intercept, *weights = [n.value for n in found.nodes]
+    p = 1 / (1 + np.exp(-(z @ weights + intercept)))
+    assert abs(z.T @ (p - y) + weights).max() < 1e-6
+    assert abs((p - y).sum()) < 1e-6
+    scored = models.apply_model(found, df).select("pd_score").toPandas().pd_score
+    assert np.allclose(sorted(scored), sorted(p))
+
+
+def test_logistic_fit_of_hard_cases(spark):
+    """Separated classes, a constant feature, two equal features, one class."""
+    rows = [(f"A{i}", int(i >= 10), float(i), 3.0, 1000.0 * i) for i in range(20)]
+    df = spark.createDataFrame(rows, "loan_app_id string, default_flag int, a double, b double, c double")
+    found = logistic.fit_logistic(df, ["a", "b", "c"], "l")
+    _, a, b, c = found.nodes
+    assert b.value == 0 and a.value == pytest.approx(c.value, rel=1e-6) and 0 < a.value < 10
+    alike = logistic.fit_logistic(df.where("default_flag = 1"), ["a"], "l", iterations=20)
+    assert models.apply_model(alike, df).where("pd_score > 0.9").count() == 20
+
+
+def _boost_by_hand(x, y, rounds, depth, rate):
+    """Boosting with every distinct value as a cut; returns the probabilities."""
+    score = np.full(len(y), np.log(y.sum() / (len(y) - y.sum())))
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-score))
+        g, h = y - p, p * (1 - p)
+        parts = [np.ones(len(y), bool)]
+        leaves = []
+        for _ in range(depth):
+            following = []
+            for part in parts:
+                best = None
+                for f in range(x.shape[1]):
+                    for cut in sorted(set(x[part, f]))[:-1]:
+                        low, high = part & (x[:, f] <= cut), part & (x[:, f] > cut)
+                        gain = low.sum() * high.sum() / part.sum() ** 2 * (g[low].mean() - g[high].mean()) ** 2
+                        gain = round(gain, 12)
+                        if gain > 0 and (best is None or gain > best[0]):
+                            best = (gain, low, high)
+                if best is None:
+                    leaves.append(part)
+                else:
+                    following += best[1:]
+            parts = following
+        for part in leaves + parts:
+            score[part] += rate * g[part].sum() / h[part].sum()
+    return 1 / (1 + np.exp(-score))
+
+
+@pytest.mark.parametrize(("rounds", "depth"), [(3, 1), (12, 2), (4, 3)])
+def test_boosting_by_hand(spark, monkeypatch, rounds, depth):
+    """Features of few values are cut anywhere, so the trees are those of exact splits."""
+    monkeypatch.setattr(boosting, "RENEW", 5)
+    df = _training(spark, 200).withColumns({"score_v3": F.round("score_v3"), "max_dpd": F.floor(F.col("max_dpd") / 9).cast("double")})
+    found = boosting.fit_boosting(df, ["score_v3", "max_dpd"], "b", rounds=rounds, depth=depth, rate=0.3)
+    x, y = _arrays(df)
+    want = _boost_by_hand(x, y, rounds, depth, 0.3)
+    scored = models.apply_model(found, df).select("pd_score").toPandas().pd_score
+    assert np.allclose(scored, want, atol=1e-9)
+    assert {n.tree for n in found.nodes} == set(range(rounds + 1))
+
+
+def test_boosting_ranks_like_the_library(spark):
+    """AUC on held-out rows within 0.01 of Spark's own boosted trees."""
+    df = _training(spark, 1500)
+    train, test = df.where("loan_app_id < 'A1000'"), df.where("loan_app_id >= 'A1000'")
+    features = ["score_v3", "max_dpd"]
+    mine = models.apply_model(boosting.fit_boosting(train, features, "b", rounds=20), test)
+    assembler = VectorAssembler(inputCols=features, outputCol="features")
+    theirs = GBTClassifier(labelCol="default_flag", maxIter=20, maxDepth=3, stepSize=0.05, seed=1)
+    theirs = theirs.fit(assembler.transform(train)).transform(assembler.transform(test))
+    theirs = theirs.withColumn("pd_score", vector_to_array("probability")[1])
+    auc = [discrimination.discrimination(d).first().roc_auc for d in (mine, theirs)]
+    assert auc[0] > 0.8 and auc[0] >= auc[1] - 0.01
+
+
+def test_boosting_of_one_class_and_of_constants(spark):
+    df = _training(spark, 50)
+    alike = boosting.fit_boosting(df.where("default_flag = 0"), ["score_v3"], "b", rounds=3)
+    assert len(alike.nodes) == 1 and models.apply_model(alike, df).where("pd_score < 0.5").count() == 50
+    flat = boosting.fit_boosting(df.withColumn("score_v3", F.lit(1.0)), ["score_v3"], "b", rounds=3)
+    share = df.agg(F.avg("default_flag")).first()[0]
+    assert len(flat.nodes) == 1
+    assert models.apply_model(flat, df).first().pd_score == pytest.approx(share)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "boosting"])
+def test_saved_model_scores_alike_both_ways(spark, tmp_path, kind):
+    df = _training(spark, 150)
+    features = ["score_v3", "max_dpd"]
+    if kind == "logistic":
+        found = logistic.fit_logistic(df, features, kind)
+    else:
+        found = boosting.fit_boosting(df, features, kind, rounds=25, depth=3)
+    model_table.write_model(spark, found, str(tmp_path))
+    again = model_table.read_model(spark, str(tmp_path))
+    assert again.name == kind and again.features == features and len(again.nodes) == len(found.nodes)
+    extra = df.withColumns({"n_value": F.lit(1), "tree": F.lit("x"), "_x": F.lit("y")})
+    fast = {r.loan_app_id: r.pd_score for r in models.apply_model(again, extra).collect()}
+    nodes = spark.read.parquet(f"{tmp_path}/nodes")
+    slow = model_table.score_by_join(nodes, extra, ["loan_app_id"], features).collect()
+    assert len(slow) == len(fast) == 150
+    assert all(r.pd_score == pytest.approx(fast[r.loan_app_id], abs=1e-12) for r in slow)
+
+
+def test_split_by_brute_force(spark):
+    """The wanted rows of each class by draw and id, repeated ids at the cut included."""
+    rng = random.Random(3)
+    ids = [f"A{i:03d}" for i in range(90)] + ["HOT"] * 70 + [None] * 3
+    rows = [(i, rng.choice([0, 0, 1]) if i != "HOT" else 1, k) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "loan_app_id string, default_flag int, k int").repartition(6)
+    key = lambda i: (int(hashlib.md5(f"42:{i or ''}".encode()).hexdigest()[:15], 16), i or "")
+    for size in (0.0, 0.2, 0.5, 0.9, 1.0):
+        got = models.stratified_split(df, size).collect()
+        assert sorted(r.k for r in got) == list(range(len(rows)))
+        for label in (0, 1):
+            order = sorted((key(i) for i, y, _ in rows if y == label))
+            want = order[: int(size * len(order) + 0.5)]
+            assert sorted(key(r.loan_app_id) for r in got if r.is_test and r.default_flag == label) == want
+
+
+def test_split_moves_no_rows(spark):
+    plan = models.stratified_split(_training(spark, 60))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
 
 
 def test_champion_tie_goes_to_the_first():
@@ -123,3 +245,5 @@ def test_null_feature_is_an_error(spark):
     df = _training(spark, 20).withColumn("max_dpd", F.lit(None).cast("double"))
     with pytest.raises(Exception, match="null"):
         models.feature_matrix(df, ["max_dpd"]).collect()
+    with pytest.raises(Exception, match="null or NaN"):
+        logistic.fit_logistic(df, ["max_dpd"], "l")
