@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.model_table import Model, Node, probability, require_features
+from riskloom.operators.model_table import Model, Node, parameters, probability, require_features
 from riskloom.schemas import LABEL
 
 #: Largest change of a coefficient at which the fit has settled.
@@ -29,10 +29,12 @@ def _sums(rows: DataFrame, inputs: list[Column], label: str, beta: np.ndarray) -
     """Summed log loss, its gradient and its curvature at ``beta``; the first coefficient is the intercept."""
     size = len(inputs) + 1
     names = [f"z{i}" for i in range(1, size)]
-    scaled = rows.select(F.col(label).cast("double").alias("y"), *[z.alias(n) for z, n in zip(inputs, names)])
-    log_odds = F.lit(float(beta[0]))
-    for weight, name in zip(beta[1:], names):
-        log_odds = log_odds + F.lit(float(weight)) * F.col(name)
+    rows = rows.withColumn("weights", parameters(rows.sparkSession, list(beta)))
+    scaled = rows.select("weights", F.col(label).cast("double").alias("y"), *[z.alias(n) for z, n in zip(inputs, names)])
+    weights = F.col("weights")
+    log_odds = weights[0]
+    for i, name in enumerate(names, start=1):
+        log_odds = log_odds + weights[i] * F.col(name)
     at = scaled.withColumn("t", log_odds).withColumn("p", probability(F.col("t"))).withColumn("v", F.col("p") * (1 - F.col("p")))
     each = [F.lit(1.0), *[F.col(n) for n in names]]
     # log(1 + exp(t)) - y t, without overflow

@@ -74,6 +74,15 @@ def probability(log_odds: Column) -> Column:
     return 1 / (1 + F.exp(-log_odds))
 
 
+def parameters(spark: SparkSession, numbers: list[float]) -> Column:
+    """Numbers as one array that is looked up when a query runs.
+
+    As literals they would be part of the generated code, and each step of a fit would be compiled anew.
+    """
+    listed = ", ".join(f"double('{float(x)!r}')" for x in numbers)
+    return spark.sql(f"SELECT p FROM VALUES (array({listed})) AS t(p)").scalar()
+
+
 def require_features(table: DataFrame, features: list[str]) -> DataFrame:
     """``table``, failing on a row with a null or NaN feature when it is read."""
     bad = reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in features])

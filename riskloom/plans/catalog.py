@@ -5,9 +5,11 @@ Each one runs a library operator over whole tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -33,7 +35,7 @@ from riskloom.operators import (
 from riskloom.plans import lending_tables as lending
 from riskloom.schemas import KEY, LABEL, MODEL_FEATURES, SCORE
 from riskloom.sources import documents, tables
-from riskloom.sources.staging import stage, staging_path
+from riskloom.sources.staging import stage, staging_path, staging_root
 from riskloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -525,19 +527,26 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
     return labels.require_labels(labelled_table(spark, sf))
 
 
-def _fitted(spark: SparkSession, sf: str, name: str) -> model_table.Model:
-    """A candidate fitted on the training rows of the labelled applicants, as ``models.train`` does."""
-    rows = stage(_labelled(spark, sf).select(KEY, LABEL, *MODEL_FEATURES), "labelled")
-    train_rows = stage(models.stratified_split(rows).where("NOT is_test"), "train")
-    if name == models.LOGISTIC:
-        return logistic.fit_logistic(train_rows, MODEL_FEATURES, name, iterations=models.LOGISTIC_ITERATIONS)
-    return models.fit_boosting(train_rows, MODEL_FEATURES, name)
-
-
 def _trained(spark: SparkSession, sf: str) -> tuple[models.Trained, DataFrame]:
-    """Both candidates in full, and the labelled applicants."""
-    labelled = stage(_labelled(spark, sf), "labelled")
-    return models.train(labelled), labelled
+    """Both candidates in full, and the labelled applicants.
+
+    What was trained is kept as tables under the application's staging folder, where later queries of the
+    same tables find it. Training is reproducible, so it makes no difference which query comes first.
+    """
+    path = f"{staging_root(spark)}/trained-{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
+    labelled = _labelled(spark, sf)
+    try:
+        compared = spark.read.parquet(f"{path}/comparison").collect()
+    except AnalysisException:
+        trained = models.train(stage(labelled, "labelled"))
+        for name, model in trained.models.items():
+            model_table.write_model(spark, model, f"{path}/{name}")
+        tables.write_table(models.comparison(trained, labelled), f"{path}/comparison")  # last: now it is whole
+        return trained, labelled
+    fitted = {r.model: models.load_model(spark, f"{path}/{r.model}") for r in compared}
+    metrics = {r.model: {m: r[m] for m in models.METRICS} for r in compared}
+    champion = next(r.model for r in compared if r.selected)
+    return models.Trained(fitted, metrics, champion, MODEL_FEATURES, labelled), labelled
 
 
 #: Small candidates whose whole fit SQL can state: one feature, and two rounds of stumps over all of them.
@@ -601,8 +610,8 @@ def m3_standardized(spark, sf):
 
 @query
 def m4_logistic_pd(spark, sf):
-    model = _fitted(spark, sf, models.LOGISTIC)
-    return models.apply_model(model, _labelled(spark, sf)).select(KEY, LABEL, SCORE)
+    trained, labelled = _trained(spark, sf)
+    return models.apply_model(trained.models[models.LOGISTIC], labelled).select(KEY, LABEL, SCORE)
 
 
 @query
@@ -615,8 +624,8 @@ def m4_logistic_weights(spark, sf):
 
 @query
 def m5_boosting_pd(spark, sf):
-    model = _fitted(spark, sf, models.BOOSTING)
-    return models.apply_model(model, _labelled(spark, sf)).select(KEY, LABEL, SCORE)
+    trained, labelled = _trained(spark, sf)
+    return models.apply_model(trained.models[models.BOOSTING], labelled).select(KEY, LABEL, SCORE)
 
 
 @query
