@@ -28,6 +28,8 @@ from riskloom.llm.common import MEMO, Memo, small_batches, texts_of
 
 #: Deterministic states a transducer keeps; where they end, it runs in its nondeterministic form.
 STATES = 60_000
+#: Words, and pieces of words, whose ids a worker remembers, for two generations.
+REMEMBER = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,10 +46,11 @@ class Transducer:
         self.limit = STATES if limit is None else limit
         self.most_pairs = pairs
         self.bytes = {rank: token for token, rank in ranks.items()}
+        self.longest = max(map(len, ranks), default=0)
         self.parts: dict[int, tuple[int, int]] = {}
         self.pairs: dict[int, bool] = {}
         self.trie: list[dict[int, int]] = [{}]
-        self.token_at: dict[int, int] = {}
+        self.token_at: list[int] = [-1]  # of each place in the trie; -1 where no token ends
         for rank in sorted(self.bytes):
             self._compile(rank)
         self.start = State(-1, b"", [(-1, 0, ())])
@@ -67,6 +70,7 @@ class Transducer:
             if following is None:
                 following = len(self.trie)
                 self.trie.append({})
+                self.token_at.append(-1)
                 self.trie[node][byte] = following
             node = following
         self.token_at[node] = rank
@@ -123,8 +127,8 @@ class Transducer:
                 reached.append((last, node, owed))
             if ended:  # no prefix has a second encoding
                 continue
-            token = token_at.get(node)
-            if token is not None:
+            token = token_at[node]
+            if token >= 0:
                 ended = last < 0 or known(last << 32 | token)
                 if ended is None:
                     ended = self.follows(last, token)
@@ -164,14 +168,15 @@ class Transducer:
         dead: set[tuple[int, int]] = set()
         at, end = 0, len(rest)
         while at < end:
-            ends, node = [], 0
-            for stop in range(at, end):
-                node = trie[node].get(rest[stop])
+            ends, node, stop = [], 0, at
+            for byte in rest[at : at + self.longest]:
+                node = trie[node].get(byte)
                 if node is None:
                     break
-                token = token_at.get(node)
-                if token is not None:
-                    ends.append((token, stop + 1))
+                stop += 1
+                token = token_at[node]
+                if token >= 0:
+                    ends.append((token, stop))
             while True:
                 while ends:
                     token, stop = ends.pop()
@@ -252,7 +257,10 @@ class Words(Memo):
         self.odd = re.compile(r" (?:\s|$)").search
 
     def find(self, word: str) -> bytes:
-        return self._packed(" " + word)
+        parts = self.split(" " + word)
+        if len(parts) == 1:  # remembered as a word, so it need not be as a piece too
+            return self.pieces.find(parts[0])
+        return b"".join(map(self.pieces.__getitem__, parts))
 
     def _packed(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.split(text)))
@@ -268,7 +276,7 @@ class Words(Memo):
 class Vocabulary:
     """Ranks to broadcast; each worker compiles them once and keeps its transducer between tasks."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int = STATES, remember: int = MEMO) -> None:
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int = STATES, remember: int = REMEMBER) -> None:
         self.ranks = ranks
         self.pattern = pattern
         self.states = states
@@ -330,7 +338,7 @@ def _decoded(packed: bytes | None, token, portion: int) -> str:
 
 def encode(
     df: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-    states: int = STATES, remember: int = MEMO,
+    states: int = STATES, remember: int = REMEMBER,
 ) -> DataFrame:
     """(id, ids) of every row: ids as packed little-endian unsigned 32-bit integers.
 
@@ -374,7 +382,7 @@ def round_trip(
     text_col: str = "text",
     portion: int = 4096,
     states: int = STATES,
-    remember: int = MEMO,
+    remember: int = REMEMBER,
 ) -> DataFrame:
     """``decode`` of ``encode``, both in one task, so that one Python worker holds the tables."""
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(ranks, pattern, states, remember))
