@@ -14,21 +14,21 @@ _SLICE = 10_000
 def attach_labels(features: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Left join of the outcomes; ``None`` leaves the table as it is.
 
-    An id with several label rows gives as many feature rows. Equal label rows are counted before the join
-    and unfolded after it; copies beyond one slice are dealt out by slice first, so a much repeated id
-    loads neither the join nor the task behind it.
+    An id with several label rows gives as many feature rows. Equal label rows are counted and cut into
+    slices on their own narrow side, before the join, and unfolded after it. Only if some id has more copies
+    than a slice holds, which the labels alone tell, are the joined rows dealt out by id and slice first; the
+    feature side is planned once either way.
     """
     if labels is None:
         return features
     counted = labels.groupBy(*labels.columns).agg(F.count("*").alias("_copies"))
-    joined = features.join(counted, KEY, "left")
-    slices = F.sequence(F.lit(0), F.expr(f"(coalesce(_copies, 1) - 1) div {_SLICE}"))
-    rest = F.least(F.coalesce("_copies", F.lit(1)) - F.col("_slice") * _SLICE, F.lit(_SLICE))
-    copy = F.explode(F.sequence(F.lit(1).cast("bigint"), rest))
-    many = F.coalesce("_copies", F.lit(1)) > _SLICE
-    few = joined.where(~many).withColumn("_slice", F.lit(0)).withColumn("_copy", copy)
-    dealt = joined.where(many).withColumn("_slice", F.explode(slices)).repartition(F.col(KEY), F.col("_slice"))
-    unfolded = few.unionByName(dealt.withColumn("_copy", copy))
+    slices = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_SLICE}"))
+    sliced = counted.withColumn("_slice", F.explode(slices))
+    rest = F.least(F.coalesce(F.col("_copies") - F.col("_slice") * _SLICE, F.lit(1)), F.lit(_SLICE))
+    joined = features.join(sliced, KEY, "left")
+    if not counted.where(F.col("_copies") > _SLICE).isEmpty():
+        joined = joined.repartition(F.col(KEY), F.col("_slice"))
+    unfolded = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), rest)))
     return unfolded.drop("_copies", "_slice", "_copy")
 
 

@@ -12,6 +12,8 @@ from riskloom.schemas import KEY
 SCORE_LOW, SCORE_HIGH = 300, 900
 BUREAU_KEYS = ["LOAN_APP_ID", "NAME", "DOB", "BUREAU", "SCORE_V3", "TRADES"]
 BANKING_KEYS = ["LOAN_APP_ID", "BANK_NAME", "ACCT_NUM", "TRANSACTIONS"]
+TRADE_KEYS = ["TRADE_REF_NUM", "PRODUCT_TYPE", "DATE_OPENED", "CURRENT_BALANCE", "SANCTIONED_AMOUNT", "DPD"]
+TRANSACTION_KEYS = ["TXN_DATE", "TXN_AMOUNT", "TXN_TYPE", "TXN_DESC", "BAL_AFTER"]
 
 # Fixed value: balances are kept to cents.
 BALANCE_TOLERANCE = 0.01
@@ -42,6 +44,34 @@ def missing_keys(docs: DataFrame, keys: list[str]) -> DataFrame:
     return counts.unpivot([], keys, "key", "documents")
 
 
+def missing_paths(docs: DataFrame, keys: list[str], items_key: str, item_keys: list[str]) -> DataFrame:
+    """``path, documents, places``: required keys that documents and their items lack, counted in one pass.
+
+    ``documents`` lack the key somewhere, ``places`` is how often: once in a header, once for each item. An
+    explicit null is there. Items that are no objects lack every key; without a list of items only the header counts.
+    """
+    parsed = docs.select(
+        F.col("raw").rlike(r"^\s*\{").alias("is_object"), F.try_parse_json("raw").alias("doc")
+    )
+    opened = parsed.where(F.col("is_object") & F.col("doc").isNotNull()).withColumn(
+        "items", F.try_variant_get("doc", f"$.{items_key}", "array<variant>")
+    )
+
+    def lacking(key: str):
+        found = F.filter("items", lambda i: F.try_variant_get(i, f"$.{key}", "variant").isNull())
+        return F.coalesce(F.size(found), F.lit(0))
+
+    counts = {key: F.try_variant_get("doc", f"$.{key}", "variant").isNull().cast("int") for key in keys}
+    counts |= {f"{items_key}[].{key}": F.when(F.col("items").isNotNull(), lacking(key)).otherwise(0) for key in item_keys}
+    each = opened.select(*[count.alias(f"c{i}") for i, count in enumerate(counts.values())])
+    sums = each.agg(*[x for i in range(len(counts)) for x in (F.count_if(F.col(f"c{i}") > 0).alias(f"d{i}"), F.sum(f"c{i}").alias(f"p{i}"))])
+    rows = [
+        F.struct(F.lit(path).alias("path"), F.col(f"d{i}").alias("documents"), F.coalesce(f"p{i}", F.lit(0)).alias("places"))
+        for i, path in enumerate(counts)
+    ]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def duplicate_applicants(features: DataFrame) -> DataFrame:
     """``loan_app_id, rows`` of every applicant with more than one row."""
     counted = features.groupBy(KEY).agg(F.count("*").alias("rows"))

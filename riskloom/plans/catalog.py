@@ -731,6 +731,20 @@ def d2_missing_keys(spark, sf):
     return quality.missing_keys(lending.bureau_documents(spark, sf), quality.BUREAU_KEYS)
 
 
+@query
+def d2_missing_paths(spark, sf):
+    """Required keys of both kinds of documents and of their items."""
+    kinds = {
+        "bureau": (lending.bureau_documents, quality.BUREAU_KEYS, "TRADES", quality.TRADE_KEYS),
+        "banking": (lending.banking_documents, quality.BANKING_KEYS, "TRANSACTIONS", quality.TRANSACTION_KEYS),
+    }
+    found = [
+        quality.missing_paths(docs(spark, sf), *wanted).select(F.lit(kind).alias("kind"), "*")
+        for kind, (docs, *wanted) in kinds.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query
 def d3_duplicate_applicants(spark, sf):
     return quality.duplicate_applicants(j2_labels_joined(spark, sf))

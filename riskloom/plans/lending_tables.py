@@ -253,7 +253,10 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written(
     rows: DataFrame, items_key: str, tail: dict[str, Column], holder: Column, cut: int, array: int, no_id: int
 ) -> DataFrame:
-    """``stem, raw`` of the documents, in steps so that each text is put together once."""
+    """``stem, raw`` of the documents, in steps so that each text is put together once.
+
+    They are dealt by stem, as intake lands them: rows of one input file would be parsed in one task.
+    """
     k = F.col("o_orderkey")
     whole = F.concat(F.lit('{"LOAN_APP_ID": '), _quoted(holder), F.lit(", "), F.col("body"))
     raw = (
@@ -264,7 +267,7 @@ def _written(
     )
     bodies = rows.withColumn("body", F.substr(_object(tail), F.lit(2)))
     texts = bodies.withColumn("whole", whole)
-    return texts.select(document_stem(k).alias("stem"), raw.alias("raw"))
+    return texts.select(document_stem(k).alias("stem"), raw.alias("raw")).repartition("stem")
 
 
 def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,11 +1,12 @@
 import json
+from collections import Counter
 
 import pytest
 from fixtures import BANKING, BUREAU, documents, without
 from pyspark.sql import functions as F
 
 from riskloom.functions import coerce
-from riskloom.operators import flatten, pairing, parse
+from riskloom.operators import flatten, pairing, parse, quality
 from riskloom.schemas import TRADE_COLUMNS, TRANSACTION_COLUMNS
 
 
@@ -155,3 +156,37 @@ def test_pairing_keeps_the_first_reason(spark):
 def test_union_is_a_bag(spark):
     rows = flatten.flatten_trades(parse.parse_bureau(documents(spark, a=BUREAU)))
     assert flatten.union_all(rows, rows, rows).count() == 6
+
+
+def test_missing_paths(spark):
+    """By hand, over documents that lack keys at both levels, hold odd items or are no objects."""
+    texts = [
+        '{"A": 1, "T": [{"X": 1, "Y": null}, {"X": 2}, 5, null]}',
+        '{"T": []}',
+        '{"A": null, "T": null}',
+        '{"A": "x", "T": {"X": 1}}',
+        '{"A": 1}',
+        "[1]",
+        "broken",
+        None,
+        '{"T": [{"Y": 1}]}',
+    ]
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "stem string, raw string")
+    want = Counter()
+    places = Counter()
+    for text in texts:
+        try:
+            doc = json.loads(text)
+        except (TypeError, ValueError):
+            continue
+        if not isinstance(doc, dict):
+            continue
+        items = doc.get("T") if isinstance(doc.get("T"), list) else []
+        lacks = Counter({k: int(k not in doc) for k in "AT"})
+        lacks.update({f"T[].{k}": sum(not isinstance(i, dict) or k not in i for i in items) for k in "XY"})
+        places.update(lacks)
+        want.update({k: int(n > 0) for k, n in lacks.items()})
+    got = quality.missing_paths(docs, ["A", "T"], "T", ["X", "Y"]).collect()
+    assert [r.path for r in got] == ["A", "T", "T[].X", "T[].Y"]
+    assert {r.path: (r.documents, r.places) for r in got} == {p: (want[p], places[p]) for p in want}
+    assert quality.missing_paths(docs.limit(0), ["A"], "T", ["X"]).where("documents + places > 0").count() == 0
