@@ -160,7 +160,7 @@ def _over(df: DataFrame, text: str, size: int, make, schema: str) -> DataFrame:
     """``make(batch, sets)`` over small batches; the text is the last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, 1 << 20):  # a byte becomes some 40 in the arrays of hashes
             yield make(batch, shingle_sets(bytes_of(batch.column(batch.num_columns - 1)), size))
 
     return df.mapInArrow(run, schema)
