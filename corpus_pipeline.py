@@ -17,10 +17,13 @@ from riskloom.sources.staging import stage, staging_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
+#: Rows that tasks and their Python workers exchange at a time; a row carries its text twice.
+BATCH_ROWS = 250
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below the threshold; those without an id are judged too."""
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     network = toxicity.train(docs, labels)
     # The row travels beside the text, so that nothing has to be joined by id afterwards.
@@ -46,7 +49,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Groups are of rows, so rows that share an id or have none are judged by their texts like any others; a
     row with an id goes before those without. Documents without any word are similar to nothing and stay.
     """
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     keyed = docs.select(_row_key().alias("key"), "text")
     classes = stage(jaccard.similar_components(keyed, id_col="key"), "classes")
     first = (F.col("key.no_id") == F.col("component_id.no_id")) & F.col("key.doc_id").eqNullSafe(F.col("component_id.doc_id"))
@@ -74,7 +77,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every found secret replaced by ``<secret>``; ``n_chars`` follows the new text."""
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     network = secrets.train(docs)
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
     found = secrets.find_secrets(rows, network, id_col="row")
@@ -88,7 +91,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them: never, once or twice."""
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     rows = docs.select(F.struct(*COLUMNS).alias("row"), "text", "source")
     taken = mixing.mix(rows, id_col="row")
     # Documents without words have no share in the mix; nothing speaks against them, so they stay.
@@ -100,7 +103,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, checked by decoding them again."""
     import public_tokenizers
 
-    modest_batches(spark)
+    modest_batches(spark, BATCH_ROWS)
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     rows = docs.select(F.struct("doc_id", "source", F.sha2("text", 256).alias("sha")).alias("row"), "text")
     back = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, id_col="row", states=10_000, remember=20_000)
