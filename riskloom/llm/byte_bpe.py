@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import MEMO, Memo, small_batches, texts_of
+from riskloom.llm.common import MEMO, Memo, release_memory, small_batches, texts_of
 
 #: Deterministic states a transducer keeps; where they end, it runs in its nondeterministic form.
 STATES = 60_000
@@ -389,6 +389,7 @@ def round_trip(
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in small_batches(batches):
             token = shared.value.bytes.__getitem__
             ids = [shared.value.words.encode(text) for text in texts_of(batch.column(1))]

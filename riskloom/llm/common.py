@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,6 +148,18 @@ def text_key(text: str) -> list:
     return [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit("again"), whole).alias("k2")]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; a worker that served earlier stages may hold much of it.
+
+    Only the C library of Linux offers that; elsewhere nothing happens.
+    """
+    gc.collect()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        return
+
+
 def modest_batches(spark: SparkSession, rows: int = 1_000) -> None:
     """Let tasks and their Python workers exchange at most ``rows`` rows at a time.
 
