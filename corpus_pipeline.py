@@ -106,7 +106,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     modest_batches(spark, BATCH_ROWS)
     ranks = byte_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     rows = docs.select(F.struct("doc_id", "source", F.sha2("text", 256).alias("sha")).alias("row"), "text")
-    back = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, id_col="row", states=10_000, remember=20_000)
+    back = byte_bpe.round_trip(rows, ranks, public_tokenizers.PATTERN, id_col="row", states=5_000, remember=10_000)
     return back.select(
         "row.doc_id",
         "row.source",
