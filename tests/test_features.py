@@ -201,3 +201,15 @@ def test_copies_of_a_hot_label_spread(spark, monkeypatch):
     counts = [r[1] for r in sizes if r[1] > 1]
     assert sum(r[1] for r in sizes) == 20_001
     assert max(counts) < 2 * sum(counts) / len(counts) and len(counts) > 4
+
+
+def test_labels_plan_the_feature_side_once(spark, monkeypatch):
+    features = spark.range(7).select(F.concat(F.lit("A"), "id").alias("loan_app_id"))
+    outcomes = spark.createDataFrame([("A1", 1)] * 5 + [("A2", 0)], "loan_app_id string, default_flag int")
+    for size, rows in ((10, 11), (2, 11)):  # with and without an id beyond one slice
+        monkeypatch.setattr(labels, "_SLICE", size)
+        joined = labels.attach_labels(features, outcomes)
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Range (0, 7") == 1
+        assert joined.count() == rows
+        assert joined.where("loan_app_id = 'A1' AND default_flag = 1").count() == 5
