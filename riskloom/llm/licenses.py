@@ -214,7 +214,8 @@ def _found(place: Column, words: Column) -> Column:
     by_keyword: dict[str, list[Column]] = {}
     for label, keyword, expression, priority, confidence in rules():
         first, around = sees[keyword]
-        pattern = rf"^(|.*? )({expression})(?: .*)?$"
+        # Line separators beyond ASCII are parts of words here, so a dot has to match them too.
+        pattern = rf"(?s)^(|.*? )({expression})(?: .*)?\z"
         start = first + _count(F.regexp_extract(around, pattern, 1))
         length = _count(F.concat(F.regexp_extract(around, pattern, 2), F.lit(" ")))
         found = F.struct(

@@ -316,5 +316,12 @@ def test_licenses_see_as_far_as_their_rules(docs_of):
         licenses.most_words("(?: a)*")
 
 
+def test_licenses_beside_line_separators(docs_of):
+    """U+0085, U+2028 and U+2029 are word characters, and hide nothing around them."""
+    rows = [(i, f"foo{c}bar licensed under the mit license here{c}") for i, c in enumerate([" ", "\x85", "\u2028", "\u2029"])]
+    got = licenses.scan_licenses(docs_of(rows)).collect()
+    assert [[d.label for d in r.detections] for r in got] == [["mit"]] * 4
+
+
 def test_licenses_of_nothing(docs_of):
     assert licenses.scan_licenses(docs_of([])).collect() == []
