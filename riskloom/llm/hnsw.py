@@ -1,13 +1,16 @@
 """Approximate nearest neighbours by one navigable small-world graph per shard (operator 1).
 
-Vectors are dealt to shards of bounded size by a hash, and each shard gets a hierarchical graph of its
-own: levels are drawn per vector, neighbours are kept in flat arrays of fixed width, and links are chosen
-so that they point into different directions. The index is a table with one row per shard. A search takes
-queries in blocks; each block meets each shard once, and the nearest of all shards are merged.
-
-Nearness is the inner product. For that, vectors get one more component that makes all of them equally
-long; the nearest by angle then are those of largest product. Scores are computed on the vectors as given,
-in double precision.
+Vectors are dealt to shards of bounded size, by the power of two of their length and within it by a hash.
+Each shard gets a hierarchical graph of its own: levels are drawn per vector, neighbours are kept in flat
+arrays of fixed width, and links are chosen so that they point into different directions. Each shard
+measures how broad a search must be, on points of its own against brute force. The index is a table with
+one row per shard. Queries come in blocks of bounded size; each block meets each shard once, and the
+nearest of all shards are merged, ties to the smaller id.
+
+Nearness is the inner product. For that, vectors get one more component that makes all of a shard equally
+long; the nearest by angle then are those of largest product. As a shard's vectors differ in length by
+less than a factor of 2, a few very long vectors elsewhere do no harm. Scores are computed on the vectors
+as given, in double precision; a product beyond its range is infinite.
 
 Equal vectors are one point of the graph. As many of their ids are kept as a query may return, the
 smallest first, so a vector that a third of all rows share costs no more than any other. Vectors that are
@@ -24,12 +27,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import broadcast_if_small
 from riskloom.sources.staging import stage
 
-#: Points per shard, links per point (twice that on the ground), and breadth of building and searching.
+#: Points per shard, links per point (twice that on the ground), and least breadth of building and searching.
 SHARD, LINKS, BUILD, SEARCH = 4096, 12, 48, 96
-#: Queries per block.
-BLOCK = 1024
+#: Points of a shard its breadth is measured on, and the share of their nearest that must be found.
+PROBES, RECALL = 48, 0.97
+#: Numbers in a block of queries (32 MB).
+BLOCK = 1 << 22
 
 
 class Graph:
@@ -75,7 +81,7 @@ class Graph:
                 return at
             scores = self.points[near] @ query
             k = int(scores.argmax())
-            if scores[k] <= best:
+            if not scores[k] > best:
                 return at
             best, at = float(scores[k]), int(near[k])
 
@@ -142,44 +148,61 @@ class Graph:
             at = self._greedy(query, at, level)
         return self._search(query, [at], max(breadth, k), 0)[1][:k]
 
+    def breadth(self, queries: np.ndarray, k: int, least: int = SEARCH) -> int:
+        """The breadth, doubled from the least one, that finds ``RECALL`` of the queries' ``k`` nearest."""
+        k = min(k, len(self.points))
+        exact = [np.argpartition(-(self.points @ q), k - 1)[:k] for q in queries]
+        while least < len(self.points):
+            found = sum(len(np.intersect1d(e, self.nearest(q, k, least))) for e, q in zip(exact, queries, strict=True))
+            if found >= RECALL * k * len(queries):
+                break
+            least *= 2
+        return least
+
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector, dim, norm) of rows that take part."""
+    """(id, vector, dim, power) of rows that take part; the power of two below the vector's length."""
     v = F.col(vector_col)
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vector = F.transform(v, lambda x: x.cast("double"))
     rows = df.where(F.col(id_col).isNotNull() & v.isNotNull() & (F.size(v) > 0)).where(good)
     rows = rows.select(F.col(id_col).alias("id"), vector.alias("vector"), F.size(v).alias("dim"))
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    return rows.withColumn("norm", norm).where("norm > 0")
+    # Squares of very long or short vectors leave the range of doubles, so the largest component is taken out.
+    rows = rows.withColumn("_most", F.array_max(F.transform("vector", F.abs))).where("_most > 0")
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + (x / F.col("_most")) * (x / F.col("_most")))
+    power = F.floor(F.log2("_most") + F.log2(squares) / 2).cast("int")
+    return rows.select("id", "vector", "dim", power.alias("power"))
 
 
 def build_index(rows: DataFrame, keep: int) -> DataFrame:
-    """The index of usable rows: (dim, shard, points, norm, graph in bytes, ids of each point).
+    """The index of usable rows: (dim, power, shard, points, graph in bytes, breadth, ids of each point).
 
     ``keep`` ids of each distinct vector are stored.
     """
     place = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    first = rows.select("id", "vector", "dim", "norm").distinct().withColumn("_at", place).where(F.col("_at") <= keep)
-    points = first.groupBy("vector", "dim", "norm").agg(F.array_sort(F.collect_list("id")).alias("ids"))
+    first = rows.select("id", "vector", "dim", "power").distinct().withColumn("_at", place).where(F.col("_at") <= keep)
+    points = first.groupBy("vector", "dim", "power").agg(F.array_sort(F.collect_list("id")).alias("ids"))
     points = stage(points, "points")
-    sizes = points.groupBy("dim").agg(
-        F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"), F.max("norm").alias("longest")
-    )
-    dealt = points.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
+    sizes = points.groupBy("dim", "power").agg(F.ceil(F.count(F.lit(1)) / SHARD).cast("long").alias("shards"))
+    dealt = points.join(broadcast_if_small(sizes), ["dim", "power"])
+    dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("vector"), F.col("shards")))
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vector", key=lambda c: c.map(lambda v: tuple(v)))
         plain = np.stack(part["vector"].to_numpy()).astype(np.float64)
-        longest = float(part["longest"].iloc[0])
-        rest = np.sqrt(np.maximum(longest**2 - (plain**2).sum(axis=1), 0))
-        lifted = (np.column_stack([plain, rest]) / longest).astype(np.float32)
+        unit = plain / np.abs(plain).max()
+        square = (unit**2).sum(axis=1)
+        rest = np.sqrt(np.maximum(square.max() - square, 0))
+        lifted = (np.column_stack([unit, rest]) / np.sqrt(square.max())).astype(np.float32)
         graph = Graph.build(lifted)
+        some = np.random.default_rng(7).permutation(len(unit))[:PROBES]
+        asked = np.column_stack([unit[some] / np.sqrt(square[some])[:, None], np.zeros(len(some))])
         return pd.DataFrame(
             {
                 "dim": [int(part["dim"].iloc[0])],
                 "shard": [int(part["shard"].iloc[0])],
-                "longest": [longest],
+                "power": [int(part["power"].iloc[0])],
+                "breadth": [graph.breadth(asked.astype(np.float32), keep)],
                 "points": [plain.tobytes()],
                 "lifted": [lifted.tobytes()],
                 "links": [[level.tobytes() for level in graph.links]],
@@ -190,20 +213,24 @@ def build_index(rows: DataFrame, keep: int) -> DataFrame:
         )
 
     schema = (
-        "dim int, shard long, longest double, points binary, lifted binary,"
+        "dim int, power int, shard long, breadth int, points binary, lifted binary,"
         " links array<binary>, entry int, ids binary, n_ids binary"
     )
-    chosen = dealt.select("dim", "shard", "vector", "longest", "ids")
-    return chosen.groupBy("dim", "shard").applyInPandas(build, schema)
+    chosen = dealt.select("dim", "power", "shard", "vector", "ids")
+    return chosen.groupBy("dim", "power", "shard").applyInPandas(build, schema)
 
 
 def search(index: DataFrame, queries: DataFrame, k: int, breadth: int = SEARCH) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each usable query, itself left out."""
-    shards = F.broadcast(index.groupBy("dim").agg(F.collect_set("shard").alias("shards")))
-    blocks = max(1, -(-queries.count() // BLOCK))
-    asked = queries.select("id", "vector", "dim", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"))
-    asked = asked.join(shards, "dim").select("id", "vector", "dim", "block", F.explode("shards").alias("shard"))
-    met = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each usable query, itself left out.
+
+    A shard is searched with its own breadth, or ``breadth`` if that is more.
+    """
+    places = index.select(*[F.col(c).alias(c) for c in ("dim", "power", "shard")]).distinct()
+    blocks = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) * F.col("dim") / BLOCK).cast("long").alias("blocks"))
+    blocks = broadcast_if_small(stage(blocks, "blocks"))
+    asked = queries.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    asked = asked.select("id", "vector", "dim", "block").join(broadcast_if_small(places), "dim")
+    met = index.join(blocks, "dim").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
 
     def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         found = {"query_id": [], "vec_id": [], "score": []}
@@ -218,10 +245,11 @@ def search(index: DataFrame, queries: DataFrame, k: int, breadth: int = SEARCH)
             begin = np.cumsum(counts) - counts
             for query_id, vector in zip(block["id"], block["vector"], strict=True):
                 exact = np.asarray(vector, np.float64)
-                norm = np.sqrt(exact @ exact)
-                lifted_query = np.append(exact / norm, 0).astype(np.float32)
-                near = graph.nearest(lifted_query, k + 1, breadth)
-                scores = (points[near] * exact).sum(axis=1)
+                unit = exact / np.abs(exact).max()
+                lifted_query = np.append(unit / np.sqrt(unit @ unit), 0).astype(np.float32)
+                near = graph.nearest(lifted_query, k + 1, max(breadth, int(one["breadth"])))
+                with np.errstate(over="ignore"):
+                    scores = (points[near] * exact).sum(axis=1)
                 for point, score in zip(near, scores, strict=True):
                     own = ids[begin[point] : begin[point] + counts[point]]
                     own = own[own != query_id][:k]
@@ -230,7 +258,8 @@ def search(index: DataFrame, queries: DataFrame, k: int, breadth: int = SEARCH)
                     found["score"] += [float(score)] * len(own)
         return pd.DataFrame(found)
 
-    pairs = met.groupBy("dim", "shard", "block").cogroup(asked.groupBy("dim", "shard", "block"))
+    keys = ["dim", "power", "shard", "block"]
+    pairs = met.groupBy(*keys).cogroup(asked.groupBy(*keys))
     candidates = pairs.applyInPandas(run, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = candidates.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -44,6 +44,27 @@ def test_hnsw(spark):
     assert {5000, 5001, 5040}.isdisjoint(got)
 
 
+def test_hnsw_of_outlying_norms(spark):
+    """Gaussian vectors, a few thousand times as long, very large and very small ones."""
+    rng = np.random.default_rng(4)
+    plain = rng.normal(0, 1, (1500, 64))
+    plain[7] *= 3000
+    plain[11] = 0
+    plain[11, 5] = 1e200
+    plain[13] = plain[12] * 1e-200
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(plain)], "vec_id long, embedding array<double>")
+    got = defaultdict(dict)
+    for r in hnsw.nearest(df, df.where("vec_id % 20 = 0"), "vec_id", "embedding", 20).collect():
+        got[r.query_id][r["rank"]] = r.vec_id
+    hit = 0
+    for q in range(0, 1500, 20):
+        scores = plain @ plain[q]
+        want = [i for i in np.lexsort((np.arange(1500), -scores)) if i != q][:20]
+        assert len(got[q]) == 20
+        hit += len(set(got[q].values()) & set(want))
+    assert hit / (75 * 20) >= 0.9
+
+
 def test_hnsw_of_few(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     got = hnsw.nearest(df, df.where("vec_id = 0"), "vec_id", "embedding", 20).collect()
