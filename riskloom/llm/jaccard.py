@@ -11,9 +11,11 @@ Empty parts say nothing; a set with too few others also signs each of its shingl
 *Candidates.* In each group under one signature, a set is first paired only with the one closest to it;
 that connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
 texts fills large groups that aren't connected, its signatures are moved to the end of the order and the
-texts concerned sign again. In the groups that are left, sets of different components meet in blocks
-inside a task, by sizes and sketches alone; only what these can't rule out becomes a pair. All pairs are
-verified on their whole sets, so no link between different components is lost and none is wrong.
+texts concerned sign again. In the groups that are left, sets of different components meet by sizes and
+sketches alone. In a small group, what these can't rule out becomes a pair and is verified. A large group is
+cut into blocks; only the members that may have a partner leave a task, get their whole sets and meet once
+more, two blocks at a time, where pairs are verified and at most one link per member is kept. So no link
+between different components is lost, none is wrong, and no step writes more than a few rows per member.
 
 Equal sets are one node from the start, so copies cost nothing beyond their own rows. Null and empty
 texts have empty sets, are linked with nothing and are their own component. Rows with a null id have a
@@ -42,8 +44,8 @@ from riskloom.llm.common import (
 from riskloom.llm.graph import components
 from riskloom.sources.staging import stage
 
-#: Members of a group in a block; a task compares two blocks at a time.
-BLOCK = 4096
+#: Members of a group in a block, and shingles of all of them (8 MB); a task compares two blocks at a time.
+BLOCK, SHINGLES = 4096, 1 << 20
 #: Parities for a shingle in the wide sketches that candidates are tested with once more.
 WIDE = 8
 #: Groups of more members than this, if still not connected after the first pass, have their
@@ -155,6 +157,28 @@ class Sketches:
             out[some] = np.bitwise_count(matrix[row[others[some]]] ^ matrix[row[one]]).sum(axis=1, dtype=np.int64)
         return out
 
+    def between(self, ones: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """The same for pairs; 0 where one sketch is more than twice as long as the other."""
+        out = np.zeros(len(ones), np.int64)
+        width = np.minimum(self.width[ones], self.width[others])
+        twice = np.maximum(self.width[ones], self.width[others]) // np.maximum(width, 1)
+        for own in np.unique(width):
+            for fold in (1, 2):
+                pairs = np.flatnonzero((width == own) & (twice == fold))
+                for at in range(0, len(pairs), max(1, (1 << 19) // own)):  # 4 MB a side
+                    some = pairs[at : at + max(1, (1 << 19) // own)]
+                    sides = [self._folded(x[some], own) for x in (ones, others)]
+                    out[some] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1, dtype=np.int64)
+        return out
+
+    def _folded(self, sets: np.ndarray, width: int) -> np.ndarray:
+        """The sketches of some sets at ``width``, which is theirs or half of it."""
+        out = self.values[self.begin[sets][:, None] + np.arange(width)]
+        longer = np.flatnonzero(self.width[sets] > width)
+        if len(longer):
+            out[longer] ^= self.values[self.begin[sets[longer]][:, None] + width + np.arange(width)]
+        return out
+
 
 def _over(df: DataFrame, text: str, size: int, make, schema: str) -> DataFrame:
     """``make(batch, sets)`` over small batches; the text is the last column."""
@@ -270,80 +294,193 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     return keyed.join(chosen, on).select("text")
 
 
+def _blocks(rows: DataFrame) -> DataFrame:
+    """Each member of a group with every other block of it: (group, x, y, block, ...), dealt and sorted so.
+
+    Members are dealt to blocks by hash. The task of (x, y) holds two blocks, or one if they are the same.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
+    rest = [c for c in rows.columns if c not in ("group", "blocks")]
+    keyed = rows.select("group", *rest, block, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"))
+    keyed = keyed.select(
+        "group", F.least("block", "_other").alias("x"), F.greatest("block", "_other").alias("y"), "block", *rest
+    )
+    return keyed.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Sorted rows as tables of whole (group, x, y), with the place where each of these begins."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in (0, 1, 2)])
+        change = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
+        goes_on = last is not None and (keys[0] == last).all()
+        cut = int(change[-1]) if len(change) else 0
+        if cut or not goes_on:
+            yield from _whole([*held, batch.slice(0, cut)])
+            held = []
+        held.append(batch.slice(cut))
+        last = keys[-1]
+    yield from _whole(held)
+
+
+def _whole(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    parts = [p for p in parts if p.num_rows]
+    if parts:
+        table = pa.Table.from_batches(parts).combine_chunks()
+        keys = np.column_stack([table[c].to_numpy().astype(np.int64) for c in ("group", "x", "y")])
+        yield table, np.flatnonzero(np.concatenate([[True], (np.diff(keys, axis=0) != 0).any(axis=1)]))
+
+
+def _pairs_of_small(
+    sketches: Sketches, begin: np.ndarray, n: np.ndarray, component: np.ndarray, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, least difference) of promising pairs inside runs, for all short runs at once."""
+    run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(n))))
+    found = [(np.empty(0, np.int64),) * 3]
+    for step in range(1, int(np.bincount(run).max(initial=1))):
+        i = np.flatnonzero(run[:-step] == run[step:])
+        i = i[(component[i] != component[i + step]) & (n[i + step] * percent <= n[i] * 100)]
+        for at in range(0, len(i), 4096):
+            some = i[at : at + 4096]
+            differ = sketches.between(some, some + step)
+            near = differ * (100 + percent) <= (n[some] + n[some + step]) * (100 - percent)
+            found.append((some[near], some[near] + step, differ[near]))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _pairs_of_blocks(
+    sketches: Sketches, side: np.ndarray, n: np.ndarray, component: np.ndarray, percent: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(i, all j, least differences) of promising pairs between two blocks, or inside one; each pair once."""
+    left = np.flatnonzero(side == side[0])
+    right = left if side[0] == side[-1] else np.flatnonzero(side == side[-1])
+    for k, i in enumerate(left):
+        low = k + 1 if right is left else np.searchsorted(n[right], -(-n[i] * percent // 100))
+        other = right[low : np.searchsorted(n[right], n[i] * 100 // percent, side="right")]
+        other = other[component[other] != component[i]]
+        if len(other):
+            differ = sketches.differ(i, other)
+            near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
+            if near.any():
+                yield int(i), other[near], differ[near]
+
+
 def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
-    """Pairs (a, b) within groups that sizes and sketches don't rule out.
+    """What sizes and sketches don't rule out within groups; members of one component don't meet.
+
+    ``rows`` are (group, blocks, node, component, n, sketch). By ``how``: ``all`` pairs (a, b), for small
+    groups; for each member the pair with the ``closest`` in its blocks; or the ``members`` (group, x, y, block, node,
+    component, n) that are in any pair, at most one row for each that came in.
+    """
+
+    def closest(i: np.ndarray, j: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        one, two, d = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([differ, differ])
+        order = np.lexsort((d, one))
+        one, two = one[order], two[order]
+        first = np.concatenate([[True], np.diff(one) != 0]) if len(one) else np.empty(0, bool)
+        return one[first], two[first]
+
+    def compare(table: pa.Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
+        side, node, component, n = (table[c].to_numpy() for c in ("block", "node", "component", "n"))
+        if len(begin) > 1 or len(n) <= LARGE:
+            i, j, differ = _pairs_of_small(Sketches(_column(table, "sketch")), begin, n, component, percent)
+        else:
+            sketches = Sketches(_column(table, "sketch"))
+            least, nearest = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
+            for one, others, differ in _pairs_of_blocks(sketches, side, n, component, percent):
+                k = differ.argmin()
+                for place, partner, d in ((others, one, differ), (np.array([one]), others[k], differ[k])):
+                    closer = d < least[place]
+                    least[place] = np.where(closer, d, least[place])
+                    nearest[place] = np.where(closer, partner, nearest[place])
+            i = np.flatnonzero(nearest >= 0)
+            j, differ = nearest[i], least[i]
+        if how == "members":
+            seen = np.zeros(len(n), bool)
+            seen[i] = seen[j] = True
+            yield from emit(table.filter(pa.array(seen)))
+            return
+        if how == "closest":
+            i, j = closest(i, j, differ)  # in a large group it is known already, and this changes nothing
+        if len(i):
+            a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        yield from table.select(["group", "x", "y", "block", "node", "component", "n"]).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, begin in _runs(batches):
+            ends = np.append(begin[1:], table.num_rows)
+            long = np.flatnonzero(ends - begin > LARGE)
+            at = 0
+            for k in long:  # short runs between long ones are compared together
+                if k > at:
+                    yield from compare(table.slice(begin[at], begin[k] - begin[at]), begin[at:k] - begin[at])
+                yield from compare(table.slice(begin[k], ends[k] - begin[k]), np.zeros(1, np.int64))
+                at = k + 1
+            if at < len(begin):
+                yield from compare(table.slice(begin[at]), begin[at:] - begin[at])
+
+    keyed = _blocks(rows)
+    if how == "members":
+        return keyed.mapInArrow(run, "group long, x int, y int, block int, node long, component long, n long")
+    return keyed.mapInArrow(run, "a long, b long").distinct()
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    """A column as one array."""
+    column = table[name].combine_chunks()
+    return column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+
 
-    ``rows`` are (group, place, members, node, component, n, sketch). Everyone meets everyone of another
-    component; by ``how``, ``all`` pairs that pass are returned, or for each member the ``closest`` only.
-    Members are cut into blocks by size, and each task holds two blocks at a time. Only what passes
-    leaves it.
+def _forest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Verified links (a, b) within groups that connect whatever is similar there, at most one per member.
+
+    ``members`` are those of ``_promising``. Two members that a task has connected already don't meet.
     """
-    block = F.floor((F.col("place") - 1) / BLOCK).cast("int")
-    last = F.floor((F.col("members") - 1) / BLOCK).cast("int")
-    keyed = rows.select(
-        "group", "node", "component", "n", "sketch", block.alias("block"),
-        F.explode(F.sequence(F.lit(0), last)).alias("_other"),
-    )
-    keyed = keyed.withColumns({"x": F.least("block", "_other"), "y": F.greatest("block", "_other")})
-    keyed = keyed.select("group", "x", "y", "block", "node", "component", "n", "sketch")
-    keyed = keyed.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
-
-    def compare(parts: list[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray]]:
-        both = pa.Table.from_batches(parts)
-        x, y, side = both["x"][0].as_py(), both["y"][0].as_py(), both["block"].to_numpy()
-        node, component, n = (both[c].to_numpy() for c in ("node", "component", "n"))
-        sketches = Sketches(both["sketch"].combine_chunks())
-        left = np.flatnonzero(side == x)
-        right = left if x == y else np.flatnonzero(side == y)
+
+    def connect(table: pa.Table) -> list[tuple[int, int]]:
+        side, node, component, n = (table[c].to_numpy() for c in ("block", "node", "component", "n"))
+        shingles, sketches = _column(table, "shingles"), Sketches(_column(table, "sketch"))
+        values, ends = shingles.values.to_numpy(), shingles.offsets.to_numpy()
+        known = np.unique(component, return_inverse=True)[1]  # by member, the component it is in by now
         out = []
-        least, nearest = np.full(len(node), np.iinfo(np.int64).max), np.full(len(node), -1)
+        left = np.flatnonzero(side == side[0])
+        right = left if side[0] == side[-1] else np.flatnonzero(side == side[-1])
         for k, i in enumerate(left):
-            low = k + 1 if x == y else np.searchsorted(n[right], -(-n[i] * percent // 100))
+            low = k + 1 if right is left else np.searchsorted(n[right], -(-n[i] * percent // 100))
             other = right[low : np.searchsorted(n[right], n[i] * 100 // percent, side="right")]
-            other = other[component[other] != component[i]]
+            other = other[known[other] != known[i]]
             if not len(other):
                 continue
             differ = sketches.differ(i, other)
-            near = differ * (100 + percent) <= (n[other] + n[i]) * (100 - percent)
-            other, differ = other[near], differ[near]
-            if not len(other):
-                continue
-            if how == "all":
-                out.append((np.full(len(other), node[i]), node[other]))
-                continue
-            for one, two, d in ((other, i, differ), (np.array([i]), other[differ.argmin()], differ.min())):
-                closer = d < least[one]
-                least[one] = np.where(closer, d, least[one])
-                nearest[one] = np.where(closer, two, nearest[one])
-        some = np.flatnonzero(nearest >= 0)
-        if len(some):
-            out.append((node[some], node[nearest[some]]))
+            order = np.argsort(differ, kind="stable")
+            own = values[ends[i] : ends[i + 1]]
+            for j, d in zip(other[order], differ[order], strict=True):
+                if d * (100 + percent) > (n[j] + n[i]) * (100 - percent):
+                    break
+                if known[j] == known[i]:
+                    continue
+                shared = len(np.intersect1d(own, values[ends[j] : ends[j + 1]], assume_unique=True))
+                if shared * 100 >= (n[i] + n[j] - shared) * percent:
+                    known[known == known[j]] = known[i]
+                    out.append((int(min(node[i], node[j])), int(max(node[i], node[j]))))
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, key = [], None
-        for batch in batches:
-            keys = [batch.column(c).to_numpy() for c in (0, 1, 2)]
-            change = np.flatnonzero(sum(np.diff(k) != 0 for k in keys)) + 1
-            for at, to in zip([0, *change], [*change, batch.num_rows], strict=True):
-                now = tuple(k[at] for k in keys) if to > at else key
-                if now != key and held:
-                    yield from found(compare(held))
-                    held = []
-                key = now
-                if to > at:
-                    held.append(batch.slice(at, to - at))
-        if held:
-            yield from found(compare(held))
-
-    def found(pairs: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        if pairs:
-            a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], ["a", "b"]
-            )
+        for table, begin in _runs(batches):
+            for at, to in zip(begin, [*begin[1:], table.num_rows], strict=True):
+                links = connect(table.slice(at, to - at))
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*links, strict=True)], ["a", "b"])
 
-    return keyed.mapInArrow(run, "a long, b long").distinct()
+    rows = members.join(sets, "node").select("group", "x", "y", "block", "node", "component", "n", "shingles", "sketch")
+    rows = rows.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -361,21 +498,24 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
     return joined.where(F.col("_shared") * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _open(groups: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(group, node, signature, component, members) of groups that hold several components."""
-    named = groups.withColumn("component", F.col("node"))
+def _open(groups: DataFrame, brief: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """(group, node, signature, component, members, blocks) of groups that hold several components."""
+    named = groups.join(brief.select("node", "n"), "node").withColumn("component", F.col("node"))
     if labels is not None:
-        named = groups.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        named = named.drop("component").join(labels, "node", "left")
+        named = named.withColumn("component", F.coalesce("component", "node"))
     several = named.groupBy("group").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("members")
-    ).where("_low <> _high").select("group", "members")
-    return named.join(several, "group")
+        F.min("component").alias("_low"), F.max("component").alias("_high"),
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("_n"),
+    ).where("_low <> _high")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("_n") / SHINGLES)).cast("int")
+    blocks = F.when(F.col("members") > LARGE, blocks).otherwise(1).alias("blocks")
+    return named.drop("n").join(several.select("group", "members", blocks), "group")
 
 
 def _meet(named: DataFrame, brief: DataFrame, how: str, percent: int) -> DataFrame:
-    """Promising pairs of groups, with what is compared beside each member."""
-    place = F.row_number().over(Window.partitionBy("group").orderBy("n", "node"))
-    rows = named.select("group", "node", "component", "members").join(brief, "node").withColumn("place", place)
+    """What is promising in groups, with what is compared beside each member."""
+    rows = named.select("group", "node", "component", "blocks").join(brief, "node")
     return stage(_promising(rows, how, percent), "pairs")
 
 
@@ -387,11 +527,11 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     brief = brief.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     brief = stage(brief, "sketches")
     # First everyone is paired with whom it is closest to. That settles copies, and copies of one original.
-    pairs = _meet(_open(groups, None), brief, "closest", percent)
+    pairs = _meet(_open(groups, brief, None), brief, "closest", percent)
     found = stage(_verified(docs, nodes, pairs, size, percent), "links")
     labels = stage(components(found), "labels")
     # Large groups without much in common: their nodes sign again, these signatures last.
-    still = stage(_open(groups, labels), "open")
+    still = stage(_open(groups, brief, labels), "open")
     large = still.where(F.col("members") > LARGE)
     frequent = large.groupBy("signature").agg(F.max("members").alias("n"))
     frequent = frequent.orderBy(F.desc("n"), "signature").limit(FREQUENT).select("signature")
@@ -401,8 +541,15 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     rest = still.where(F.col("members") <= LARGE).select("group", "node", "signature")
     groups = stage(rest.unionByName(again.select("group", "node", "signature")), "groups")
     # Then everyone meets everyone that isn't in the same component yet.
-    pairs = _meet(_open(groups, labels), brief, "all", percent)
-    found = stage(_verified(docs, nodes, pairs, size, percent).unionByName(found), "links")
+    left = stage(_open(groups, brief, labels), "open")
+    pairs = _meet(left.where(F.col("members") <= LARGE), brief, "all", percent)
+    found = _verified(docs, nodes, pairs, size, percent).unionByName(found)
+    members = _meet(left.where(F.col("members") > LARGE), brief, "members", percent)
+    if not members.isEmpty():
+        wanted = stage(members.select("node").distinct(), "wanted")
+        sets = _sets(_texts_of(docs, nodes, wanted), size)
+        found = found.unionByName(_forest(members, sets, percent))
+    found = stage(found.distinct(), "links")
     return found, stage(components(found), "labels")
 
 

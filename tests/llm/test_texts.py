@@ -60,8 +60,10 @@ def test_repeats_of_nothing(docs_of):
     assert repeats.remove_repeats(docs_of([])).collect() == []
 
 
-@pytest.mark.parametrize("seed", [0, 1])
-def test_jaccard(docs_of, seed):
+@pytest.mark.parametrize(("seed", "large", "block"), [(0, 16, 4096), (1, 16, 4096), (0, 1, 4), (1, 2, 3)])
+def test_jaccard(docs_of, monkeypatch, seed, large, block):
+    monkeypatch.setattr(jaccard, "LARGE", large)  # so that groups of the fixture are cut into blocks, too
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rows = messy(seed)
     sets = []
     for _, text in rows:
