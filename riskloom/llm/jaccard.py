@@ -12,10 +12,11 @@ Empty parts say nothing; a set with too few others also signs each of its shingl
 that connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
 texts fills large groups that aren't connected, its signatures are moved to the end of the order and the
 texts concerned sign again. In the groups that are left, sets of different components meet by sizes and
-sketches alone. In a small group, what these can't rule out becomes a pair and is verified. A large group is
-cut into blocks; only the members that may have a partner leave a task, get their whole sets and meet once
-more, two blocks at a time, where pairs are verified and at most one link per member is kept. So no link
-between different components is lost, none is wrong, and no step writes more than a few rows per member.
+sketches alone. What these can't rule out becomes a pair and is verified on whole sets. A large group is cut
+into blocks, and a task that would make more than a few pairs for each of its members returns the members
+instead: they get their whole sets and meet there once more, where pairs are verified at once and at most one
+link per member is kept. So no link between different components is lost, none is wrong, and no step writes
+more than a few rows per member.
 
 Equal sets are one node from the start, so copies cost nothing beyond their own rows. Null and empty
 texts have empty sets, are linked with nothing and are their own component. Rows with a null id have a
@@ -46,6 +47,8 @@ from riskloom.sources.staging import stage
 
 #: Members of a group in a block, and shingles of all of them (8 MB); a task compares two blocks at a time.
 BLOCK, SHINGLES = 4096, 1 << 20
+#: Pairs a task may make for each member it holds of a large group, before it returns the members.
+DENSE = 4
 #: Parities for a shingle in the wide sketches that candidates are tested with once more.
 WIDE = 8
 #: Groups of more members than this, if still not connected after the first pass, have their
@@ -368,12 +371,15 @@ def _pairs_of_blocks(
                 yield int(i), other[near], differ[near]
 
 
+_MEMBER = ["group", "x", "y", "block", "node", "component", "n"]
+
+
 def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
     """What sizes and sketches don't rule out within groups; members of one component don't meet.
 
-    ``rows`` are (group, blocks, node, component, n, sketch). By ``how``: ``all`` pairs (a, b), for small
-    groups; for each member the pair with the ``closest`` in its blocks; or the ``members`` (group, x, y, block, node,
-    component, n) that are in any pair, at most one row for each that came in.
+    ``rows`` are (group, blocks, node, component, n, sketch). By ``how``: for each member the pair (a, b) with the
+    ``closest`` in its blocks; or ``all`` pairs, where a task that would make more than ``DENSE`` a member of a
+    large group returns those members that are in any pair instead, as (group, x, y, block, node, component, n).
     """
 
     def closest(i: np.ndarray, j: np.ndarray, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -390,7 +396,11 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
         else:
             sketches = Sketches(_column(table, "sketch"))
             least, nearest = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
+            kept, pairs = [(np.empty(0, np.int64),) * 2], 0
             for one, others, differ in _pairs_of_blocks(sketches, side, n, component, percent):
+                pairs += len(others)
+                if how == "all" and pairs <= DENSE * len(n):
+                    kept.append((np.full(len(others), one), others))
                 k = differ.argmin()
                 for place, partner, d in ((others, one, differ), (np.array([one]), others[k], differ[k])):
                     closer = d < least[place]
@@ -398,19 +408,23 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
                     nearest[place] = np.where(closer, partner, nearest[place])
             i = np.flatnonzero(nearest >= 0)
             j, differ = nearest[i], least[i]
-        if how == "members":
-            seen = np.zeros(len(n), bool)
-            seen[i] = seen[j] = True
-            yield from emit(table.filter(pa.array(seen)))
-            return
+            if how == "all" and pairs > DENSE * len(n):
+                some = table.select(_MEMBER).take(pa.array(i))
+                empty = pa.nulls(len(i), pa.int64())
+                yield from some.append_column("a", empty).append_column("b", empty).to_batches()
+                return
+            if how == "all":
+                i, j = (np.concatenate(c) for c in zip(*kept, strict=True))
         if how == "closest":
             i, j = closest(i, j, differ)  # in a large group it is known already, and this changes nothing
         if len(i):
             a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    def emit(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        yield from table.select(["group", "x", "y", "block", "node", "component", "n"]).to_batches()
+            links = [pa.array(a, pa.int64()), pa.array(b, pa.int64())]
+            if how == "closest":
+                yield pa.RecordBatch.from_arrays(links, ["a", "b"])
+            else:
+                empty = [pa.nulls(len(a), table.schema.field(c).type) for c in _MEMBER]
+                yield pa.RecordBatch.from_arrays([*empty, *links], [*_MEMBER, "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, begin in _runs(batches):
@@ -426,9 +440,10 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
                 yield from compare(table.slice(begin[at]), begin[at:] - begin[at])
 
     keyed = _blocks(rows)
-    if how == "members":
-        return keyed.mapInArrow(run, "group long, x int, y int, block int, node long, component long, n long")
-    return keyed.mapInArrow(run, "a long, b long").distinct()
+    if how == "closest":
+        return keyed.mapInArrow(run, "a long, b long").distinct()
+    members = "group long, x int, y int, block int, node long, component long, n long"
+    return keyed.mapInArrow(run, f"{members}, a long, b long").distinct()
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -542,13 +557,14 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     groups = stage(rest.unionByName(again.select("group", "node", "signature")), "groups")
     # Then everyone meets everyone that isn't in the same component yet.
     left = stage(_open(groups, brief, labels), "open")
-    pairs = _meet(left.where(F.col("members") <= LARGE), brief, "all", percent)
-    found = _verified(docs, nodes, pairs, size, percent).unionByName(found)
-    members = _meet(left.where(F.col("members") > LARGE), brief, "members", percent)
+    met = _meet(left, brief, "all", percent)
+    pairs = stage(met.where("group IS NULL").select("a", "b").distinct(), "distinct")
+    found = stage(_verified(docs, nodes, pairs, size, percent).unionByName(found), "links")
+    members = met.where("group IS NOT NULL")
     if not members.isEmpty():
         wanted = stage(members.select("node").distinct(), "wanted")
         sets = _sets(_texts_of(docs, nodes, wanted), size)
-        found = found.unionByName(_forest(members, sets, percent))
+        found = found.unionByName(_forest(members.select(*_MEMBER), sets, percent))
     found = stage(found.distinct(), "links")
     return found, stage(components(found), "labels")
 

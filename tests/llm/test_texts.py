@@ -64,6 +64,7 @@ def test_repeats_of_nothing(docs_of):
 def test_jaccard(docs_of, monkeypatch, seed, large, block):
     monkeypatch.setattr(jaccard, "LARGE", large)  # so that groups of the fixture are cut into blocks, too
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "DENSE", 4 if large == 16 else 0)
     rows = messy(seed)
     sets = []
     for _, text in rows:
