@@ -409,9 +409,8 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
             i = np.flatnonzero(nearest >= 0)
             j, differ = nearest[i], least[i]
             if how == "all" and pairs > DENSE * len(n):
-                some = table.select(_MEMBER).take(pa.array(i))
-                empty = pa.nulls(len(i), pa.int64())
-                yield from some.append_column("a", empty).append_column("b", empty).to_batches()
+                member = [_column(table, c).take(pa.array(i)) for c in _MEMBER]
+                yield pa.RecordBatch.from_arrays([*member, *[pa.nulls(len(i), pa.int64())] * 2], [*_MEMBER, "a", "b"])
                 return
             if how == "all":
                 i, j = (np.concatenate(c) for c in zip(*kept, strict=True))

@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,23 @@ def test_jaccard(docs_of, monkeypatch, seed, large, block):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_jaccard_dense_and_small_groups_in_one_task(spark):
+    """A small group gives pairs, a dense one its members, and their sets a forest of links."""
+    shingles = np.arange(40, dtype=np.uint64) * np.uint64(1 << 58)
+    sets = {k: np.sort(np.append(shingles, np.uint64(k + 1))) for k in range(60)}
+    rows = [(1 if k < 2 else 2 if k < 58 else 3, 1, k, k, 41, jaccard.sketch(s).tolist()) for k, s in sets.items()]
+    schema = "group long, blocks int, node long, component long, n long, sketch array<long>"
+    met = jaccard._promising(spark.createDataFrame(rows, schema).coalesce(1), "all", 75)
+    got = met.collect()
+    assert {(r.a, r.b) for r in got if r.group is None} == {(0, 1), (58, 59)}
+    assert {r.node for r in got if r.group is not None} == set(range(2, 58))
+    kept = [(k, s.view(np.int64).tolist(), jaccard.sketch(s, jaccard.WIDE).tolist()) for k, s in sets.items()]
+    whole = spark.createDataFrame(kept, "node long, shingles array<long>, sketch array<long>")
+    links = jaccard._forest(met.where("group IS NOT NULL").select(*jaccard._MEMBER), whole, 75).collect()
+    assert len(links) == 55
+    assert {x for r in links for x in r} == set(range(2, 58))
+
+
 def test_jaccard_of_nothing(docs_of):
     assert jaccard.similar_components(docs_of([])).collect() == []
     assert [tuple(r) for r in jaccard.similar_components(docs_of([(1, None)])).collect()] == [(1, 0, 1)]
