@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MISSING_BUREAU = "bureau_missing_file"
 
 
-def pair_documents(bureau: DataFrame, banking: DataFrame) -> DataFrame:
+def pair_documents(
+    bureau: DataFrame, banking: DataFrame, carry_bureau: Sequence[str] = (), carry_banking: Sequence[str] = ()
+) -> DataFrame:
     """One verdict per stem: ``stem, loan_app_id, reason``; a null reason means accepted.
 
     Only the small status columns of the parsed documents take part, so the shuffle on the stem
-    never carries items. The first reason found is kept: bureau defects, a missing or defective
+    never carries items. Columns named to be carried come along, with ``n_trades``; they should be narrow
+    (``document_features``). The first reason found is kept: bureau defects, a missing or defective
     bank statement, then empty documents, then differing ids.
     """
     left = bureau.select(
@@ -21,6 +26,7 @@ def pair_documents(bureau: DataFrame, banking: DataFrame) -> DataFrame:
         F.col("loan_app_id").alias("bureau_id"),
         F.col("reason").alias("bureau_reason"),
         F.col("n_items").alias("n_trades"),
+        *carry_bureau,
     )
     right = banking.select(
         "stem",
@@ -28,6 +34,7 @@ def pair_documents(bureau: DataFrame, banking: DataFrame) -> DataFrame:
         F.col("loan_app_id").alias("banking_id"),
         F.col("reason").alias("banking_reason"),
         F.col("n_items").alias("n_txns"),
+        *carry_banking,
     )
     reason = (
         F.when(F.col("has_bureau").isNull(), MISSING_BUREAU)
@@ -39,14 +46,18 @@ def pair_documents(bureau: DataFrame, banking: DataFrame) -> DataFrame:
         .when(F.col("bureau_id") != F.col("banking_id"), "id_mismatch")
     )
     paired = left.join(right, "stem", "full_outer")
+    carried = [*carry_bureau, *carry_banking]
     return paired.select(
-        "stem", F.coalesce("bureau_id", "banking_id").alias("loan_app_id"), reason.alias("reason")
+        "stem",
+        F.coalesce("bureau_id", "banking_id").alias("loan_app_id"),
+        reason.alias("reason"),
+        *(["n_trades", *carried] if carried else []),
     )
 
 
 def rejects(verdicts: DataFrame) -> DataFrame:
     """The quarantine table: every stem that is left out, with its reason."""
-    return verdicts.where(F.col("reason").isNotNull())
+    return verdicts.where(F.col("reason").isNotNull()).select("stem", "loan_app_id", "reason")
 
 
 def accepted(parsed: DataFrame, rejected: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from riskloom.functions.rounding import half_away
 from riskloom.operators import (
     boosting,
     discrimination,
+    document_features,
     features,
     flatten,
     labels,
@@ -105,8 +106,16 @@ def usable(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull())
 
 
+def statuses(parsed: DataFrame, name: str) -> DataFrame:
+    """Only the fate of each document, written: where nobody reads items, none are written."""
+    return stage(parsed.select("stem", KEY, "reason", "n_items"), name)
+
+
 def verdicts(spark: SparkSession, sf: str) -> DataFrame:
-    return pairing.pair_documents(parsed_bureau(spark, sf), parsed_banking(spark, sf))
+    return pairing.pair_documents(
+        statuses(parse.parse_bureau(lending.bureau_documents(spark, sf)), "bureau"),
+        statuses(parse.parse_banking(lending.banking_documents(spark, sf)), "banking"),
+    )
 
 
 # --- sources and sinks -----------------------------------------------------------------------
@@ -394,10 +403,8 @@ def a11_feature_table_of_flat_tables(spark, sf):
 def a11_features_from_documents(spark, sf):
     """Raw documents to feature rows: parse, pair, quarantine, flatten, aggregate."""
     bureau, banking = parsed_bureau(spark, sf), parsed_banking(spark, sf)
-    rejected = stage(pairing.rejects(pairing.pair_documents(bureau, banking)), "rejects")
-    return features.features_of_documents(
-        pairing.accepted(bureau, rejected), pairing.accepted(banking, rejected), lending.MONEY_SCALE
-    )
+    pairs = stage(document_features.pair_facts(bureau, banking, lending.MONEY_SCALE), "pairs")
+    return document_features.features_of_pairs(pairs, bureau, lending.MONEY_SCALE)
 
 
 @query

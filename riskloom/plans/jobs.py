@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.operators import discrimination, features, labels, models, pairing, parse
+from riskloom.operators import discrimination, document_features, labels, models, pairing, parse
 from riskloom.operators.reports import report_pack
 from riskloom.sources import documents, tables
 
@@ -40,6 +40,10 @@ class Layout:
     def parsed_banking(self) -> str:
         return f"{self.root}/processed/parsed_banking"
 
+    @property
+    def pairs(self) -> str:
+        return f"{self.root}/processed/pairs"
+
     @property
     def rejects(self) -> str:
         return f"{self.root}/processed/rejects"
@@ -65,20 +69,19 @@ def build_from_documents(
     outcomes: DataFrame | None,
     money_scale: int | None = None,
 ) -> DataFrame:
-    """Documents (``stem, raw``) -> parsed tables, quarantine table, feature table.
+    """Documents (``stem, raw``) -> parsed tables, pairs, quarantine table, feature table.
 
-    Raw text is read and parsed once. Pairing then reads the status columns of the parsed tables
-    only; items are exploded next to their scan and aggregated before any shuffle.
+    Raw text is read and parsed once. Each parsed document then becomes one narrow row next to its scan;
+    pairing, quarantine and features work on those rows.
     """
     tables.write_table(parse.parse_bureau(bureau_docs), layout.parsed_bureau)
     tables.write_table(parse.parse_banking(banking_docs), layout.parsed_banking)
     bureau = spark.read.parquet(layout.parsed_bureau)
     banking = spark.read.parquet(layout.parsed_banking)
-    tables.write_table(pairing.rejects(pairing.pair_documents(bureau, banking)), layout.rejects)
-    rejected = spark.read.parquet(layout.rejects)
-    table = features.features_of_documents(
-        pairing.accepted(bureau, rejected), pairing.accepted(banking, rejected), money_scale
-    )
+    tables.write_table(document_features.pair_facts(bureau, banking, money_scale), layout.pairs)
+    pairs = spark.read.parquet(layout.pairs)
+    tables.write_table(pairing.rejects(pairs), layout.rejects)
+    table = document_features.features_of_pairs(pairs, bureau, money_scale)
     tables.write_table(labels.attach_labels(table, outcomes), layout.features)
     written = spark.read.parquet(layout.features)
     if written.isEmpty():
