@@ -81,6 +81,55 @@ def amount(value: Column) -> Column:
     )
 
 
+# Forms of statement dates besides ISO, in the order they are tried, as a pattern of the text and
+# the order of its groups that makes it ISO. A time of day may follow.
+DATE_FORMS = (
+    (r"^\s*(\d{4})[/.](\d{1,2})[/.](\d{1,2})(.*)$", "$1-$2-$3$4"),  # year, month, day
+    (r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(.*)$", "$3-$1-$2$4"),  # month, day, year
+    (r"^\s*(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})(.*)$", "$3-$2-$1$4"),  # day, month, year
+    (r"^\s*(\d{4})(\d{2})(\d{2})\s*$", "$1-$2-$3"),  # eight digits
+)
+NAMED_MONTH = r"^\s*(\d{1,2})[ -]([A-Za-z]{3})[a-z]*[ -](\d{4})(.*)$"  # tried last
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+
+def _named_month(text: Column) -> Column:
+    """ISO form of a date such as ``05-Jan-2024``; null for an unknown month."""
+    day, name, year, rest = (F.regexp_extract(text, NAMED_MONTH, i) for i in range(1, 5))
+    place = F.position(F.lower(name), F.lit(MONTHS))
+    month = F.when(place % 3 == 1, ((place + 2) / 3).cast("int").cast("string"))
+    return F.when(text.rlike(NAMED_MONTH), F.concat(year, F.lit("-"), month, F.lit("-"), day, rest))
+
+
+def _readings(text: Column) -> list[Column]:
+    """The timestamp that each form reads in a text; null where the form does not fit."""
+    forms = [F.when(text.rlike(p), F.regexp_replace(text, p, order)) for p, order in DATE_FORMS]
+    return [timestamp(text), *[timestamp(F.trim(iso)) for iso in (*forms, _named_month(text))]]
+
+
+def date_form(items: Column, field: str) -> Column:
+    """Number of the first form that reads the first readable date of an array of items; null without one.
+
+    ``05/01/2024`` fits two forms; the earlier one wins, unless the first readable date rules it out.
+    """
+
+    def fitting(text: Column) -> Column:
+        return F.coalesce(*[F.when(read.isNotNull(), k) for k, read in enumerate(_readings(text))])
+
+    return F.aggregate(
+        items, F.lit(None).cast("int"), lambda found, item: F.coalesce(found, fitting(item[field]))
+    )
+
+
+def timestamp_of_form(text: Column, form: Column) -> Column:
+    """Timestamp without zone of a text in the given form (see ``date_form``); null if it does not fit."""
+    first, *others = _readings(text)
+    read = F.when(form == 0, first)
+    for k, other in enumerate(others, 1):
+        read = read.when(form == k, other)
+    return read
+
+
 def timestamp(text: Column) -> Column:
     """Timestamp without zone from an ISO text; unparseable becomes null. Statement dates are local
     calendar dates, so the session's time zone must not shift them."""

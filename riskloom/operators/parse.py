@@ -37,19 +37,33 @@ def _parse(
     items_key: str,
     item_fields: str,
     items: str,
-    item: Callable[[Column], dict[str, Column]],
+    item: Callable[[Column, Column | None], dict[str, Column]],
     amounts: list[str],
     whole: tuple[str, ...] = (),
     bad_header: Callable[[Column], Column] = lambda d: F.lit(False),
+    shared: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
+    """``shared`` makes one value of all items of a document, which ``item`` gets with each of them."""
     doc = F.col("doc")
     opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
     # Null when it is no array; an element that is no object becomes a null struct.
     elements = F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>")
 
-    def typed(element: Column, pos: Column) -> Column:
-        values = [c.alias(name) for name, c in item(element).items()]
-        return F.struct(pos.alias("pos"), *values, element.isNotNull().alias("is_object"))
+    def typed(known: Column | None) -> Callable[[Column, Column], Column]:
+        def one(element: Column, pos: Column) -> Column:
+            values = [c.alias(name) for name, c in item(element, known).items()]
+            return F.struct(pos.alias("pos"), *values, element.isNotNull().alias("is_object"))
+
+        return one
+
+    if shared is None:
+        typed_items = F.transform(elements, typed(None))
+    else:
+        # Arrays of one element bind a value to a name, so that it is computed once for all items.
+        def with_shared(found: Column) -> Column:
+            return F.transform(F.array(shared(found)), lambda known: F.transform(found, typed(known)))[0]
+
+        typed_items = F.transform(F.array(elements), with_shared)[0]
 
     fields = opened.select(
         "stem",
@@ -58,7 +72,7 @@ def _parse(
         *[make(doc).alias(name) for name, make in header.items()],
         bad_header(doc).alias("bad_header"),
         F.try_variant_get(doc, f"$.{items_key}", "variant").isNull().alias("no_items"),
-        F.transform(elements, typed).alias(items),
+        typed_items.alias(items),
     )
     bad_amount = F.exists(items, lambda i: _any_null([i[name] for name in amounts]))
     reason = (
@@ -101,7 +115,7 @@ def parse_bureau(docs: DataFrame) -> DataFrame:
         items_key="TRADES",
         item_fields=TRADE_FIELDS,
         items="trades",
-        item=lambda t: {
+        item=lambda t, _: {
             "trade_ref_num": t["TRADE_REF_NUM"],
             "product_type": t["PRODUCT_TYPE"],
             "date_opened": t["DATE_OPENED"],
@@ -119,7 +133,11 @@ def parse_bureau(docs: DataFrame) -> DataFrame:
 
 
 def parse_banking(docs: DataFrame) -> DataFrame:
-    """``stem, loan_app_id, bank_name, acct_num, transactions[], n_items, reason``."""
+    """``stem, loan_app_id, bank_name, acct_num, transactions[], n_items, reason``.
+
+    A statement's dates are read in one form, that of its first readable date. ``bad_date`` marks a date that
+    is there but cannot be read so.
+    """
     return _parse(
         docs,
         header={
@@ -130,12 +148,14 @@ def parse_banking(docs: DataFrame) -> DataFrame:
         items_key="TRANSACTIONS",
         item_fields=TRANSACTION_FIELDS,
         items="transactions",
-        item=lambda t: {
-            "txn_date": coerce.timestamp(t["TXN_DATE"]),
+        item=lambda t, form: {
+            "txn_date": coerce.timestamp_of_form(t["TXN_DATE"], form),
             "txn_amount": coerce.amount(t["TXN_AMOUNT"]),
             "txn_type": t["TXN_TYPE"],
             "txn_desc": t["TXN_DESC"],
             "bal_after": coerce.amount(t["BAL_AFTER"]),
+            "bad_date": t["TXN_DATE"].isNotNull() & coerce.timestamp_of_form(t["TXN_DATE"], form).isNull(),
         },
+        shared=lambda items: coerce.date_form(items, "TXN_DATE"),
         amounts=["txn_amount", "bal_after"],
     )

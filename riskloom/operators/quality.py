@@ -149,3 +149,9 @@ def balance_breaks_in_documents(parsed: DataFrame) -> DataFrame:
 def breaks_per_applicant(breaks: DataFrame) -> DataFrame:
     """``loan_app_id, breaks``."""
     return breaks.groupBy(KEY).agg(F.count("*").alias("breaks"))
+
+
+def unreadable_dates(parsed: DataFrame) -> DataFrame:
+    """``stem, unreadable``: parsed statements with dates that are there but not in the statement's form."""
+    bad = F.size(F.filter("transactions.bad_date", lambda marked: marked)).cast("bigint")
+    return parsed.select("stem", bad.alias("unreadable")).where(F.col("unreadable") > 0)

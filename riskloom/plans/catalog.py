@@ -258,9 +258,22 @@ def p5_dates(spark, sf):
     return rows
 
 
+@query
+def p5_statement_dates(spark, sf):
+    """Dates of statements written in three forms."""
+    rows = flatten.flatten_transactions(usable(parsed_banking(spark, sf)), with_position=True)
+    return rows.select("stem", "pos", "txn_date")
+
+
+@query
+def p5_unreadable_dates(spark, sf):
+    return quality.unreadable_dates(usable(parsed_banking(spark, sf)))
+
+
 @query
 def p6_required_id(spark, sf):
-    parsed = parsed_bureau(spark, sf).where(F.col("reason") == "missing_id")
+    docs = parse.parse_bureau(lending.bureau_documents(spark, sf))
+    parsed = statuses(docs, "bureau").where(F.col("reason") == "missing_id")
     return parsed.select("stem")
 
 

@@ -275,12 +275,19 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     By o_orderkey modulo 50: 11 no file, 12 cut off, 13 no id, 14 no transactions, 15 a balance in
     words, 16 someone else's id, 17 an array. Modulo 20, the second transaction is dated too early
-    (3) or carries a wrong balance (4), and modulo 9 = 2 it has an unreadable date.
+    (3) or carries a wrong balance (4), and modulo 9 = 2 it has an unreadable date. Modulo 8, dates are written
+    month first (1) or with the month's name (5), else in ISO form.
     """
     k, customer = F.col("o_orderkey"), F.col("o_custkey")
     paid = F.floor(F.col("o_totalprice") / 10)
     day = F.col("o_orderdate").cast("date")
 
+    def written(date: Column) -> Column:
+        named = F.when(k % 8 == 5, F.date_format(date, "dd-MMM-yyyy"))
+        return F.when(k % 8 == 1, F.date_format(date, "MM/dd/yyyy")).otherwise(
+            F.coalesce(named, F.date_format(date, "yyyy-MM-dd"))
+        )
+
     def txn(date: Column, amount: Column, kind: str, text: str, balance: Column) -> Column:
         return _object(
             {
@@ -297,13 +304,13 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         _number(to_cents(opening - paid - 500))
     )
     second_day = F.when(k % 9 == 2, F.lit("not a date")).otherwise(
-        F.date_format(F.date_add(day, F.when(k % 20 == 3, -4).otherwise(4)), "yyyy-MM-dd")
+        written(F.date_add(day, F.when(k % 20 == 3, -4).otherwise(4)))
     )
     second_balance = to_cents(opening - paid + F.when(k % 20 == 4, 7.0).otherwise(0.0))
     rows = [
-        txn(F.date_format(day, "yyyy-MM-dd"), opening, "CR", "Salary", opening),
+        txn(written(day), opening, "CR", "Salary", opening),
         txn(second_day, paid, "DR", "Loan EMI", second_balance),
-        txn(F.date_format(F.date_add(day, 9), "yyyy-MM-dd"), F.lit(500), "DR", "Cash Withdrawal", last),
+        txn(written(F.date_add(day, 9)), F.lit(500), "DR", "Cash Withdrawal", last),
     ]
     items = F.when(_defect(k, 14), F.lit("[]")).otherwise(
         F.concat(F.lit("["), F.concat_ws(", ", *rows), F.lit("]"))

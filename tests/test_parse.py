@@ -34,6 +34,26 @@ def test_unreadable_date_is_null(spark):
     assert dates == ["None", "2024-02-03 00:00:00", "None"]
 
 
+@pytest.mark.parametrize(
+    "texts, expected, unreadable",
+    [
+        (["05/01/2024", "06/13/2024 10:30:00"], ["2024-05-01 00:00:00", "2024-06-13 10:30:00"], 0),
+        (["13/01/2024", "05/02/2024", "2024-03-01"], ["2024-01-13 00:00:00", "2024-02-05 00:00:00", "None"], 1),
+        (["31/31/2024", "05-Jan-2024", "6 december 2024"], ["None", "2024-01-05 00:00:00", "2024-12-06 00:00:00"], 1),
+        (["20240229", "20240230", None], ["2024-02-29 00:00:00", "None", "None"], 1),
+        (["2024/1/5", "2024-01-05"], ["2024-01-05 00:00:00", "None"], 1),
+        (["2024-01-05", "01/06/2024"], ["2024-01-05 00:00:00", "None"], 1),
+        (["05-anf-2024", "", "x"], ["None", "None", "None"], 3),
+    ],
+)
+def test_a_statement_is_read_in_the_form_of_its_first_readable_date(spark, texts, expected, unreadable):
+    doc = dict(BANKING, TRANSACTIONS=[{"TXN_DATE": t} for t in texts])
+    parsed = parse.parse_banking(documents(spark, a=doc))
+    rows = flatten.flatten_transactions(parsed, True)
+    assert [str(r.txn_date) for r in rows.orderBy("pos").collect()] == expected
+    assert [r.unreadable for r in quality.unreadable_dates(parsed).collect()] == [unreadable] * (unreadable > 0)
+
+
 def test_empty_items_give_no_rows_and_the_same_columns(spark):
     docs = documents(spark, a=dict(BUREAU, TRADES=[]), b=without(BUREAU, "TRADES"))
     parsed = parse.parse_bureau(docs)
