@@ -121,34 +121,35 @@ def verdicts(spark: SparkSession, sf: str) -> DataFrame:
 # --- sources and sinks -----------------------------------------------------------------------
 
 
-def _document_folder(spark: SparkSession, sf: str) -> str:
-    """A folder in the layout the scan is for: one small file per document, here per labelled
-    applicant. (Real intake goes through the stream instead, which lands files in bulk.)"""
-    fields = F.struct(F.col(KEY).alias("LOAN_APP_ID"), F.col(LABEL).alias("DEFAULT_FLAG"))
-    path = staging_path(spark, "files")
-    docs = lending.labels(spark, sf).select(F.to_json(fields))
-    docs.write.option("maxRecordsPerFile", 1).text(path)
-    return path
+def _document_folders(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Both document folders in the layout the scan is for: one small file per document, named by its stem."""
+    root = staging_path(spark, "raw")
+    lending.write_documents(lending.bureau_documents(spark, sf), f"{root}/bureau")
+    lending.write_documents(lending.banking_documents(spark, sf), f"{root}/banking")
+    return f"{root}/bureau", f"{root}/banking"
+
+
+def _both_kinds(bureau: DataFrame, banking: DataFrame) -> DataFrame:
+    return flatten.union_all(
+        bureau.withColumn("kind", F.lit("bureau")), banking.withColumn("kind", F.lit("banking"))
+    )
 
 
 @query
 def s1_document_scan(spark, sf):
-    docs = documents.read_documents(spark, _document_folder(spark, sf), "part-*")
-    doc = F.try_parse_json("raw")
-    return docs.select(
-        F.try_variant_get(doc, "$.LOAN_APP_ID", "string").alias(KEY),
-        F.try_variant_get(doc, "$.DEFAULT_FLAG", "int").alias(LABEL),
-        F.length("raw").alias("n_chars"),
-    )
+    bureau, banking = _document_folders(spark, sf)
+    docs = _both_kinds(documents.read_documents(spark, bureau), documents.read_documents(spark, banking))
+    holder = F.try_variant_get(F.try_parse_json("raw"), "$.LOAN_APP_ID", "string")
+    return docs.select("kind", "file_name", "stem", holder.alias(KEY))
 
 
 @query
 def s2_first_documents(spark, sf):
-    docs = documents.read_first_documents(spark, _document_folder(spark, sf), 25, "part-*")
-    return docs.agg(
-        F.count("*").alias("documents"),
-        F.count_if(F.try_parse_json("raw").isNotNull()).alias("readable"),
-    )
+    """The first 25 bureau files by name, and the statements that belong to them."""
+    bureau, banking = _document_folders(spark, sf)
+    first = documents.read_first_documents(spark, bureau, 25)
+    docs = _both_kinds(first, documents.read_matching_documents(spark, banking, first))
+    return docs.select("kind", "file_name", "stem", F.try_parse_json("raw").isNotNull().alias("readable"))
 
 
 @query

@@ -7,6 +7,10 @@ applicant's rows are ever gathered to make one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -323,3 +327,21 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
     files = table(spark, sf_dir, "orders").where(~_defect(k, 11)).withColumn("items", items)
     return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)
+
+
+def write_documents(docs: DataFrame, folder: str) -> None:
+    """Each document (``stem, raw``) as a file ``<stem>.json``, written by the task that holds it.
+
+    A repeated task writes the same files once more. Spark's own writers don't let rows name their files.
+    """
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = fs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for stem, raw in zip(batch.column("stem"), batch.column("raw"), strict=True):
+                with system.open_output_stream(f"{base}/{stem.as_py()}.json") as file:
+                    file.write(raw.as_buffer())
+            yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+
+    docs.select("stem", "raw").mapInArrow(put, "files bigint").write.format("noop").mode("overwrite").save()
