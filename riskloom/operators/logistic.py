@@ -2,16 +2,19 @@
 
 Inputs are scaled to mean 0 and population deviation 1. The loss is the summed log loss plus
 ``penalty / 2`` times the squared weights; the intercept is free. A step needs the gradient and the
-weighted Gram matrix, some k**2 / 2 sums for k features, whatever the number of rows.
+weighted Gram matrix, some k**2 sums for k features from each task, whatever the number of rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.model_table import Model, Node, parameters, probability, require_features
+from riskloom.operators.model_table import Model, Node, require_features
 from riskloom.schemas import LABEL
 
 #: Largest change of a coefficient at which the fit has settled.
@@ -25,28 +28,32 @@ def scales(rows: DataFrame, features: list[str]) -> list[tuple[float, float]]:
     return [(found[2 * i] or 0.0, found[2 * i + 1] or 1.0) for i in range(len(features))]
 
 
-def _sums(rows: DataFrame, inputs: list[Column], label: str, beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-    """Summed log loss, its gradient and its curvature at ``beta``; the first coefficient is the intercept."""
-    size = len(inputs) + 1
-    names = [f"z{i}" for i in range(1, size)]
-    rows = rows.withColumn("weights", parameters(rows.sparkSession, list(beta)))
-    scaled = rows.select("weights", F.col(label).cast("double").alias("y"), *[z.alias(n) for z, n in zip(inputs, names)])
-    weights = F.col("weights")
-    log_odds = weights[0]
-    for i, name in enumerate(names, start=1):
-        log_odds = log_odds + weights[i] * F.col(name)
-    at = scaled.withColumn("t", log_odds).withColumn("p", probability(F.col("t"))).withColumn("v", F.col("p") * (1 - F.col("p")))
-    each = [F.lit(1.0), *[F.col(n) for n in names]]
-    # log(1 + exp(t)) - y t, without overflow
-    loss = F.greatest("t", F.lit(0.0)) + F.log1p(F.exp(-F.abs("t"))) - F.col("y") * F.col("t")
-    sums = [F.sum(loss)] + [F.sum((F.col("p") - F.col("y")) * z) for z in each]
-    upper = [(i, j) for i in range(size) for j in range(i, size)]
-    sums += [F.sum(F.col("v") * each[i] * each[j]) for i, j in upper]
-    found = [x or 0.0 for x in at.agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first()]
-    curve = np.zeros((size, size))
-    for (i, j), x in zip(upper, found[size + 1 :]):
-        curve[i, j] = curve[j, i] = x
-    return found[0], np.array(found[1 : size + 1]), curve
+def _sums(rows: DataFrame, scaling: list[tuple[float, float]], beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Summed log loss, its gradient and its curvature at ``beta``; the first coefficient is the intercept.
+
+    ``rows`` holds the outcome and then the inputs. A task adds up its rows batch by batch and returns the sums alone.
+    """
+    size = len(beta)
+    means, deviations = (np.array(x) for x in zip(*scaling))
+
+    def add_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loss, gradient, curve = 0.0, np.zeros(size), np.zeros((size, size))
+        for batch in batches:
+            y, *x = (np.asarray(column, np.float64) for column in batch.columns)
+            z = np.column_stack([np.ones(len(y)), (np.column_stack(x) - means) / deviations])
+            t = z @ beta
+            small = np.exp(-np.abs(t))
+            p = np.where(t >= 0, 1.0, small) / (1 + small)
+            # log(1 + exp(t)) - y t, without overflow
+            loss += float(np.sum(np.maximum(t, 0) + np.log1p(small) - y * t))
+            gradient += z.T @ (p - y)
+            curve += z.T @ (z * (p * (1 - p))[:, None])
+        sums = np.concatenate([[loss], gradient, curve.ravel()])
+        yield pa.RecordBatch.from_pydict({"sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
+
+    found = np.array([r.sums for r in rows.mapInArrow(add_up, "sums array<double>").collect()]).reshape(-1, 1 + size + size**2)
+    total = found.sum(axis=0)
+    return float(total[0]), total[1 : size + 1], total[size + 1 :].reshape(size, size)
 
 
 def fit_logistic(
@@ -60,11 +67,12 @@ def fit_logistic(
     """The penalised optimum; a step that would raise the loss is halved until it does not."""
     rows = require_features(rows.select(label, *features), features)
     scaling = scales(rows, features)
-    inputs = [(F.col(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in zip(features, scaling)]
+    inputs = [F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(features)]
+    numbers = rows.select(F.col(label).cast("double").alias("y"), *inputs).where("y IS NOT NULL")
     ridge = np.diag([0.0, *[penalty] * len(features)])
 
     def at(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        loss, gradient, curve = _sums(rows, inputs, label, beta)
+        loss, gradient, curve = _sums(numbers, scaling, beta)
         return loss + beta @ ridge @ beta / 2, gradient + ridge @ beta, curve + ridge
 
     beta = np.zeros(len(features) + 1)

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,25 +64,21 @@ def _term(rows: list[Node]) -> Column:
     return _tree_value({n.node: n for n in rows}, first.node)
 
 
-def terms(model: Model) -> list[Column]:
-    """The terms whose sum is the log odds: one per weight and one per tree."""
+def _trees(model: Model) -> list[list[Node]]:
+    """The rows of each tree or weight, in the order of their numbers."""
     trees: dict[int, list[Node]] = {}
     for node in sorted(model.nodes, key=lambda n: (n.tree, n.node)):
         trees.setdefault(node.tree, []).append(node)
-    return [_term(rows) for rows in trees.values()]
-
+    return list(trees.values())
 
-def probability(log_odds: Column) -> Column:
-    return 1 / (1 + F.exp(-log_odds))
 
+def terms(model: Model) -> list[Column]:
+    """The terms whose sum is the log odds: one per weight and one per tree."""
+    return [_term(rows) for rows in _trees(model)]
 
-def parameters(spark: SparkSession, numbers: list[float]) -> Column:
-    """Numbers as one array that is looked up when a query runs.
 
-    As literals they would be part of the generated code, and each step of a fit would be compiled anew.
-    """
-    listed = ", ".join(f"double('{float(x)!r}')" for x in numbers)
-    return spark.sql(f"SELECT p FROM VALUES (array({listed})) AS t(p)").scalar()
+def probability(log_odds: Column) -> Column:
+    return 1 / (1 + F.exp(-log_odds))
 
 
 def require_features(table: DataFrame, features: list[str]) -> DataFrame:
@@ -90,16 +88,43 @@ def require_features(table: DataFrame, features: list[str]) -> DataFrame:
     return table.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True))
 
 
+def _log_odds(model: Model, portion: int) -> Column:
+    """The log odds of a model of many terms, by arrays: as one expression its code would be too long to compile."""
+    place = {name: i for i, name in enumerate(model.features)}
+    each = [
+        {n.node: (place.get(n.feature), n.mean, n.deviation, n.threshold, n.below, n.above, n.value) for n in rows}
+        for rows in _trees(model)
+    ]
+
+    def term(nodes: dict, at: int, x: list) -> np.ndarray | float:
+        feature, mean, deviation, threshold, below, above, value = nodes[at]
+        if below is not None:
+            return np.where(x[feature] <= threshold, term(nodes, below, x), term(nodes, above, x))
+        return value if feature is None else value * ((x[feature] - mean) / deviation)
+
+    def log_odds(*columns: pa.Array) -> pa.Array:
+        x = [c.to_numpy(zero_copy_only=False) for c in columns]
+        total = np.zeros(len(x[0]))
+        for at in range(0, len(each), portion):
+            some = np.zeros(len(x[0]))
+            for nodes in each[at : at + portion]:
+                some = some + term(nodes, min(nodes), x)
+            total = total + some
+        return pa.array(total, pa.float64())
+
+    return F.arrow_udf(log_odds, "double")(*[F.col(c).cast("double") for c in model.features])
+
+
 def apply_model(model: Model, table: DataFrame, score: str = SCORE, portion: int = 20) -> DataFrame:
-    """``table`` with the predicted probability; trees are summed ``portion`` at a time to keep code short."""
+    """``table`` with the predicted probability.
+
+    A model of at most ``portion`` terms is one expression; more terms are summed by arrays in the tasks, as many
+    at a time.
+    """
     each = terms(model)
-    out = require_features(table, model.features)
-    sums = []
-    for at in range(0, len(each), portion):
-        sums.append(f"_log_odds_{at}")
-        out = out.withColumn(sums[-1], reduce(add, each[at : at + portion]))
-    total = reduce(add, [F.col(c) for c in sums])
-    return out.select(*[F.col(f"`{c}`") for c in table.columns], probability(total).alias(score))
+    total = reduce(add, each) if len(each) <= portion else _log_odds(model, portion)
+    out = require_features(table, model.features).withColumn("_log_odds", total)
+    return out.select(*[F.col(f"`{c}`") for c in table.columns], probability(F.col("_log_odds")).alias(score))
 
 
 def as_table(spark: SparkSession, model: Model) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskloom.operators import boosting, discrimination, logistic, model_table, models
+from riskloom.sources.staging import stage
 
 
 def _scored(spark, labels, scores):
@@ -247,3 +248,41 @@ def test_null_feature_is_an_error(spark):
         models.feature_matrix(df, ["max_dpd"]).collect()
     with pytest.raises(Exception, match="null or NaN"):
         logistic.fit_logistic(df, ["max_dpd"], "l")
+
+
+def test_boosting_writes_its_rows_once(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(boosting, "stage", lambda df, name: written.append(name) or stage(df, name))
+    monkeypatch.setattr(boosting, "RENEW", 2)
+    monkeypatch.setattr(boosting, "DIRECT", 1)  # sums are added up among tasks
+    monkeypatch.setattr(boosting, "TASK_ROWS", 10)
+    rows = [(i % 2, float(i % 7), float(i * i % 11)) for i in range(80)]
+    df = spark.createDataFrame(rows, "default_flag int, a double, b double").repartition(4)
+    many = boosting.fit_boosting(df, ["a", "b"], "b", rounds=6)
+    assert written == ["binned"]
+    monkeypatch.setattr(boosting, "DIRECT", 64)
+    monkeypatch.setattr(boosting, "RENEW", 100)
+    one = boosting.fit_boosting(df.coalesce(1), ["a", "b"], "b", rounds=6)
+    for n, m in zip(many.nodes, one.nodes, strict=True):
+        assert (n.tree, n.node, n.feature, n.threshold) == (m.tree, m.node, m.feature, m.threshold)
+        assert n.value == m.value or n.value == pytest.approx(m.value, abs=1e-12)
+
+
+def test_many_trees_need_no_code_of_their_own(spark):
+    """200 trees as one expression were more code than the compiler takes."""
+    nodes = [model_table.Node(0, 0, value=-1.0), model_table.Node(-1, 0, "b", mean=1.0, deviation=2.0, value=0.5)]
+    for t in range(1, 201):
+        for at in range(7):
+            split = {"feature": "ab"[at % 2], "threshold": (t * 7 + at) % 13 + 0.5, "below": 2 * at + 1, "above": 2 * at + 2}
+            nodes.append(model_table.Node(t, at, **split))
+        nodes += [model_table.Node(t, at, value=((t * at) % 9 - 4) / 100 + 1 / 700) for at in range(7, 15)]
+    model = model_table.Model("m", ["a", "b"], nodes)
+    df = spark.createDataFrame([(i, i % 14, float(i % 5)) for i in range(40)], "id int, a int, b double")
+    joined = model_table.score_by_join(spark.createDataFrame([tuple(vars(n).values()) for n in nodes], model_table.NODE_SCHEMA), df, ["id"], ["a", "b"])
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        scored = model_table.apply_model(model, df).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    expected = {r.id: r.pd_score for r in joined.collect()}
+    assert len(scored) == 40 and all(r.pd_score == pytest.approx(expected[r.id], abs=1e-12) for r in scored)
