@@ -122,7 +122,7 @@ def verdicts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _document_folders(spark: SparkSession, sf: str) -> tuple[str, str]:
-    """Both document folders in the layout the scan is for: one small file per document, named by its stem."""
+    """Both document folders in the layout the scan is for: a small file per document, named by its stem, in archives."""
     root = staging_path(spark, "raw")
     lending.write_documents(lending.bureau_documents(spark, sf), f"{root}/bureau")
     lending.write_documents(lending.banking_documents(spark, sf), f"{root}/banking")

@@ -7,10 +7,12 @@ applicant's rows are ever gathered to make one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tarfile
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ BANKS = ["Alder", "Birch", "Cedar", "Elm", "Hazel", "Rowan"]
 # Amounts in these tables carry cents.
 MONEY_SCALE = 2
 
+# Size at which an archive of documents is closed.
+ARCHIVE_BYTES = 2 << 20
+
 # Order of an applicant's trades (o_orderkey is unique).
 TRADE_ORDER = ["pos"]
 
@@ -330,18 +335,41 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_documents(docs: DataFrame, folder: str) -> None:
-    """Each document (``stem, raw``) as a file ``<stem>.json``, written by the task that holds it.
+    """Each document (``stem, raw``) as a file ``<stem>.json`` inside tar archives, written by the task that holds it.
 
-    A repeated task writes the same files once more. Spark's own writers don't let rows name their files.
+    Documents of one stem must be in one partition. Rows of a task are in order and archives are numbered, so a repeated task writes the same files once more. Of
+    documents with one stem the last stays, as in a folder; one without a text is an empty file. Spark's own
+    writers don't let rows name their files.
     """
+    room = ARCHIVE_BYTES
 
-    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
+        task, number, packed, before = TaskContext.get().partitionId(), 0, bytearray(), None
+
+        def add(stem: str, raw: bytes) -> None:
+            info = tarfile.TarInfo(f"{stem}.json")
+            info.size = len(raw)
+            packed.extend(info.tobuf() + raw + bytes(-len(raw) % tarfile.BLOCKSIZE))
+
+        def close() -> None:
+            with system.open_output_stream(f"{base}/documents-{task:06}-{number:06}.tar") as file:
+                file.write(bytes(packed) + bytes(2 * tarfile.BLOCKSIZE))
+
         for batch in batches:
-            for stem, raw in zip(batch.column("stem"), batch.column("raw"), strict=True):
-                with system.open_output_stream(f"{base}/{stem.as_py()}.json") as file:
-                    file.write(raw.as_buffer())
+            for stem, raw in zip(batch.column("stem").to_pylist(), batch.column("raw").to_pylist(), strict=True):
+                if before is not None and before[0] != stem:
+                    add(*before)
+                    if len(packed) >= room:
+                        close()
+                        packed.clear()
+                        number += 1
+                before = stem, raw or b""
             yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
+        if before is not None:
+            add(*before)
+            close()
 
-    docs.select("stem", "raw").mapInArrow(put, "files bigint").write.format("noop").mode("overwrite").save()
+    rows = docs.select("stem", F.col("raw").cast("binary").alias("raw")).sortWithinPartitions("stem", "raw")
+    rows.mapInArrow(put, "files bigint").write.format("noop").mode("overwrite").save()

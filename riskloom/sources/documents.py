@@ -1,12 +1,27 @@
-"""Raw JSON documents: one object per file."""
+"""Raw JSON documents: one object per file, loose in a folder or inside the tar archives of that folder.
+
+The driver has to list every file that Spark's readers open, so millions of small ones belong in archives: it then
+lists the archives, and tasks find the documents in them by name.
+"""
 
 from __future__ import annotations
 
+import io
+import re
+import tarfile
+from collections.abc import Iterable, Iterator
+from fnmatch import translate
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed value: names of raw document files.
+# Names of raw document files, and of archives of them.
 DOCUMENT_GLOB = "APP*.json"
+ARCHIVE_GLOB = "*.tar"
+
+# Bytes that a task exchanges with its Python worker at a time, in archives and in documents.
+_BATCH, _PORTION = 2 << 20, 1 << 20
 
 
 def stem_of(file_name):
@@ -14,27 +29,89 @@ def stem_of(file_name):
     return F.regexp_replace(file_name, r"\.[^.]*$", "")
 
 
+def _alternatives(glob: str) -> list[str]:
+    """A glob without braces for each choice that they give."""
+    found = re.search(r"\{([^{}]*)\}", glob)
+    if not found:
+        return [glob.replace("[^", "[!")]
+    before, after = glob[: found.start()], glob[found.end() :]
+    return [g for choice in found[1].split(",") for g in _alternatives(before + choice + after)]
+
+
+def _archived(
+    spark: SparkSession, path: str, glob: str, texts: bool = True, last_name: str | None = None, last_stem: str | None = None
+) -> DataFrame:
+    """``file_name, path`` and, with ``texts``, ``raw`` of the documents in a folder's archives, up to the last one wanted."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(name)
+    if not held.isdigit() or not 0 < int(held) <= _BATCH:  # else all archives of a task would be in memory at once
+        spark.conf.set(name, str(_BATCH))
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", ARCHIVE_GLOB).load(path)
+    wanted, portion = "|".join(translate(g) for g in _alternatives(glob)), _PORTION
+
+    def documents(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fits = re.compile(wanted).match
+
+        def batch_of(names: list, paths: list, raws: list) -> pa.RecordBatch:
+            columns = {"file_name": pa.array(names, pa.string()), "path": pa.array(paths, pa.string())}
+            return pa.RecordBatch.from_pydict(columns | ({"raw": pa.array(raws, pa.binary())} if texts else {}))
+
+        for batch in batches:
+            for archive, content in zip(*batch.columns):
+                data, place = content.as_py(), archive.as_py()
+                names, paths, raws, held = [], [], [], 0
+                with tarfile.open(fileobj=io.BytesIO(data)) as members:
+                    for member in members:
+                        name = member.name.rsplit("/", 1)[-1]
+                        beyond = (last_name is not None and name > last_name) or (
+                            last_stem is not None and re.sub(r"\.[^.]*$", "", name) > last_stem
+                        )
+                        if beyond or not member.isfile() or not fits(name):
+                            continue
+                        names.append(name)
+                        paths.append(f"{place}/{member.name}")
+                        if texts:
+                            raws.append(data[member.offset_data : member.offset_data + member.size])
+                        held += member.size
+                        if held > portion:
+                            yield batch_of(names, paths, raws)
+                            names, paths, raws, held = [], [], [], 0
+                yield batch_of(names, paths, raws)
+
+    found = archives.select("path", "content").mapInArrow(
+        documents, "file_name string, path string" + (", raw binary" if texts else "")
+    )
+    return found.withColumn("raw", F.col("raw").cast("string")) if texts else found
+
+
 def document_files(spark: SparkSession, path: str, glob: str = DOCUMENT_GLOB) -> DataFrame:
-    """``file_name, stem, path`` of every document; file contents are not read."""
+    """``file_name, stem, path`` of every document; contents of loose files are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("file_name"), stem_of(name).alias("stem"), "path")
+    loose = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "path")
+    found = loose.unionByName(_archived(spark, path, glob, texts=False))
+    return found.select("file_name", stem_of(F.col("file_name")).alias("stem"), "path")
+
+
+def _loose(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    texts = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+    return texts.select("_metadata.file_name", F.col("value").alias("raw"))
+
+
+def _with_stem(*found: DataFrame) -> DataFrame:
+    columns = ["file_name", stem_of(F.col("file_name")).alias("stem"), "raw"]
+    return found[0].select(*columns).unionByName(found[1].select(*columns))
 
 
 def read_documents(spark: SparkSession, path: str, glob: str = DOCUMENT_GLOB) -> DataFrame:
-    """``file_name, stem, raw`` with the whole text of each file.
+    """``file_name, stem, raw`` with the whole text of each document.
 
     Small files are packed into splits by ``spark.sql.files.maxPartitionBytes`` and
-    ``openCostInBytes``. A folder without a matching file is an error.
+    ``openCostInBytes``. A folder without a matching document is an error.
     """
-    raw = (
-        spark.read.option("pathGlobFilter", glob)
-        .text(path, wholetext=True)
-        .select("_metadata.file_name", F.col("value").alias("raw"))
-    )
-    if raw.select("file_name").isEmpty():
+    loose = _loose(spark, path, glob)
+    if loose.select("file_name").isEmpty() and _archived(spark, path, glob, texts=False).isEmpty():
         raise FileNotFoundError(f"no raw documents {glob} in {path}")
-    return raw.select("file_name", stem_of(F.col("file_name")).alias("stem"), "raw")
+    return _with_stem(loose, _archived(spark, path, glob))
 
 
 def read_first_documents(
@@ -43,14 +120,16 @@ def read_first_documents(
     """The first ``limit`` documents by file name; ``None`` or 0 reads all.
 
     Only the last name that still counts comes to the driver. The filter on it is one on file metadata,
-    so later files are not opened.
+    so later loose files are not opened; of archives only the documents up to it leave a task.
     """
     if not limit:
         return read_documents(spark, path, glob)
     names = document_files(spark, path, glob).select("file_name").orderBy("file_name").limit(limit)
     last = names.agg(F.max("file_name")).first()[0]
-    found = read_documents(spark, path, glob)
-    return found.where(F.col("file_name") <= last)
+    if last is None:
+        raise FileNotFoundError(f"no raw documents {glob} in {path}")
+    loose = _loose(spark, path, glob).where(F.col("file_name") <= last)
+    return _with_stem(loose, _archived(spark, path, glob, last_name=last))
 
 
 def read_matching_documents(
@@ -58,10 +137,11 @@ def read_matching_documents(
 ) -> DataFrame:
     """The documents whose stem is in ``stems`` (a limited set, see ``read_first_documents``).
 
-    Files whose stem lies beyond the last of them are not opened.
+    Loose files whose stem lies beyond the last of them are not opened.
     """
     last = stems.agg(F.max("stem")).first()[0]
-    if last is None or document_files(spark, path, glob).isEmpty():
+    if last is None:
         return spark.createDataFrame([], "file_name string, stem string, raw string")
-    found = read_documents(spark, path, glob).where(stem_of(F.col("file_name")) <= last)
+    loose = _loose(spark, path, glob).where(stem_of(F.col("file_name")) <= last)
+    found = _with_stem(loose, _archived(spark, path, glob, last_stem=last))
     return found.join(stems.select("stem"), "stem", "left_semi").select("file_name", "stem", "raw")

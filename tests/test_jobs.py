@@ -7,7 +7,7 @@ from fixtures import BANKING, BUREAU, without
 from pyspark.sql import functions as F
 
 from riskloom.operators import models
-from riskloom.plans import jobs
+from riskloom.plans import jobs, lending_tables
 from riskloom.sources import documents, tables
 from riskloom.streaming import ingest
 
@@ -235,3 +235,38 @@ def test_a_retried_batch_writes_the_same(spark, tmp_path):
     for batch, number in ((docs, 0), (more, 1), (docs, 0), (more, 1)):
         ingest.land_batch(batch, number, target)
     assert sorted(r.stem for r in ingest.landed_documents(spark, target).collect()) == ["a", "b", "c"]
+
+
+def test_documents_in_archives_are_read_as_loose_ones(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lending_tables, "ARCHIVE_BYTES", 4096)
+    texts = {f"APP{i:09}": f'{{"LOAN_APP_ID": "é{i}"}}' for i in range(0, 90, 3)} | {"XYZ": "{}"}
+    docs = spark.createDataFrame([*texts.items(), ("APP000000000", texts["APP000000000"])], "stem string, raw string")
+    lending_tables.write_documents(docs.repartition(3, "stem"), f"{tmp_path}/archived")
+    (tmp_path / "loose").mkdir()
+    for stem, raw in texts.items():
+        (tmp_path / "loose" / f"{stem}.json").write_text(raw)
+    files = list((tmp_path / "archived").glob("*.tar"))
+    assert 3 < len(files) < len(texts) / 2
+
+    def rows(found):
+        return sorted((r.file_name, r.stem, r.raw or "") for r in found.collect())
+
+    found = {}
+    for folder in ("archived", "loose"):
+        path = f"{tmp_path}/{folder}"
+        first = documents.read_first_documents(spark, path, 7)
+        found[folder] = [
+            rows(documents.read_documents(spark, path)),
+            rows(documents.read_documents(spark, path, "APP00000003[^3].{json,txt}")),
+            rows(first),
+            rows(documents.read_matching_documents(spark, path, first.where("stem != 'APP000000003'"))),
+            sorted((r.file_name, r.stem) for r in documents.document_files(spark, path).collect()),
+        ]
+    assert found["archived"] == found["loose"]
+    assert [len(part) for part in found["archived"]] == [30, 3, 7, 6, 30]
+    empty = spark.createDataFrame([("APP1", None), ("APP2", "")], "stem string, raw string")
+    lending_tables.write_documents(empty.coalesce(1), f"{tmp_path}/empty")
+    assert rows(documents.read_documents(spark, f"{tmp_path}/empty")) == [("APP1.json", "APP1", ""), ("APP2.json", "APP2", "")]
+    for read in (documents.read_documents, lambda *a: documents.read_first_documents(*a[:2], 3, a[2])):
+        with pytest.raises(FileNotFoundError):
+            read(spark, f"{tmp_path}/archived", "none*.json")
