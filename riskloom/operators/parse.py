@@ -42,22 +42,31 @@ def _parse(
     whole: tuple[str, ...] = (),
     bad_header: Callable[[Column], Column] = lambda d: F.lit(False),
     shared: Callable[[Column], Column] | None = None,
+    fate_only: bool = False,
 ) -> DataFrame:
-    """``shared`` makes one value of all items of a document, which ``item`` gets with each of them."""
+    """``shared`` makes one value of all items of a document, which ``item`` gets with each of them.
+
+    ``fate_only`` leaves out the items, and makes of them only the fields that can give a reason: Catalyst does
+    not prune what is made inside an array.
+    """
     doc = F.col("doc")
+    judged = [*amounts, *whole]
+    if fate_only:
+        shared = None
     opened = docs.select("stem", "raw", F.try_parse_json("raw").alias("doc"))
     # Null when it is no array; an element that is no object becomes a null struct.
     elements = F.try_variant_get(doc, f"$.{items_key}", f"array<struct<{item_fields}>>")
 
     def typed(known: Column | None) -> Callable[[Column, Column], Column]:
         def one(element: Column, pos: Column) -> Column:
-            values = [c.alias(name) for name, c in item(element, known).items()]
+            made = item(element, known)
+            values = [c.alias(name) for name, c in made.items() if not fate_only or name in judged]
             return F.struct(pos.alias("pos"), *values, element.isNotNull().alias("is_object"))
 
         return one
 
     if shared is None:
-        typed_items = F.transform(elements, typed(None))
+        typed_items = F.transform(elements, typed(F.lit(None).cast("int")))
     else:
         # Arrays of one element bind a value to a name, so that it is computed once for all items.
         def with_shared(found: Column) -> Column:
@@ -88,7 +97,7 @@ def _parse(
     return fields.select(
         "stem",
         *header,
-        items,
+        *([] if fate_only else [items]),
         F.when(F.col(items).isNull(), 0).otherwise(F.size(items)).alias("n_items"),
         reason.alias("reason"),
     )
@@ -101,8 +110,8 @@ def _any_null(columns: list[Column]) -> Column:
     return found
 
 
-def parse_bureau(docs: DataFrame) -> DataFrame:
-    """``stem, loan_app_id, name, dob, bureau, score_v3, trades[], n_items, reason``."""
+def parse_bureau(docs: DataFrame, fate_only: bool = False) -> DataFrame:
+    """``stem, loan_app_id, name, dob, bureau, score_v3, trades[], n_items, reason``; with ``fate_only`` no trades."""
     return _parse(
         docs,
         header={
@@ -129,11 +138,12 @@ def parse_bureau(docs: DataFrame) -> DataFrame:
         bad_header=lambda d: F.try_variant_get(d, "$.SCORE_V3", "variant").isNotNull()
         & ~F.is_variant_null(F.try_variant_get(d, "$.SCORE_V3", "variant"))
         & F.try_variant_get(d, "$.SCORE_V3", "bigint").isNull(),
+        fate_only=fate_only,
     )
 
 
-def parse_banking(docs: DataFrame) -> DataFrame:
-    """``stem, loan_app_id, bank_name, acct_num, transactions[], n_items, reason``.
+def parse_banking(docs: DataFrame, fate_only: bool = False) -> DataFrame:
+    """``stem, loan_app_id, bank_name, acct_num, transactions[], n_items, reason``; with ``fate_only`` no transactions.
 
     A statement's dates are read in one form, that of its first readable date. ``bad_date`` marks a date that
     is there but cannot be read so.
@@ -158,4 +168,5 @@ def parse_banking(docs: DataFrame) -> DataFrame:
         },
         shared=lambda items: coerce.date_form(items, "TXN_DATE"),
         amounts=["txn_amount", "bal_after"],
+        fate_only=fate_only,
     )

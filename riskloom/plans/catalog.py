@@ -113,8 +113,8 @@ def statuses(parsed: DataFrame, name: str) -> DataFrame:
 
 def verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return pairing.pair_documents(
-        statuses(parse.parse_bureau(lending.bureau_documents(spark, sf)), "bureau"),
-        statuses(parse.parse_banking(lending.banking_documents(spark, sf)), "banking"),
+        statuses(parse.parse_bureau(lending.bureau_documents(spark, sf), fate_only=True), "bureau"),
+        statuses(parse.parse_banking(lending.banking_documents(spark, sf), fate_only=True), "banking"),
     )
 
 

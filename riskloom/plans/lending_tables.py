@@ -211,6 +211,15 @@ def _number(value: Column) -> Column:
     return value.cast("string")
 
 
+def _dealt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders dealt by the stem of their documents, as intake lands them: rows of one input file would be parsed in one
+    task. They are dealt before any text is made of them, so the exchange holds no documents."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    return orders.withColumn("stem", document_stem(F.col("o_orderkey"))).repartition("stem")
+
+
 def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``stem, raw``: a bureau document of two trades per order, some of them defective.
 
@@ -255,17 +264,14 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
         "TRADES": F.col("items"),
     }
-    rows = table(spark, sf_dir, "orders").where(~_defect(k, 18)).withColumn("items", items)
+    rows = _dealt_orders(spark, sf_dir).where(~_defect(k, 18)).withColumn("items", items)
     return _written(rows, "TRADES", tail, applicant_id(customer), cut=1, array=2, no_id=3)
 
 
 def _written(
     rows: DataFrame, items_key: str, tail: dict[str, Column], holder: Column, cut: int, array: int, no_id: int
 ) -> DataFrame:
-    """``stem, raw`` of the documents, in steps so that each text is put together once.
-
-    They are dealt by stem, as intake lands them: rows of one input file would be parsed in one task.
-    """
+    """``stem, raw`` of the documents, in steps so that each text is put together once."""
     k = F.col("o_orderkey")
     whole = F.concat(F.lit('{"LOAN_APP_ID": '), _quoted(holder), F.lit(", "), F.col("body"))
     raw = (
@@ -276,7 +282,7 @@ def _written(
     )
     bodies = rows.withColumn("body", F.substr(_object(tail), F.lit(2)))
     texts = bodies.withColumn("whole", whole)
-    return texts.select(document_stem(k).alias("stem"), raw.alias("raw")).repartition("stem")
+    return texts.select("stem", raw.alias("raw"))
 
 
 def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,7 +336,7 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
-    files = table(spark, sf_dir, "orders").where(~_defect(k, 11)).withColumn("items", items)
+    files = _dealt_orders(spark, sf_dir).where(~_defect(k, 11)).withColumn("items", items)
     return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)
 
 

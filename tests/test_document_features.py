@@ -1,7 +1,10 @@
+from datetime import datetime
+
 import pytest
 from fixtures import BANKING, BUREAU, documents, without
 
 from riskloom.operators import document_features, features, flatten, pairing, parse
+from riskloom.plans import lending_tables
 
 
 def _item(doc, key, **changes):
@@ -110,3 +113,25 @@ def test_no_exchange_holds_items(spark, tmp_path):
     assert carried and not [t for t in carried if "array" in t]
     # Pairs on the id; references on the stem, (id, reference) and the id; the quarantine on the stem.
     assert plan.count("Exchange hashpartitioning") == 5 and "SinglePartition" not in plan
+
+
+def test_documents_are_dealt_before_texts_are_made(spark, tmp_path):
+    """No exchange holds texts, and the fate of a document is the same whether its items are made or not."""
+    row = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"
+    rows = [(k, k % 9, "FO"[k % 2], 100.5 + k, datetime(2024, 1, 1 + k % 28), "1-URGENT") for k in range(1, 120)]
+    spark.createDataFrame(rows, row).write.parquet(f"{tmp_path}/orders.parquet")
+    kinds = [
+        (lending_tables.bureau_documents, parse.parse_bureau),
+        (lending_tables.banking_documents, parse.parse_banking),
+    ]
+    for documents, parsed in kinds:
+        docs = documents(spark, str(tmp_path))
+        plan = docs._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("RepartitionByExpression") :]
+        assert "LOAN_APP_ID" in plan and "LOAN_APP_ID" not in below
+        fate = ["stem", "loan_app_id", "reason", "n_items"]
+        whole = sorted(parsed(docs).select(*fate).collect(), key=lambda r: r.stem)
+        short = parsed(docs, fate_only=True)
+        assert sorted(short.select(*fate).collect(), key=lambda r: r.stem) == whole
+        assert len(whole) > 100 and len({r.reason for r in whole}) > 3
+        assert not {"trades", "transactions"} & set(short.columns)
