@@ -551,19 +551,22 @@ def _labelled(spark: SparkSession, sf: str) -> DataFrame:
 def _trained(spark: SparkSession, sf: str) -> tuple[models.Trained, DataFrame]:
     """Both candidates in full, and the labelled applicants.
 
-    What was trained is kept as tables under the application's staging folder, where later queries of the
-    same tables find it. Training is reproducible, so it makes no difference which query comes first.
+    The labelled applicants are made once and written; training and scoring read them there. What was trained
+    is kept beside them as tables under the application's staging folder, where later queries of the same
+    tables find it. Training is reproducible, so it makes no difference which query comes first.
     """
     path = f"{staging_root(spark)}/trained-{hashlib.sha256(sf.encode()).hexdigest()[:16]}"
-    labelled = _labelled(spark, sf)
     try:
         compared = spark.read.parquet(f"{path}/comparison").collect()
     except AnalysisException:
-        trained = models.train(stage(labelled, "labelled"))
+        tables.write_table(_labelled(spark, sf), f"{path}/labelled")
+        labelled = spark.read.parquet(f"{path}/labelled")
+        trained = models.train(labelled)
         for name, model in trained.models.items():
             model_table.write_model(spark, model, f"{path}/{name}")
         tables.write_table(models.comparison(trained, labelled), f"{path}/comparison")  # last: now it is whole
         return trained, labelled
+    labelled = spark.read.parquet(f"{path}/labelled")
     fitted = {r.model: models.load_model(spark, f"{path}/{r.model}") for r in compared}
     metrics = {r.model: {m: r[m] for m in models.METRICS} for r in compared}
     champion = next(r.model for r in compared if r.selected)

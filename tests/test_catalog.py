@@ -1,12 +1,16 @@
 """Every catalog query against its SQL on the smallest tables."""
 
 import os
+from functools import partial
 
 import pytest
 from compare import connect, difference, entry
 
+from riskloom.operators import models
+from riskloom.plans import catalog
 from riskloom.plans.catalog import QUERIES
 from riskloom.plans.expected_sql import EXPECTED
+from riskloom.sources.staging import staging_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,3 +49,17 @@ def test_flagship(spark):
     rows = entry.entry(spark).collect()
     assert [r.risk_band for r in rows] == [1, 2, 3, 4, 5]
     assert sum(r.applicants for r in rows) == 150
+
+
+def test_labelled_applicants_are_made_once(spark, tmp_path, monkeypatch):
+    """Training and scoring read them where they were written, also when the models are found there."""
+    monkeypatch.setattr(models, "train", partial(models.train, boosting_rounds=1))
+    here = tmp_path / "tables"  # what is kept goes by the path of the tables
+    here.symlink_to(SF)
+    counts = []
+    for _ in range(2):
+        trained, labelled = catalog._trained(spark, str(here))
+        files = labelled.inputFiles()
+        assert files and all(f.removeprefix("file:").lstrip("/").startswith(staging_root(spark).removeprefix("file:").lstrip("/")) for f in files)
+        counts.append((labelled.count(), trained.champion))
+    assert counts[0] == counts[1] and counts[0][0] > 0
