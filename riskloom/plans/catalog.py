@@ -147,7 +147,8 @@ def s1_document_scan(spark, sf):
 def s2_first_documents(spark, sf):
     """The first 25 bureau files by name, and the statements that belong to them."""
     bureau, banking = _document_folders(spark, sf)
-    first = documents.read_first_documents(spark, bureau, 25)
+    # Written, as each of its uses would look through all archives again.
+    first = stage(documents.read_first_documents(spark, bureau, 25), "first")
     docs = _both_kinds(first, documents.read_matching_documents(spark, banking, first))
     return docs.select("kind", "file_name", "stem", F.try_parse_json("raw").isNotNull().alias("readable"))
 

@@ -63,3 +63,9 @@ def test_labelled_applicants_are_made_once(spark, tmp_path, monkeypatch):
         assert files and all(f.removeprefix("file:").lstrip("/").startswith(staging_root(spark).removeprefix("file:").lstrip("/")) for f in files)
         counts.append((labelled.count(), trained.champion))
     assert counts[0] == counts[1] and counts[0][0] > 0
+
+
+def test_first_documents_look_through_the_archives_once(spark):
+    """The first bureau documents are written; only the statements' archives are read for the result."""
+    files = QUERIES["s2_first_documents"](spark, SF).inputFiles()
+    assert any("/banking/" in f for f in files) and not any("/bureau/" in f for f in files)
