@@ -5,10 +5,12 @@ A convolutional network over characters, in numpy, scores each candidate togethe
 it. Matches of the patterns are findings whatever the network says; of the other candidates, those
 above a threshold are added as kind ``net``.
 
-The network is trained on findings that the patterns label: a bounded sample of distinct examples
-(``SAMPLE``), half of each label where there are enough. Three quarters of the values fit the weights and
-the rest, unseen, calibrate the score and set the threshold, the largest that keeps the wanted recall. In half of the positive examples the text before is blanked, so that the score doesn't
-rest on a keyword alone. The fit is seeded and reruns agree.
+The network is trained on all distinct findings that the patterns label. Three quarters of the values fit the
+weights and the rest, unseen, calibrate the score and set the threshold, the largest that keeps the wanted recall.
+In half of the positive examples the text before is blanked, so that the score doesn't rest on a keyword alone.
+More than ``SAMPLE`` examples are dealt by hash to shards of about as many: a round is one pass of each shard from
+the common weights, which are then averaged by the shards' sizes; labels count alike however many examples they
+have. The fit is seeded and reruns agree.
 
 Null and empty texts have no findings. Ties in position follow the order of the kinds. Only the id and
 text columns are read. Empty tables train nothing; then only the patterns find.
@@ -16,6 +18,7 @@ text columns are read. Empty tables train nothing; then only the patterns find.
 
 from __future__ import annotations
 
+import pickle
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -23,6 +26,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,8 +48,10 @@ PATTERNS = [
 KINDS = [kind for kind, *_ in PATTERNS] + ["net"]
 _TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
 
-#: Examples the network is trained on, at most; the sample is by hash over all distinct candidates of a label.
+#: Examples the network is trained on at a time; more are dealt to shards of about as many.
 SAMPLE = 4_000
+#: Passes over the examples, and shards whose weights are averaged at a time.
+ROUNDS, MERGED = 8, 64
 #: Characters of a candidate and of the text on each side that the network reads at a time. A longer
 #: candidate is read in windows, ``STEP`` apart, and is worth the largest score of them.
 VALUE, CONTEXT, STEP = 40, 20, 20
@@ -140,10 +146,12 @@ class Network:
         hidden = np.maximum(pooled @ w["hidden"] + w["hidden_bias"], 0)
         return patches, top, pooled, hidden, (hidden @ w["out"] + w["out_bias"])[:, 0]
 
-    def _gradients(self, x: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
         w = self.weights
         patches, top, pooled, hidden, logit = self._forward(x)
         d_logit = ((1 / (1 + np.exp(-logit)) - y) / len(y))[:, None].astype(np.float32)
+        if weight is not None:
+            d_logit *= weight[:, None].astype(np.float32)
         d_hidden = (d_logit @ w["out"].T) * (hidden > 0)
         d_pooled = (d_hidden @ w["hidden"].T) * (pooled > 0)
         rows = np.arange(len(x))[:, None]
@@ -181,40 +189,57 @@ class Network:
                 chosen[i] += logit[a : a + counts[i]].argmax()
         return chosen
 
+    def moments(self) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
+        """Adam's running means before the first step."""
+        return tuple({k: np.zeros_like(v) for k, v in self.weights.items()} for _ in range(2))
+
+    def one_pass(
+        self, x: np.ndarray, y: np.ndarray, counts: np.ndarray, rng: np.random.Generator, moments: tuple, step: int,
+        weight: np.ndarray | None = None, batch: int = 128, rate: float = 0.01,
+    ) -> int:
+        """Adam over shuffled batches; of an example of several windows, the one that scores highest so far."""
+        first, second = moments
+        chosen = self._highest(x, counts)
+        order = rng.permutation(len(y))
+        for at in range(0, len(y), batch):
+            some = order[at : at + batch]
+            step += 1
+            for k, g in self._gradients(x[chosen[some]], y[some], None if weight is None else weight[some]).items():
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                rise = (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                self.weights[k] -= (rate * rise).astype(np.float32)
+        return step
+
     def fit(
-        self, x: np.ndarray, y: np.ndarray, rounds: int = 8, batch: int = 128, rate: float = 0.01, counts: np.ndarray | None = None
+        self, x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, batch: int = 128, rate: float = 0.01, counts: np.ndarray | None = None
     ) -> None:
-        """Adam over shuffled batches; of an example of several windows, the one that scores highest so far."""
+        """Some passes over the examples."""
         counts = np.ones(len(y), np.int64) if counts is None else counts
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step = 0
+        moments, step = self.moments(), 0
         for _ in range(rounds):
-            chosen = self._highest(x, counts)
-            order = self.rng.permutation(len(y))
-            for at in range(0, len(y), batch):
-                some = order[at : at + batch]
-                step += 1
-                for k, g in self._gradients(x[chosen[some]], y[some]).items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    rise = (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-                    self.weights[k] -= (rate * rise).astype(np.float32)
+            step = self.one_pass(x, y, counts, self.rng, moments, step, batch=batch, rate=rate)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray, recall: float = RECALL, counts: np.ndarray | None = None) -> None:
         """Scale the logits on unseen findings; the threshold is the largest that keeps ``recall``."""
         counts = np.ones(len(y), np.int64) if counts is None else counts
         logit = _most(self._logits(x), counts).astype(np.float64)
-        target = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+        self._scale(logit, np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)))
+        positive = np.sort(self.score(x[np.repeat(y > 0, counts)], counts[y > 0]))
+        if len(positive):
+            self.threshold = float(positive[int((1 - recall) * len(positive))])
+
+    def _scale(self, logit: np.ndarray, target: np.ndarray, mean=np.mean) -> None:
+        """Slope and shift by which the logits come near the targets."""
         slope, shift = 1.0, 0.0
         for _ in range(200):
             p = 1 / (1 + np.exp(-np.clip(slope * logit + shift, -30, 30)))
-            slope -= 0.1 * float(np.mean((p - target) * logit)) / (1 + float(np.mean(logit**2)))
-            shift -= 0.1 * float(np.mean(p - target))
+            slope -= 0.1 * float(mean((p - target) * logit)) / (1 + float(mean(logit**2)))
+            shift -= 0.1 * float(mean(p - target))
         self.slope, self.shift = max(slope, 1e-3), shift
-        positive = np.sort(self.score(x[np.repeat(y > 0, counts)], counts[y > 0]))
-        if len(positive):
-            self.threshold = float(positive[int((1 - recall) * len(positive))])
+
+    def _scores(self, logit: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * logit.astype(np.float64) + self.shift, -30, 30)))
 
     def score(self, x: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
         """Score of each window, or of each example of ``counts`` windows: that of its highest."""
@@ -223,7 +248,7 @@ class Network:
         logit = self._logits(x)
         if counts is not None:
             logit = _most(logit, counts)
-        return 1 / (1 + np.exp(-np.clip(self.slope * logit.astype(np.float64) + self.shift, -30, 30)))
+        return self._scores(logit)
 
 
 def _most(logit: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -273,7 +298,10 @@ def examples(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _sample(df: DataFrame, text_col: str, sample: int) -> list:
     """(secret, points) of at most ``sample`` distinct examples: half of each label, or what the other leaves."""
-    found = stage(examples(df, text_col).distinct(), "examples")
+    return _first(stage(examples(df, text_col).distinct(), "examples"), sample)
+
+
+def _first(found: DataFrame, sample: int) -> list:
     sides = [
         found.where(F.col("secret") == label).orderBy(F.xxhash64("points"), "points").limit(sample).collect()
         for label in (0, 1)
@@ -295,11 +323,15 @@ def _held(rows: list) -> np.ndarray:
 
 
 def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Network | None:
-    """A network fitted on at most ``sample`` distinct examples, chosen by hash; None without both labels."""
-    rows = _sample(df, text_col, sample)
-    labels = np.array([r["secret"] for r in rows], np.float32)
-    if len(set(labels)) < 2:
+    """A network fitted on all distinct examples, more than ``sample`` of them in shards; None without both labels."""
+    found = stage(examples(df, text_col).distinct(), "examples")
+    sizes = {r["secret"]: r["n"] for r in found.groupBy("secret").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
         return None
+    if sum(sizes.values()) > sample:
+        return _train_in_shards(found, sample)
+    rows = _first(found, sample)
+    labels = np.array([r["secret"] for r in rows], np.float32)
     points = [np.frombuffer(r["points"], np.uint8) for r in rows]
     held = _held(rows)
 
@@ -315,6 +347,132 @@ def train(df: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> Networ
     return network
 
 
+def _label_weights(rows: DataFrame) -> dict[int, float]:
+    """What an example of each label counts, so that both labels count alike."""
+    sizes = {r["secret"]: r["n"] for r in rows.groupBy("secret").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {label: sum(sizes.values()) / (len(sizes) * n) for label, n in sizes.items()}
+
+
+def _train_in_shards(found: DataFrame, shard_size: int) -> Network:
+    """A network fitted on all of ``found`` (secret, points), which hold both labels.
+
+    Every fourth value by hash is held back with all its examples, if they and the rest hold both labels.
+    """
+    value = F.expr(f"substring(points, {CONTEXT + 1}, length(points) - {2 * CONTEXT})")
+    rows = found.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), value), F.lit(4)) == 3)
+    fitted, held = rows.where("NOT held"), rows.where("held")
+    if len(_label_weights(fitted)) < 2:
+        fitted = held = found
+    elif len(_label_weights(held)) < 2:
+        held = fitted
+    network = Network()
+    _fit_in_shards(network, fitted, shard_size)
+    _calibrate_on_all(network, held)
+    return network
+
+
+_STATE = "shard long, place long, n long, step long, state binary"
+
+
+def _state(network: Network, moments: tuple) -> np.ndarray:
+    return np.concatenate([d[k].ravel() for d in (network.weights, *moments) for k in network.weights]).astype(np.float64)
+
+
+def _restore(network: Network, moments: tuple, state: np.ndarray) -> None:
+    at = 0
+    for d in (network.weights, *moments):
+        for k, shape in [(k, v.shape) for k, v in network.weights.items()]:
+            size = int(np.prod(shape))
+            d[k] = state[at : at + size].reshape(shape).astype(np.float32)
+            at += size
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """One row for the states of a group: their mean by number of examples, summed in the order of places."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["place"])
+    n = sum(r["n"] for r in rows)
+    state = sum(np.frombuffer(r["state"]) * (r["n"] / n) for r in rows)
+    one = {"shard": rows[0]["shard"], "place": rows[0]["shard"], "n": n, "step": max(r["step"] for r in rows), "state": state.tobytes()}
+    return pa.Table.from_pylist([one], table.schema)
+
+
+def _fit_in_shards(network: Network, rows: DataFrame, shard_size: int) -> None:
+    """Rounds of a pass in each shard, every one from the mean of all shards' weights and running means."""
+    spark, weights = rows.sparkSession, _label_weights(rows)
+    shards = -(-rows.count() // shard_size)
+    dealt = rows.select("secret", "points", F.pmod(F.xxhash64(F.lit("shard"), "points"), F.lit(shards)).alias("shard"))
+    moments, step = network.moments(), 0
+    names = [field.split()[0] for field in _STATE.split(", ")]
+
+    def pass_of(number: int, shared: Broadcast):
+        def one(table: pa.Table) -> pa.Table:
+            own, means, taken = pickle.loads(pickle.dumps(shared.value))  # a worker's next shard starts from the same
+            shard = table["shard"][0].as_py()
+            rows_of = sorted(zip(table["secret"].to_pylist(), table["points"].to_pylist(), strict=True))
+            y = np.array([secret for secret, _ in rows_of], np.float32)
+            x, counts = _stacked([np.frombuffer(points, np.uint8) for _, points in rows_of])
+            weight = np.array([weights[secret] for secret, _ in rows_of])
+            taken = own.one_pass(x, y, counts, np.random.default_rng([number, shard]), means, taken, weight)
+            row = (shard, shard, len(y), taken, _state(own, means).tobytes())
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            return pa.Table.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds, strict=True)], names)
+
+        return one
+
+    for number in range(ROUNDS):
+        shared = spark.sparkContext.broadcast((network, moments, step))
+        states, left = dealt.groupBy("shard").applyInArrow(pass_of(number, shared), _STATE), shards
+        while left > MERGED:
+            states = states.withColumn("shard", F.expr(f"shard div {MERGED}")).groupBy("shard").applyInArrow(_merged, _STATE)
+            left = -(-left // MERGED)
+        row = _merged(states.toArrow()).to_pylist()[0]
+        _restore(network, moments, np.frombuffer(row["state"]))
+        step = row["step"]
+        shared.unpersist()
+
+
+#: Steps of a logit in which the examples are counted for the scale of the score, and the largest that is told apart.
+_FINE, _FAR = 256, 128
+
+
+def _calibrate_on_all(network: Network, rows: DataFrame, recall: float = RECALL) -> None:
+    """Scale and threshold from every row (secret, points): counts by logit, and the exact place of the threshold."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+
+    def logits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            if not batch.num_rows:
+                continue
+            x, counts = _stacked([np.frombuffer(p, np.uint8) for p in batch.column(1).to_pylist()])
+            logit = _most(shared.value._logits(x), counts)
+            bits = logit.view(np.uint32).astype(np.int64)
+            order = np.where(bits >> 31, 0xFFFFFFFF - bits, bits + (1 << 31))  # ascends with the logit
+            cell = np.round(np.clip(logit.astype(np.float64), -_FAR, _FAR) * _FINE).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell), pa.array(order)], ["secret", "cell", "order"])
+
+    scored = stage(rows.select("secret", "points").mapInArrow(logits, "secret int, cell long, order long"), "logits")
+
+    def counted(some: DataFrame, *by) -> list:
+        return some.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).orderBy(*by).collect()
+
+    cells = counted(scored, "secret", "cell")  # at most 2 * _FAR * _FINE + 1 of a label
+    label, cell, n = (np.array(c) for c in zip(*cells, strict=True))
+    positives, others = (int(n[label == k].sum()) for k in (1, 0))
+    target = np.where(label > 0, (positives + 1) / (positives + 2), 1 / (others + 2))
+    share = n / np.where(label > 0, max(positives, 1), max(others, 1))
+    network._scale(cell / _FINE, target, mean=lambda v: np.average(v, weights=share))
+    wanted, secret = int((1 - recall) * positives), scored.where("secret = 1")
+    place = F.col("order")
+    for shift in (16, 0):  # leading bits of the wanted one, then all of them: at most 65,536 numbers each
+        for r in counted(secret, F.shiftright(place, shift).alias("at")):
+            if wanted < r["n"]:
+                break
+            wanted -= r["n"]
+        secret = secret.where(F.shiftright(place, shift) == r["at"])
+    bits = r["at"] - (1 << 31) if r["at"] >> 31 else 0xFFFFFFFF - r["at"]
+    network.threshold = float(network._scores(np.array([bits], np.uint32).view(np.float32))[0])
+
+
 def find_secrets(
     df: DataFrame, network: Network | None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:

@@ -207,6 +207,33 @@ def test_secret_sample_is_of_distinct_examples_of_both_labels(docs_of):
     assert {r.secret for r in secrets.examples(docs_of([(1, many)])).collect()} == {1}
 
 
+def test_secret_network_learns_from_all_examples(docs_of, monkeypatch):
+    """More examples than a shard holds: the threshold is the exact place among all that were held back."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    value = lambda: "".join(rng.choices("0123456789abcdef", k=32))
+    token = lambda: "".join(rng.choices("ghijklmnop0123456789", k=20))
+    docs = docs_of([(i, f"words before {value()} and {token()} after") for i in range(400)])
+    network = secrets.train(docs, sample=100)
+    found = secrets.examples(docs).distinct()
+    inner = F.expr(f"substring(points, {secrets.CONTEXT + 1}, length(points) - {2 * secrets.CONTEXT})")
+    rows = found.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), inner), F.lit(4)) == 3).collect()
+    scores = {
+        label: np.sort(network.score(*secrets._stacked([np.frombuffer(r.points, np.uint8) for r in rows if r.held and r.secret == label])))
+        for label in (0, 1)
+    }
+    assert len(scores[1]) > 60 and len(scores[0]) > 60
+    assert network.threshold == pytest.approx(scores[1][int((1 - secrets.RECALL) * len(scores[1]))], rel=1e-4)
+    assert (scores[0] < network.threshold).mean() > 0.9
+    again = secrets.train(docs.repartition(7), sample=100)
+    assert again.threshold == network.threshold and all((again.weights[k] == w).all() for k, w in network.weights.items())
+    monkeypatch.setattr(secrets, "MERGED", 3)
+    merged = secrets.train(docs, sample=100)
+    assert all(np.allclose(merged.weights[k], w, atol=0.05) for k, w in network.weights.items())
+
+
 def test_secret_threshold_keeps_recall():
     import numpy as np
 
