@@ -1,18 +1,19 @@
 """All pairs of texts whose word n-grams overlap enough, by PartEnum signatures (operator 8).
 
-*Signatures.* Sets are put into size bands that grow by a factor of 4; a set near the upper edge of its
+*Signatures.* Small sets are put into size bands that grow by a factor of 4; a set near the upper edge of its
 band also takes part in the next one, so that sets similar enough always meet in the larger one's
 band. In a band the domain of shingle hashes is cut into parts. Similar sets of sizes r and s differ in
-at most ``d = (r + s)(1 - t)/(1 + t)`` shingles, so they differ in at most d parts. In the band of
-small sets there are d + 2 parts, and the subsets of two of them are enumerated: one subset agrees. In
-larger bands each subset is one part, and a set signs only its first d + 1 parts that aren't empty.
-Empty parts say nothing; a set with too few others also signs each of its shingles.
+at most ``d = (r + s)(1 - t)/(1 + t)`` shingles, so they differ in at most d parts. There are d + 2 parts,
+and the subsets of two of them are enumerated: one subset agrees. Empty parts say nothing; a set with too few
+others also signs each of its shingles. Larger sets are all in one band. Its parts are as fine as the domain,
+each a single shingle, and so is each subset: at most r(1 - t) of the full parts of a set are empty in a
+similar one, so of its full parts it signs only that many and one more, the first in the order of parts.
 
 *Candidates.* In each group under one signature, a set is first paired only with the one closest to it;
 that connects groups of copies. Any fixed order of parts will do for "first", so where a passage of many
 texts fills large groups that aren't connected, its signatures are moved to the end of the order and the
-texts concerned sign again. In the groups that are left, sets of different components meet by sizes and
-sketches alone. What these can't rule out becomes a pair and is verified on whole sets. A large group is cut
+texts concerned sign again. In the groups that are left, sets of different components that had any
+partner there meet by sizes and sketches alone. What these can't rule out becomes a pair and is verified on whole sets. A large group is cut
 into blocks, and a task that would make more than a few pairs for each of its members returns the members
 instead: they get their whole sets and meet there once more, where pairs are verified at once and at most one
 link per member is kept. So no link between different components is lost, none is wrong, and no step writes
@@ -51,9 +52,11 @@ BLOCK, SHINGLES = 4096, 1 << 20
 DENSE = 4
 #: Parities for a shingle in the wide sketches that candidates are tested with once more.
 WIDE = 8
+#: Members of a group that is large. Large groups with up to ``MIDDLE`` are compared many at a time.
+LARGE, MIDDLE = 16, 256
 #: Groups of more members than this, if still not connected after the first pass, have their
 #: signatures moved to the end of the order of parts; at most so many of them.
-LARGE, FREQUENT = 16, 200_000
+RESIGN, FREQUENT = 256, 200_000
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PAIRED_BELOW = 16  # bands that end here enumerate pairs of parts
@@ -81,40 +84,34 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray], np.ndarray]:
-    """How many parts a set signs in each band, its parts there in order, and what it signs besides."""
+    """How many parts a set signs in the band of large sets, its parts there in order, and what it signs besides."""
     n, nothing = len(shingles), np.empty(0, np.uint64)
     most = n * 100 // percent  # the largest set it can be similar to
     apart = (n + most) * (100 - percent) // (100 + percent)
     if apart == 0:  # similar means equal
-        return 0, [nothing, nothing], nothing
+        return 0, [nothing], nothing
     top = 4
     while top <= n:
         top *= 4
-    ordered, besides = [], [nothing]
+    ordered, besides = nothing, [nothing]
     for band in (top, 4 * top) if most >= top else (top,):
-        if band <= _PAIRED_BELOW:
-            largest = band - 1
-            parts = (largest + largest * 100 // percent) * (100 - percent) // (100 + percent) + 2
-        else:
-            parts = 2 * band  # far more than are signed, so that frequent ones can come last
+        if band > _PAIRED_BELOW:
+            ordered = mixed(mixed(shingles ^ _GOLD) + np.uint64(_PAIRED_BELOW))
+            continue
+        largest = band - 1
+        parts = (largest + largest * 100 // percent) * (100 - percent) // (100 + percent) + 2
         part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         begin = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1])
-        content = np.add.reduceat(mixed(shingles ^ _GOLD), begin)
-        if band <= _PAIRED_BELOW:
-            whole = np.zeros(parts, np.uint64)
-            whole[part[begin].astype(np.int64)] = content
-            i, j = np.triu_indices(parts, 1)
-            full = (whole[i] != 0) | (whole[j] != 0)
-            i, j = i[full], j[full]
-            name = np.uint64(band) * np.uint64(1 << 32) + (i * parts + j).astype(np.uint64)
-            besides.append(mixed(mixed(whole[i] + _GOLD) + mixed(whole[j] - _GOLD) * np.uint64(3) + mixed(name)))
-            ordered.append(nothing)
-        else:
-            names = part[begin] + np.uint64(band) * np.uint64(1 << 32)
-            ordered.append(mixed(content + mixed(names)))
+        whole = np.zeros(parts, np.uint64)
+        whole[part[begin].astype(np.int64)] = np.add.reduceat(mixed(shingles ^ _GOLD), begin)
+        i, j = np.triu_indices(parts, 1)
+        full = (whole[i] != 0) | (whole[j] != 0)
+        i, j = i[full], j[full]
+        name = np.uint64(band) * np.uint64(1 << 32) + (i * parts + j).astype(np.uint64)
+        besides.append(mixed(mixed(whole[i] + _GOLD) + mixed(whole[j] - _GOLD) * np.uint64(3) + mixed(name)))
         if len(begin) <= apart:  # too few parts to be sure that one agrees
             besides.append(mixed(shingles + mixed(np.array([band], np.uint64) + _GOLD)))
-    return apart + 1, [*ordered, nothing][:2], np.concatenate(besides)
+    return n * (100 - percent) // 100 + 1, [ordered], np.concatenate(besides)
 
 
 def sketch(shingles: np.ndarray, factor: int = 1) -> np.ndarray:
@@ -337,20 +334,32 @@ def _whole(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]
         yield table, np.flatnonzero(np.concatenate([[True], (np.diff(keys, axis=0) != 0).any(axis=1)]))
 
 
-def _pairs_of_small(
-    sketches: Sketches, begin: np.ndarray, n: np.ndarray, component: np.ndarray, percent: int
+def _pairs_of_runs(
+    sketches: Sketches, begin: np.ndarray, side: np.ndarray, n: np.ndarray, component: np.ndarray, percent: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, least difference) of promising pairs inside runs, for all short runs at once."""
-    run = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(n))))
-    found = [(np.empty(0, np.int64),) * 3]
-    for step in range(1, int(np.bincount(run).max(initial=1))):
-        i = np.flatnonzero(run[:-step] == run[step:])
-        i = i[(component[i] != component[i + step]) & (n[i + step] * percent <= n[i] * 100)]
-        for at in range(0, len(i), 4096):
-            some = i[at : at + 4096]
-            differ = sketches.between(some, some + step)
-            near = differ * (100 + percent) <= (n[some] + n[some + step]) * (100 - percent)
-            found.append((some[near], some[near] + step, differ[near]))
+    """(i, j, least difference) of promising pairs between the two blocks of a run, or inside one, for all runs at once."""
+    ends = np.append(begin[1:], len(n))
+    run = np.repeat(np.arange(len(begin)), ends - begin)
+    block = np.cumsum(np.concatenate([[0], (np.diff(run) != 0) | (np.diff(side) != 0)]))
+    left, right = block[begin][run], block[ends - 1][run]
+    wide = int(n.max()) * 100 // percent + 2
+    key = block * wide + n  # ascends, as each block is sorted by size
+    low = np.searchsorted(key, right * wide + -(-n * percent // 100))
+    low = np.where(left == right, np.arange(len(n)) + 1, low)
+    high = np.searchsorted(key, right * wide + n * 100 // percent, side="right")
+    others = np.where(block == left, np.maximum(high - low, 0), 0)
+    done = np.concatenate([[0], np.cumsum(others)])
+    found, at = [(np.empty(0, np.int64),) * 3], 0
+    while at < len(n):
+        to = max(at + 1, int(np.searchsorted(done, done[at] + (1 << 15), side="right")) - 1)
+        i = np.repeat(np.arange(at, to), others[at:to])
+        j = low[i] + np.arange(done[at], done[to]) - done[i]
+        apart = component[i] != component[j]
+        i, j = i[apart], j[apart]
+        differ = sketches.between(i, j)
+        near = differ * (100 + percent) <= (n[i] + n[j]) * (100 - percent)
+        found.append((i[near], j[near], differ[near]))
+        at = to
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
@@ -377,8 +386,8 @@ _MEMBER = ["group", "x", "y", "block", "node", "component", "n"]
 def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
     """What sizes and sketches don't rule out within groups; members of one component don't meet.
 
-    ``rows`` are (group, blocks, node, component, n, sketch). By ``how``: for each member the pair (a, b) with the
-    ``closest`` in its blocks; or ``all`` pairs, where a task that would make more than ``DENSE`` a member of a
+    ``rows`` are (group, blocks, node, component, n, sketch). By ``how``: (group, node, partner) of each member that
+    has any, with the ``closest`` in its blocks; or ``all`` pairs (a, b), where a task that would make more than ``DENSE`` a member of a
     large group returns those members that are in any pair instead, as (group, x, y, block, node, component, n).
     """
 
@@ -389,12 +398,24 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
         first = np.concatenate([[True], np.diff(one) != 0]) if len(one) else np.empty(0, bool)
         return one[first], two[first]
 
+    def returned(table: pa.Table, some: np.ndarray) -> pa.RecordBatch:
+        member = [_column(table, c).take(pa.array(some)) for c in _MEMBER]
+        return pa.RecordBatch.from_arrays([*member, *[pa.nulls(len(some), pa.int64())] * 2], [*_MEMBER, "a", "b"])
+
     def compare(table: pa.Table, begin: np.ndarray) -> Iterator[pa.RecordBatch]:
         side, node, component, n = (table[c].to_numpy() for c in ("block", "node", "component", "n"))
-        if len(begin) > 1 or len(n) <= LARGE:
-            i, j, differ = _pairs_of_small(Sketches(_column(table, "sketch")), begin, n, component, percent)
+        sketches = Sketches(_column(table, "sketch"))
+        if len(begin) > 1 or len(n) <= MIDDLE:
+            i, j, differ = _pairs_of_runs(sketches, begin, side, n, component, percent)
+            if how == "all":
+                members = np.diff(np.append(begin, len(n)))
+                run = np.repeat(np.arange(len(begin)), members)
+                dense = (members > LARGE) & (np.bincount(run[i], minlength=len(begin)) > DENSE * members)
+                inside = dense[run[i]]
+                if inside.any():
+                    yield returned(table, np.union1d(i[inside], j[inside]))
+                    i, j = i[~inside], j[~inside]
         else:
-            sketches = Sketches(_column(table, "sketch"))
             least, nearest = np.full(len(n), np.iinfo(np.int64).max), np.full(len(n), -1)
             kept, pairs = [(np.empty(0, np.int64),) * 2], 0
             for one, others, differ in _pairs_of_blocks(sketches, side, n, component, percent):
@@ -409,38 +430,39 @@ def _promising(rows: DataFrame, how: str, percent: int) -> DataFrame:
             i = np.flatnonzero(nearest >= 0)
             j, differ = nearest[i], least[i]
             if how == "all" and pairs > DENSE * len(n):
-                member = [_column(table, c).take(pa.array(i)) for c in _MEMBER]
-                yield pa.RecordBatch.from_arrays([*member, *[pa.nulls(len(i), pa.int64())] * 2], [*_MEMBER, "a", "b"])
+                yield returned(table, i)
                 return
             if how == "all":
                 i, j = (np.concatenate(c) for c in zip(*kept, strict=True))
         if how == "closest":
             i, j = closest(i, j, differ)  # in a large group it is known already, and this changes nothing
-        if len(i):
+        if len(i) and how == "closest":
+            group = _column(table, "group").take(pa.array(i))
+            yield pa.RecordBatch.from_arrays([group, pa.array(node[i]), pa.array(node[j])], ["group", "node", "partner"])
+        elif len(i):
             a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
             links = [pa.array(a, pa.int64()), pa.array(b, pa.int64())]
-            if how == "closest":
-                yield pa.RecordBatch.from_arrays(links, ["a", "b"])
-            else:
-                empty = [pa.nulls(len(a), table.schema.field(c).type) for c in _MEMBER]
-                yield pa.RecordBatch.from_arrays([*empty, *links], [*_MEMBER, "a", "b"])
+            empty = [pa.nulls(len(a), table.schema.field(c).type) for c in _MEMBER]
+            yield pa.RecordBatch.from_arrays([*empty, *links], [*_MEMBER, "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, begin in _runs(batches):
             ends = np.append(begin[1:], table.num_rows)
-            long = np.flatnonzero(ends - begin > LARGE)
+            most = np.cumsum((ends - begin) ** 2)  # twice the pairs there can be
             at = 0
-            for k in long:  # short runs between long ones are compared together
-                if k > at:
-                    yield from compare(table.slice(begin[at], begin[k] - begin[at]), begin[at:k] - begin[at])
-                yield from compare(table.slice(begin[k], ends[k] - begin[k]), np.zeros(1, np.int64))
-                at = k + 1
-            if at < len(begin):
-                yield from compare(table.slice(begin[at]), begin[at:] - begin[at])
+            while at < len(begin):  # shorter runs are compared together, long ones alone
+                to = int(np.searchsorted(most, (most[at - 1] if at else 0) + MIDDLE * MIDDLE * 8, side="right"))
+                if ends[at] - begin[at] > MIDDLE:
+                    to = at + 1
+                else:
+                    long = np.flatnonzero(ends[at:to] - begin[at:to] > MIDDLE)
+                    to = max(at + 1, at + int(long[0]) if len(long) else to)
+                yield from compare(table.slice(begin[at], ends[to - 1] - begin[at]), begin[at:to] - begin[at])
+                at = to
 
     keyed = _blocks(rows)
     if how == "closest":
-        return keyed.mapInArrow(run, "a long, b long").distinct()
+        return keyed.mapInArrow(run, "group long, node long, partner long")
     members = "group long, x int, y int, block int, node long, component long, n long"
     return keyed.mapInArrow(run, f"{members}, a long, b long").distinct()
 
@@ -541,18 +563,22 @@ def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[D
     brief = brief.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     brief = stage(brief, "sketches")
     # First everyone is paired with whom it is closest to. That settles copies, and copies of one original.
-    pairs = _meet(_open(groups, brief, None), brief, "closest", percent)
-    found = stage(_verified(docs, nodes, pairs, size, percent), "links")
+    met = _meet(_open(groups, brief, None), brief, "closest", percent)
+    pairs = met.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
+    found = stage(_verified(docs, nodes, stage(pairs, "distinct"), size, percent), "links")
     labels = stage(components(found), "labels")
+    # All of a group have been compared, so who has no partner in it by sizes and sketches need not meet there again.
+    partnered = broadcast_if_small(stage(met.select("group", "node").distinct(), "partnered"))
+    groups = stage(groups.join(partnered, ["group", "node"], "left_semi"), "groups")
     # Large groups without much in common: their nodes sign again, these signatures last.
     still = stage(_open(groups, brief, labels), "open")
-    large = still.where(F.col("members") > LARGE)
+    large = still.where(F.col("members") > RESIGN)
     frequent = large.groupBy("signature").agg(F.max("members").alias("n"))
     frequent = frequent.orderBy(F.desc("n"), "signature").limit(FREQUENT).select("signature")
     concerned = stage(large.select("node").distinct(), "concerned")
     again = _again(_texts_of(docs, nodes, concerned), frequent, size, percent)
     again = _groups(again.select("node", F.explode("signatures").alias("signature")))
-    rest = still.where(F.col("members") <= LARGE).select("group", "node", "signature")
+    rest = still.where(F.col("members") <= RESIGN).select("group", "node", "signature")
     groups = stage(rest.unionByName(again.select("group", "node", "signature")), "groups")
     # Then everyone meets everyone that isn't in the same component yet.
     left = stage(_open(groups, brief, labels), "open")

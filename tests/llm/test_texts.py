@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.llm import byte_bpe, jaccard, licenses, repeats, secrets
+from riskloom.llm.common import lists
 
 WORDS = "the of a red fox Runs over lazy DOG and then sleeps in old barn near river Été über naïve".split()
 
@@ -107,6 +108,58 @@ def test_jaccard_dense_and_small_groups_in_one_task(spark):
     assert {x for r in links for x in r} == set(range(2, 58))
 
 
+def test_jaccard_signing_again(docs_of, monkeypatch):
+    """The same with groups that sign again, some compared together and some alone."""
+    monkeypatch.setattr(jaccard, "RESIGN", 1)
+    monkeypatch.setattr(jaccard, "MIDDLE", 3)
+    test_jaccard(docs_of, monkeypatch, 2, 2, 3)
+
+
+def test_only_members_with_partners_meet_again(spark):
+    """The first pass names each member of a group that has a partner there, and no others."""
+    rng = np.random.default_rng(6)
+    shingles = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    sets = {k: shingles if k < 25 else rng.integers(0, 1 << 63, 40, dtype=np.uint64) for k in range(60)}
+    sets = {k: np.sort(np.append(s, np.uint64(k + 1))) for k, s in sets.items()}
+    rows = [(g, 1, k, k, 41, jaccard.sketch(s).tolist()) for k, s in sets.items() for g in (1, 2) if g == 1 or k >= 24]
+    schema = "group long, blocks int, node long, component long, n long, sketch array<long>"
+    got = jaccard._promising(spark.createDataFrame(rows, schema).coalesce(1), "closest", 75).collect()
+    assert sorted((r.group, r.node) for r in got) == [(1, k) for k in range(25)]
+    assert all(r.partner < 25 and r.partner != r.node for r in got)
+
+
+def test_pairs_of_runs():
+    """Runs of one block and of two give just the pairs that sizes and sketches allow."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    rows = []
+    for run in range(12):
+        for _ in range(int(rng.integers(1, 40))):
+            some = np.unique(base[: int(rng.integers(20, 60))])
+            rows.append((run, int(rng.integers(0, 1 + run % 2)), len(some), int(rng.integers(0, 9)), some))
+    rows.sort(key=lambda r: r[:3])
+    run, side, n, component = (np.array(c) for c in list(zip(*rows, strict=True))[:4])
+    sketches = jaccard.Sketches(lists([jaccard.sketch(r[4]) for r in rows]))
+    begin = np.flatnonzero(np.concatenate([[True], np.diff(run) != 0]))
+    i, j, _ = jaccard._pairs_of_runs(sketches, begin, side, n, component, 75)
+    want = set()
+    for k in range(len(rows)):
+        for m in range(k + 1, len(rows)):
+            met = run[k] == run[m] and (side[k] != side[m] or len(set(side[run == run[k]])) == 1)
+            fits = 75 * max(n[k], n[m]) <= 100 * min(n[k], n[m]) and component[k] != component[m]
+            if met and fits and int(sketches.between(np.array([k]), np.array([m]))[0]) * 175 <= (n[k] + n[m]) * 25:
+                want.add((k, m))
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(want)
+    assert len(want) > 500
+
+
+def test_large_sets_sign_a_quarter():
+    """One band and n(1 - t) + 1 parts, whatever the size; that decides what is shuffled."""
+    for n in (16, 50, 60, 200, 900):
+        signs, ordered, besides = jaccard.signatures(np.sort(np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64)), 75)
+        assert sum(len(p[:signs]) for p in ordered) + len(besides) == n // 4 + 1
+
+
 def test_jaccard_of_nothing(docs_of):
     assert jaccard.similar_components(docs_of([])).collect() == []
     assert [tuple(r) for r in jaccard.similar_components(docs_of([(1, None)])).collect()] == [(1, 0, 1)]
