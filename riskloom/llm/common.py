@@ -100,11 +100,15 @@ def lists(parts: list[np.ndarray], kind: type = np.int64) -> pa.ListArray:
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes, so that a task's memory stays small."""
+    """The same rows in batches of about ``size`` bytes, so that a task's memory stays small.
+
+    After the last one, freed memory is given back: the worker may wait idle while others need it.
+    """
     for batch in batches:
         step = max(1, int(batch.num_rows * size / max(batch.nbytes, size)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+    trim_memory()
 
 
 def broadcast_if_small(df: DataFrame) -> DataFrame:
@@ -149,11 +153,14 @@ def text_key(text: str) -> list:
 
 
 def release_memory() -> None:
-    """Give freed memory back to the system; a worker that served earlier stages may hold much of it.
-
-    Only the C library of Linux offers that; elsewhere nothing happens.
-    """
+    """Give memory back to the system, also what cycles hold; a worker that served earlier stages may hold much of it."""
     gc.collect()
+    trim_memory()
+
+
+def trim_memory() -> None:
+    """Give freed memory of Arrow and of the C library back to the system; not all of them offer that."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):

@@ -42,6 +42,7 @@ from riskloom.llm.common import (
     mixed,
     small_batches,
     text_key,
+    trim_memory,
 )
 from riskloom.llm.graph import components
 from riskloom.sources.staging import stage
@@ -324,6 +325,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndar
         held.append(batch.slice(cut))
         last = keys[-1]
     yield from _whole(held)
+    trim_memory()
 
 
 def _whole(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:

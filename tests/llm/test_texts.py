@@ -6,10 +6,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, jaccard, licenses, repeats, secrets
+from riskloom.llm import byte_bpe, common, jaccard, licenses, repeats, secrets
 from riskloom.llm.common import lists
 
 WORDS = "the of a red fox Runs over lazy DOG and then sleeps in old barn near river Été über naïve".split()
@@ -160,6 +161,18 @@ def test_large_sets_sign_a_quarter():
         assert sum(len(p[:signs]) for p in ordered) + len(besides) == n // 4 + 1
 
 
+def test_memory_is_given_back_after_the_last_batch(monkeypatch):
+    """An idle worker must not hold what it needed, as others run beside it."""
+    given, batch = [], pa.record_batch([pa.array([1, 2, 3])], ["n"])
+    for module in (common, jaccard):
+        monkeypatch.setattr(module, "trim_memory", lambda: given.append(1))
+    assert sum(b.num_rows for b in common.small_batches(iter([batch, batch]))) == 6
+    assert given == [1]
+    keyed = pa.record_batch([pa.array([1, 1, 2])] * 3, ["group", "x", "y"])
+    assert sum(t.num_rows for t, _ in jaccard._runs(iter([keyed]))) == 3
+    assert given == [1, 1]
+
+
 def test_jaccard_of_nothing(docs_of):
     assert jaccard.similar_components(docs_of([])).collect() == []
     assert [tuple(r) for r in jaccard.similar_components(docs_of([(1, None)])).collect()] == [(1, 0, 1)]
