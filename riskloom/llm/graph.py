@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from riskloom.sources.staging import stage
 
+#: Edges a task may have. A round over fewer than that needs no shuffle; one over more has a task for each so many.
+EDGES = 50_000
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """Each node with the least of itself and its neighbours."""
@@ -29,10 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        tasks = now[0] // EDGES + 1
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(tasks)
         large = both.join(_least(both), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.distinct(), "stars")
+        large = stage(large.distinct().coalesce(tasks), "stars").coalesce(tasks)
         least = _least(large)
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        small = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        edges, before = stage(small, "edges"), now
+        small = small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").coalesce(tasks)
+        edges, before = stage(small.distinct().coalesce(tasks), "edges").coalesce(tasks), now

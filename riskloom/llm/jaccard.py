@@ -58,6 +58,8 @@ LARGE, MIDDLE = 16, 256
 #: Groups of more members than this, if still not connected after the first pass, have their
 #: signatures moved to the end of the order of parts; at most so many of them.
 RESIGN, FREQUENT = 256, 200_000
+#: Bits of a signature. Different ones that look the same cost a comparison more, never a link.
+BITS = 48
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _PAIRED_BELOW = 16  # bands that end here enumerate pairs of parts
@@ -115,6 +117,11 @@ def signatures(shingles: np.ndarray, percent: int) -> tuple[int, list[np.ndarray
     return n * (100 - percent) // 100 + 1, [ordered], np.concatenate(besides)
 
 
+def _shortened(signed: np.ndarray) -> np.ndarray:
+    """Signatures of ``BITS`` bits, as signed numbers; there are so many that their bytes are most of what is shuffled."""
+    return (signed >> np.uint64(64 - BITS)).view(np.int64)
+
+
 def sketch(shingles: np.ndarray, factor: int = 1) -> np.ndarray:
     """Parities of hashes; where those of two sets differ, so do the sets, at least as often.
 
@@ -199,7 +206,7 @@ def _nodes(df: DataFrame, size: int, percent: int) -> DataFrame:
         sizes = pa.array([len(s) for s in sets], pa.int64())
         signed = [signatures(s, percent) for s in sets]
         columns = [
-            lists([np.concatenate([*(parts[: x[0]] for parts in x[1]), x[2]]).view(np.int64) for x in signed]),
+            lists([_shortened(np.concatenate([*(parts[: x[0]] for parts in x[1]), x[2]])) for x in signed]),
             lists([sketch(s) for s in sets]),
         ]
         names = ["id", "k1", "k2", "node", "n_shingles", "signatures", "sketch"]
@@ -222,11 +229,11 @@ def _again(df: DataFrame, frequent: DataFrame, size: int, percent: int) -> DataF
         signs, ordered, besides = signatures(shingles, percent)
         out = [besides]
         for parts in ordered:
-            known, signed = shared.value, parts.view(np.int64)
+            known, signed = shared.value, _shortened(parts)
             place = np.minimum(np.searchsorted(known, signed), max(len(known) - 1, 0))
             is_late = known[place] == signed if len(known) else np.zeros(len(parts), bool)
             out.append(np.concatenate([parts[~is_late], parts[is_late]])[:signs])
-        return np.concatenate(out).view(np.int64)
+        return _shortened(np.concatenate(out))
 
     def make(batch: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         nodes = pa.array([set_id(s) for s in sets], pa.int64())
@@ -299,14 +306,18 @@ def _blocks(rows: DataFrame) -> DataFrame:
     """Each member of a group with every other block of it: (group, x, y, block, ...), dealt and sorted so.
 
     Members are dealt to blocks by hash. The task of (x, y) holds two blocks, or one if they are the same.
+    Groups of one ``anchor``, if there is that column, go to one task: what they share of members and sketches
+    lies together there and is written in little space.
     """
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")
-    rest = [c for c in rows.columns if c not in ("group", "blocks")]
-    keyed = rows.select("group", *rest, block, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"))
+    rest = [c for c in rows.columns if c not in ("group", "blocks", "anchor")]
+    anchor = F.col("anchor" if "anchor" in rows.columns else "group").alias("_anchor")
+    keyed = rows.select(anchor, "group", *rest, block, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"))
     keyed = keyed.select(
-        "group", F.least("block", "_other").alias("x"), F.greatest("block", "_other").alias("y"), "block", *rest
+        "_anchor", "group", F.least("block", "_other").alias("x"), F.greatest("block", "_other").alias("y"), "block", *rest
     )
-    return keyed.repartition("group", "x", "y").sortWithinPartitions("group", "x", "y", "block", "n", "node")
+    keyed = keyed.repartition("_anchor", "x", "y").drop("_anchor")
+    return keyed.sortWithinPartitions("group", "x", "y", "block", "n", "node")
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -537,29 +548,33 @@ def _verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
 
 
 def _open(groups: DataFrame, brief: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """(group, node, signature, component, members, blocks) of groups that hold several components."""
+    """(group, node, signature, component, members, anchor, blocks) of groups that hold several components.
+
+    The anchor is a group's least node, as groups that share a passage or copies mostly share that; large ones stand alone.
+    """
     named = groups.join(brief.select("node", "n"), "node").withColumn("component", F.col("node"))
     if labels is not None:
         named = named.drop("component").join(labels, "node", "left")
         named = named.withColumn("component", F.coalesce("component", "node"))
     several = named.groupBy("group").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"),
-        F.count(F.lit(1)).alias("members"), F.sum("n").alias("_n"),
+        F.count(F.lit(1)).alias("members"), F.sum("n").alias("_n"), F.min("node").alias("_least"),
     ).where("_low <> _high")
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("_n") / SHINGLES)).cast("int")
     blocks = F.when(F.col("members") > LARGE, blocks).otherwise(1).alias("blocks")
-    return named.drop("n").join(several.select("group", "members", blocks), "group")
+    anchor = F.when(F.col("members") > MIDDLE, F.col("group")).otherwise(F.col("_least")).alias("anchor")
+    return named.drop("n").join(several.select("group", "members", anchor, blocks), "group")
 
 
 def _meet(named: DataFrame, brief: DataFrame, how: str, percent: int) -> DataFrame:
     """What is promising in groups, with what is compared beside each member."""
-    rows = named.select("group", "node", "component", "blocks").join(brief, "node")
+    rows = named.select("group", "anchor", "node", "component", "blocks").join(brief, "node")
     return stage(_promising(rows, how, percent), "pairs")
 
 
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) between nodes that connect each component, and (node, component)."""
-    signed = nodes.select("node", F.explode("signatures").alias("signature"))
+    signed = nodes.select("node", F.explode("signatures").alias("signature"))  # next to each other, equal nodes take little space
     groups = stage(_groups(signed), "groups")
     brief = nodes.join(broadcast_if_small(stage(groups.select("node").distinct(), "signers")), "node", "left_semi")
     brief = brief.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
@@ -604,7 +619,7 @@ def similar_components(
     The component is named by the smallest id in it.
     """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    nodes = stage(_nodes(docs, size, percent), "nodes")
+    nodes = stage(_nodes(docs, size, percent), "nodes", "zstd")
     _, labels = links(docs, nodes, size, percent)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.select("id", "n_shingles", "component")

@@ -24,8 +24,8 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written table."""
+def stage(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """Write ``df`` once, by the session's compression or the given one, and return a scan of the written table."""
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.llm import byte_bpe, common, jaccard, licenses, repeats, secrets
+from riskloom.llm import byte_bpe, common, graph, jaccard, licenses, repeats, secrets
 from riskloom.llm.common import lists
 
 WORDS = "the of a red fox Runs over lazy DOG and then sleeps in old barn near river Été über naïve".split()
@@ -173,6 +173,47 @@ def test_memory_is_given_back_after_the_last_batch(monkeypatch):
     assert given == [1, 1]
 
 
+def test_rounds_over_few_edges_stay_in_few_tasks(spark, monkeypatch):
+    """Components of few edges need no shuffle after the first pass, whatever the number of partitions."""
+    files = []
+    kept = graph.stage
+
+    def staged(df, name):
+        out = kept(df, name)
+        files.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(graph, "stage", staged)
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = graph.components(spark.createDataFrame([(i, i + 1) for i in range(300) if i % 100 != 99], "a long, b long")).collect()
+        many, files[:] = list(files), []
+        monkeypatch.setattr(graph, "EDGES", 50)  # several tasks
+        again = graph.components(spark.createDataFrame([(i, i + 1) for i in range(300) if i % 100 != 99], "a long, b long")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again)) == [(i, i // 100 * 100) for i in range(300)]
+    assert all(n == 1 for _, n in many[1:])
+    assert all(n <= 297 // 50 + 1 for _, n in files[1:])
+
+
+def test_signatures_are_short_and_groups_of_one_anchor_lie_together(spark, docs_of):
+    """Signatures leave two bytes empty; groups with the same least member go to the same task."""
+    nodes = jaccard._nodes(docs_of(messy()).select(F.col("doc_id").alias("id"), "text"), 5, 75).collect()
+    signed = [s for r in nodes for s in r.signatures]
+    assert signed and all(0 <= s < 1 << 48 for s in signed)
+    rows = [(g, 1, 7, k, k, 41, [k]) for g in range(40) for k in range(3)]
+    schema = "group long, blocks int, anchor long, node long, component long, n long, sketch array<long>"
+    dealt = jaccard._blocks(spark.createDataFrame(rows, schema))
+    assert dealt.columns == ["group", "x", "y", "block", "node", "component", "n", "sketch"]
+    assert dealt.select(F.spark_partition_id()).distinct().count() == 1
+    assert dealt.count() == len(rows)
+
+
 def test_jaccard_of_nothing(docs_of):
     assert jaccard.similar_components(docs_of([])).collect() == []
     assert [tuple(r) for r in jaccard.similar_components(docs_of([(1, None)])).collect()] == [(1, 0, 1)]
