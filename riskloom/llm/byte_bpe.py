@@ -9,6 +9,9 @@ deterministic state holds the open alternatives with what each still has to writ
 written as soon as all alternatives agree on it. No alternative is open for longer than the longest
 token, so the lookahead is bounded, and a piece of any length takes linear time.
 
+Most pieces are short, and of those that no earlier text had there are too many for the states one can keep.
+The new ones of a batch go through the nondeterministic form together, as arrays, a token of each at a time.
+
 Null and empty texts have no ids. Repeated rows and ties need no care: each row stands for itself.
 Only the id and text columns are read, so other columns may have any name.
 """
@@ -24,12 +27,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from riskloom.llm.common import MEMO, Memo, release_memory, small_batches, texts_of
+from riskloom.llm.common import MEMO, release_memory, small_batches, texts_of
 
 #: Deterministic states a transducer keeps; where they end, it runs in its nondeterministic form.
 STATES = 60_000
 #: Words, and pieces of words, whose ids a worker remembers, for two generations.
 REMEMBER = 250_000
+#: Bytes of a piece that is encoded alone, by the deterministic form; shorter ones go together, so many at a time.
+LONG, TOGETHER = 48, 1 << 15
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -230,47 +235,238 @@ class State:
         self.moves: dict[int, tuple[State, tuple[int, ...]]] = {}
 
 
-class Pieces(Memo):
-    """Pieces to their packed ids."""
+class Table:
+    """Whole numbers from 0 on by 64-bit keys, looked up for many keys at once; -1 for keys that aren't there."""
+
+    def __init__(self, pairs: dict[int, int]) -> None:
+        bits = max(4 * len(pairs), 16).bit_length()
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, -1, np.int32)
+        keys, values = (np.fromiter(x, np.int64, len(pairs)) for x in (pairs.keys(), pairs.values()))
+        place = self._places(keys)
+        while len(keys):  # who finds its place taken goes to the next one
+            free = np.flatnonzero(self.keys[place] < 0)
+            taken = free[np.unique(place[free], return_index=True)[1]]
+            self.keys[place[taken]], self.values[place[taken]] = keys[taken], values[taken]
+            rest = np.ones(len(keys), bool)
+            rest[taken] = False
+            keys, values, place = keys[rest], values[rest], (place[rest] + 1) & (len(self.keys) - 1)
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        place = self._places(keys)
+        there = self.keys[place]
+        out = self.values[place]
+        odd = np.flatnonzero((there != keys) & (there >= 0))
+        while len(odd):
+            next_place = (place[odd] + 1) & (len(self.keys) - 1)
+            place[odd] = next_place
+            there, out[odd] = self.keys[next_place], self.values[next_place]
+            odd = odd[(there != keys[odd]) & (there >= 0)]
+        out[self.keys[place] != keys] = -1
+        return out
+
+
+class Together:
+    """The nondeterministic transducer run over many pieces at once, a step of all pieces after the other.
+
+    Each piece goes depth first, longest token first, like ``Transducer.encode`` where its states end; the
+    places in the trie and the pairs of tokens are looked up in arrays.
+    """
 
-    def __init__(self, transducer: Transducer, limit: int = MEMO) -> None:
-        super().__init__(limit)
+    def __init__(self, transducer: Transducer) -> None:
         self.transducer = transducer
+        ranks = transducer.ranks
+        self.moves = Table({n << 8 | byte: to for n, following in enumerate(transducer.trie) for byte, to in following.items()})
+        self.token_at = np.array(transducer.token_at, np.int32)
+        across = {}
+        for token, rank in ranks.items():
+            for cut in range(1, len(token)):
+                a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    across[a << 32 | b] = rank
+        self.across = Table(across)
+        n = max(transducer.bytes, default=0) + 1
+        self.length = np.zeros(n, np.int32)
+        self.halves = np.full((2, n), -1, np.int64)
+        for rank, token in transducer.bytes.items():
+            self.length[rank] = len(token)
+        for rank, halves in transducer.parts.items():
+            self.halves[:, rank] = halves
+
+    def follows(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``Transducer.follows`` for many pairs; a negative ``a`` stands for the beginning."""
+        good = np.ones(len(a), bool)
+        at = np.flatnonzero(a >= 0)
+        a, b = a[at].astype(np.int64), b[at].astype(np.int64)
+        a_used = np.full(len(at), np.iinfo(np.int64).max)
+        b_used = a_used.copy()
+        while len(at):
+            across = self.across.get(a << 32 | b)
+            bad = (across >= 0) & (across < a_used) & (across <= b_used)
+            good[at[bad]] = False
+            in_a, in_b = self.halves[1][a], self.halves[0][b]
+            on = ~bad & ((in_a >= 0) | (in_b >= 0))
+            at, a, b, a_used, b_used, in_a, in_b = (x[on] for x in (at, a, b, a_used, b_used, in_a, in_b))
+            left = (in_b < 0) | ((in_a >= 0) & (a > b))
+            a_used, b_used = np.where(left, a, a_used), np.where(left, b_used, b)
+            a, b = np.where(left, in_a, a), np.where(left, b, in_b)
+        return good
 
-    def find(self, piece: str) -> bytes:
-        return array("I", self.transducer.encode(piece.encode("utf-8"))).tobytes()
-
-
-class Words(Memo):
-    """What stands between two spaces, with the space before it, to packed ids.
-
-    The pattern always splits before a space that no white space follows, so such stretches can be
-    split by it one by one.
+    def encode(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of every piece; long ones, and those with many dead ends, go one by one."""
+        whole, one = self.transducer.ranks.get, self.transducer.encode
+        out = [b""] * len(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            rank = whole(piece)
+            if rank is not None:
+                out[i] = rank.to_bytes(4, "little")
+            elif len(piece) <= LONG:
+                short.append(i)
+            else:
+                out[i] = array("I", one(piece)).tobytes()
+        for at in range(0, len(short), TOGETHER):
+            some = short[at : at + TOGETHER]
+            for i, packed in zip(some, self._encode([pieces[i] for i in some]), strict=True):
+                out[i] = array("I", one(pieces[i])).tobytes() if packed is None else packed
+        return out
+
+    def _encode(self, pieces: list[bytes]) -> list[bytes | None]:
+        """The same for short pieces; None for what isn't at its end after some rounds."""
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        end = np.cumsum(size)
+        at = end - size
+        width = int(size.max(initial=0))
+        path = np.zeros((width + 1, len(pieces)), np.int32)
+        depth = np.zeros(len(pieces), np.int64)
+        most = size.copy()  # bytes the next token may have
+        open_ = np.flatnonzero(size)
+        for _ in range(4 * width):
+            if not len(open_):
+                break
+            token = self._longest(data, at[open_], most[open_], np.where(depth[open_] > 0, path[depth[open_] - 1, open_], -1))
+            found = token >= 0
+            on, token = open_[found], token[found]
+            path[depth[on], on] = token
+            depth[on] += 1
+            at[on] += self.length[token]
+            most[on] = end[on] - at[on]
+            back = open_[~found]
+            depth[back] -= 1
+            undone = self.length[path[depth[back], back]]
+            at[back] -= undone
+            most[back] = undone - 1
+            open_ = open_[at[open_] < end[open_]]
+        depth[open_] = 0
+        packed = path.T[np.arange(width + 1) < depth[:, None]].astype("<u4").tobytes()
+        cut = [0, *np.cumsum(4 * depth).tolist()]
+        return [packed[a:b] if a < b or not n else None for a, b, n in zip(cut, cut[1:], size.tolist(), strict=False)]
+
+    def _longest(self, data: np.ndarray, at: np.ndarray, most: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The longest token of at most so many bytes at each place that may follow the last one; else -1."""
+        ends: list[tuple[np.ndarray, np.ndarray]] = []  # by length, who stands at the end of a token, and which
+        who = np.flatnonzero(most > 0)
+        node = np.zeros(len(who), np.int64)
+        for n in range(self.transducer.longest):
+            if n:
+                on = most[who] > n
+                who, node = who[on], node[on]
+            if not len(who):
+                break
+            node = self.moves.get(node << 8 | data[at[who] + n]).astype(np.int64)
+            on = node >= 0
+            who, node = who[on], node[on]
+            token = self.token_at[node]
+            full = token >= 0
+            ends.append((who[full], token[full]))
+        # Candidates of each place from the longest to the shortest, all places at once.
+        shorter = np.full((len(ends) + 1, len(at)), -1, np.int32)
+        count = np.zeros(len(at), np.int64)
+        for places, token in ends:
+            shorter[count[places], places] = token
+            count[places] += 1
+        out = np.full(len(at), -1, np.int32)
+        left = np.flatnonzero(count)
+        while len(left):
+            count[left] -= 1
+            token = shorter[count[left], left]
+            good = self.follows(last[left], token)
+            out[left[good]] = token[good]
+            left = left[~good]
+            left = left[count[left] > 0]
+        return out
+
+
+class Memory:
+    """Texts to packed ids: those asked for last, and those of the time before, about ``limit`` each."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """What of ``wanted`` the caller has to put in ``known`` now; the rest is there, until the next call."""
+        if len(self.known) >= self.limit:
+            self.known, self.older = {}, self.known
+        new = list(wanted.difference(self.known))
+        values = list(map(self.older.get, new))
+        self.known.update(zip(new, values, strict=True))
+        return [key for key, value in zip(new, values, strict=True) if value is None]
+
+
+class Words:
+    """Texts to packed ids, by what stands between two spaces, with the space before it, or else by pieces.
+
+    The pattern always splits before a space that no white space follows, so such stretches can be split
+    by it one by one. What is new in a batch of texts is encoded together.
     """
 
-    def __init__(self, pieces: Pieces, pattern: str) -> None:
+    def __init__(self, transducer: Transducer, limit: int, pattern: str) -> None:
         import regex
 
-        super().__init__(pieces.limit)
-        self.pieces = pieces
+        self.together = Together(transducer)
+        self.words, self.pieces = Memory(limit), Memory(limit)
         self.split = regex.compile(pattern).findall
         self.odd = re.compile(r" (?:\s|$)").search
 
-    def find(self, word: str) -> bytes:
-        parts = self.split(" " + word)
-        if len(parts) == 1:  # remembered as a word, so it need not be as a piece too
-            return self.pieces.find(parts[0])
-        return b"".join(map(self.pieces.__getitem__, parts))
-
-    def _packed(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
-
-    def encode(self, text: str) -> bytes:
-        """Packed ids of a whole text."""
-        if self.odd(text):
-            return self._packed(text)
-        head, *words = text.split(" ")
-        return self._packed(head) + b"".join(map(self.__getitem__, words))
+    def _parts(self, words: list[str]) -> list[list[str]]:
+        """Pieces of each word with the space before it."""
+        out: list[list[str]] = []
+        for part in self.split(" " + " ".join(words)) if words else []:
+            if part[0] == " ":
+                out.append([part])
+            else:
+                out[-1].append(part)
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of whole texts."""
+        heads, rest, wanted = [], [], set()
+        for text in texts:
+            head, *words = [text] if self.odd(text) else text.split(" ")
+            heads.append(self.split(head))
+            rest.append(words)
+            wanted.update(words)
+        new = self.words.missing(wanted)
+        parts = self._parts(new)
+        single = {p[0] for p in parts if len(p) == 1}  # remembered as a word, so it need not be as a piece too
+        wanted = {x for p in parts if len(p) > 1 for x in p}.union(*heads)
+        pieces = self.pieces.missing(wanted)
+        alone = list(single)
+        ids = self.together.encode([p.encode("utf-8") for p in [*pieces, *alone]])
+        self.pieces.known.update(zip(pieces, ids, strict=False))
+        of_piece, of_word = self.pieces.known.__getitem__, self.words.known
+        ids_alone = dict(zip(alone, ids[len(pieces) :], strict=True))
+        for word, p in zip(new, parts, strict=True):
+            of_word[word] = ids_alone[p[0]] if len(p) == 1 else b"".join(map(of_piece, p))
+        find = of_word.__getitem__
+        return [b"".join([*map(of_piece, h), *map(find, w)]) for h, w in zip(heads, rest, strict=True)]
 
 
 class Vocabulary:
@@ -288,7 +484,7 @@ class Vocabulary:
     def words(self) -> Words:
         if self._words is None:
             transducer = Transducer(self.ranks, self.states, 3 * self.remember)
-            self._words = Words(Pieces(transducer, self.remember), self.pattern)
+            self._words = Words(transducer, self.remember, self.pattern)
         return self._words
 
     @property
@@ -349,7 +545,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            ids = [shared.value.words.encode(text) for text in texts_of(batch.column(1))]
+            ids = shared.value.words.encode(texts_of(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids, pa.binary())], [id_col, "ids"]
             )
@@ -392,7 +588,7 @@ def round_trip(
         release_memory()
         for batch in small_batches(batches):
             token = shared.value.bytes.__getitem__
-            ids = [shared.value.words.encode(text) for text in texts_of(batch.column(1))]
+            ids = shared.value.words.encode(texts_of(batch.column(1)))
             texts = [_decoded(packed, token, portion) for packed in ids]
             columns = [batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [id_col, "ids", "decoded"])

@@ -421,6 +421,36 @@ def test_transducer_forms_agree():
     assert searched == [library.encode_ordinary(p) for p in pieces]
 
 
+def test_pieces_encoded_together(monkeypatch):
+    """New words of a batch go through the transducer together, whatever is remembered; none goes alone but long ones."""
+    ranks, pattern, library = ranks_and_library()
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choices("aeiournstlzäß,.\n中🙂", k=rng.randrange(1, 14))) for _ in range(rng.randrange(60))) for _ in range(60)]
+    texts += ["", " ", " a", "a  b", "\n a\n b ", "x" * 47 + "q" * 60 + " " + "ab" * 24, "word " * 9 + "word", texts[3]]
+    alone, one = [], byte_bpe.Transducer.encode
+    monkeypatch.setattr(byte_bpe.Transducer, "encode", lambda self, piece: alone.append(piece) or one(self, piece))
+    want = [library.encode_ordinary(t) for t in texts]
+    for limit, size in ((1000, len(texts)), (5, 3), (5, 1)):
+        words = byte_bpe.Vocabulary(ranks, pattern, remember=limit).words
+        got = [packed for at in range(0, len(texts), size) for packed in words.encode(texts[at : at + size])]
+        assert [np.frombuffer(packed, "<u4").tolist() for packed in got] == want
+    assert all(len(piece) > byte_bpe.LONG for piece in alone)
+    monkeypatch.setattr(byte_bpe, "LONG", 200)
+    together = byte_bpe.Together(byte_bpe.Transducer(ranks))
+    pieces = ["".join(rng.choices("aeiournstlz", k=rng.randrange(1, 150))) for _ in range(300)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in together.encode([p.encode() for p in pieces])] == [library.encode_ordinary(p) for p in pieces]
+
+
+def test_rows_of_keys():
+    """Keys that fall on the same places are told apart, and others aren't found."""
+    rng = np.random.default_rng(9)
+    keys = np.unique(rng.integers(0, 1 << 40, 5000))
+    table = byte_bpe.Table({int(k): i for i, k in enumerate(keys[::2])})
+    assert table.get(keys[::2]).tolist() == list(range(len(keys[::2])))
+    assert (table.get(keys[1::2]) == -1).all()
+    assert (byte_bpe.Table({}).get(keys) == -1).all()
+
+
 def test_utf8_stream():
     text = "aé中🙂" * 5
     for step in range(1, 8):
