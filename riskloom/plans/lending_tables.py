@@ -8,7 +8,7 @@ applicant's rows are ever gathered to make one.
 from __future__ import annotations
 
 import tarfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -26,8 +26,8 @@ BANKS = ["Alder", "Birch", "Cedar", "Elm", "Hazel", "Rowan"]
 # Amounts in these tables carry cents.
 MONEY_SCALE = 2
 
-# Size at which an archive of documents is closed.
-ARCHIVE_BYTES = 2 << 20
+# Size at which an archive of documents is closed, and bytes that are compressed at a time.
+ARCHIVE_BYTES, _PORTION = 2 << 20, 1 << 20
 
 # Order of an applicant's trades (o_orderkey is unique).
 TRADE_ORDER = ["pos"]
@@ -211,16 +211,18 @@ def _number(value: Column) -> Column:
     return value.cast("string")
 
 
-def _dealt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dealt_orders(spark: SparkSession, sf_dir: str, ordered: bool) -> DataFrame:
     """Orders dealt by the stem of their documents, as intake lands them: rows of one input file would be parsed in one
-    task. They are dealt before any text is made of them, so the exchange holds no documents."""
+    task. They are dealt, and if ``ordered`` sorted by it within a task, before any text is made of them, so neither the
+    exchange nor the sort holds documents."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    return orders.withColumn("stem", document_stem(F.col("o_orderkey"))).repartition("stem")
+    dealt = orders.withColumn("stem", document_stem(F.col("o_orderkey"))).repartition("stem")
+    return dealt.sortWithinPartitions("stem") if ordered else dealt
 
 
-def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bureau_documents(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     """``stem, raw``: a bureau document of two trades per order, some of them defective.
 
     By o_orderkey modulo 50: 1 cut off, 2 an array, 3 no id, 4 no trades, 5 an amount in words,
@@ -264,7 +266,7 @@ def bureau_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SCORE_V3": (300 + (customer * 37) % 601).cast("string"),
         "TRADES": F.col("items"),
     }
-    rows = _dealt_orders(spark, sf_dir).where(~_defect(k, 18)).withColumn("items", items)
+    rows = _dealt_orders(spark, sf_dir, ordered).where(~_defect(k, 18)).withColumn("items", items)
     return _written(rows, "TRADES", tail, applicant_id(customer), cut=1, array=2, no_id=3)
 
 
@@ -285,7 +287,7 @@ def _written(
     return texts.select("stem", raw.alias("raw"))
 
 
-def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def banking_documents(spark: SparkSession, sf_dir: str, ordered: bool = False) -> DataFrame:
     """``stem, raw``: a bank document of three transactions per order, some of them defective.
 
     By o_orderkey modulo 50: 11 no file, 12 cut off, 13 no id, 14 no transactions, 15 a balance in
@@ -336,46 +338,83 @@ def banking_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TRANSACTIONS": F.col("items"),
     }
     holder = F.when(_defect(k, 16), F.lit("OTHER")).otherwise(applicant_id(customer))
-    files = _dealt_orders(spark, sf_dir).where(~_defect(k, 11)).withColumn("items", items)
+    files = _dealt_orders(spark, sf_dir, ordered).where(~_defect(k, 11)).withColumn("items", items)
     return _written(files, "TRANSACTIONS", tail, holder, cut=12, array=17, no_id=13)
 
 
-def write_documents(docs: DataFrame, folder: str) -> None:
+def _tar_header() -> Callable[[str, int], bytes]:
+    """A function that gives the header block of a file with a plain name and size, byte for byte as ``tarfile`` would."""
+    block = tarfile.TarInfo().tobuf()
+    zeros = b"0" * 11  # the size in this block; its checksum counts them
+    base = int(block[148:154], 8) - sum(zeros)
+    before_size, before_check, after = block[100:124], block[135:148], block[154:]
+
+    def header(name: str, size: int) -> bytes:
+        if not name.isascii() or len(name) > 100 or size >= 8**11:
+            info = tarfile.TarInfo(name)
+            info.size = size
+            return info.tobuf()
+        plain, digits = name.encode(), b"%011o" % size
+        check = b"%06o" % (base + sum(plain) + sum(digits))
+        return plain.ljust(100, b"\0") + before_size + digits + before_check + check + after
+
+    return header
+
+
+def write_documents(docs: DataFrame, folder: str, compressed: bool = False, ordered: bool = False) -> None:
     """Each document (``stem, raw``) as a file ``<stem>.json`` inside tar archives, written by the task that holds it.
 
-    Documents of one stem must be in one partition. Rows of a task are in order and archives are numbered, so a repeated task writes the same files once more. Of
-    documents with one stem the last stays, as in a folder; one without a text is an empty file. Spark's own
-    writers don't let rows name their files.
+    Documents of one stem must be in one partition, and if ``ordered`` those of a partition are sorted by it already.
+    Rows of a task are in order and archives are numbered, so a repeated task writes the same files once more. Of
+    documents with one stem the greatest stays; one without a text is an empty file. Spark's own
+    writers don't let rows name their files. Most of an archive of small documents is headers, padding and repeated
+    keys; ``compressed`` archives (``.tar.zst``, a frame for each portion) are a small part of that.
     """
-    room = ARCHIVE_BYTES
+    room, ending = ARCHIVE_BYTES, ".tar.zst" if compressed else ".tar"
+    portion = min(_PORTION, room)
 
     def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
-        task, number, packed, before = TaskContext.get().partitionId(), 0, bytearray(), None
+        task, number, packed, done, before = TaskContext.get().partitionId(), 0, bytearray(), bytearray(), None
+        header, filled = _tar_header(), [bytes(-n % tarfile.BLOCKSIZE) for n in range(tarfile.BLOCKSIZE)]
 
         def add(stem: str, raw: bytes) -> None:
-            info = tarfile.TarInfo(f"{stem}.json")
-            info.size = len(raw)
-            packed.extend(info.tobuf() + raw + bytes(-len(raw) % tarfile.BLOCKSIZE))
+            packed.extend(header(f"{stem}.json", len(raw)))
+            packed.extend(raw)
+            packed.extend(filled[len(raw) % tarfile.BLOCKSIZE])
+
+        def move() -> None:
+            done.extend(pa.compress(packed, "zstd", asbytes=True) if compressed else packed)
+            packed.clear()
 
         def close() -> None:
-            with system.open_output_stream(f"{base}/documents-{task:06}-{number:06}.tar") as file:
-                file.write(bytes(packed) + bytes(2 * tarfile.BLOCKSIZE))
+            packed.extend(bytes(2 * tarfile.BLOCKSIZE))
+            move()
+            with system.open_output_stream(f"{base}/documents-{task:06}-{number:06}{ending}", compression=None) as file:
+                file.write(bytes(done))
+            done.clear()
 
         for batch in batches:
             for stem, raw in zip(batch.column("stem").to_pylist(), batch.column("raw").to_pylist(), strict=True):
-                if before is not None and before[0] != stem:
-                    add(*before)
-                    if len(packed) >= room:
-                        close()
-                        packed.clear()
-                        number += 1
-                before = stem, raw or b""
+                raw = raw or b""
+                if before is not None:
+                    if before[0] == stem:
+                        raw = max(before[1], raw)
+                    else:
+                        add(*before)
+                        if len(packed) >= portion:
+                            move()
+                            if len(done) >= room:
+                                close()
+                                number += 1
+                before = stem, raw
             yield pa.RecordBatch.from_pydict({"files": pa.array([batch.num_rows], pa.int64())})
         if before is not None:
             add(*before)
             close()
 
-    rows = docs.select("stem", F.col("raw").cast("binary").alias("raw")).sortWithinPartitions("stem", "raw")
+    rows = docs.select("stem", F.col("raw").cast("binary").alias("raw"))
+    if not ordered:
+        rows = rows.sortWithinPartitions("stem")
     rows.mapInArrow(put, "files bigint").write.format("noop").mode("overwrite").save()
